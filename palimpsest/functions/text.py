@@ -31,22 +31,12 @@ def length_diff(a, b) -> Column:
 
 # --- D1 edit distance -------------------------------------------------------
 def edit_distance(a, b) -> Column:
-    """Exact Levenshtein distance on code points.
-
-    ``levenshtein(a, b, k)`` only fills a band of width 2k+1 and returns -1
-    when the distance exceeds k, so trying k, 4k, 16k, ... (starting from the
-    length difference, a lower bound of the distance) costs O(n * distance)
-    instead of O(n * m). ``coalesce`` stops at the first band that fits; the
-    unbounded call is the last resort and is reached only for near-total
-    rewrites.
+    """Exact Levenshtein distance on code points, JVM side (paragraph-sized text).
+
+    Whole documents go through :func:`palimpsest.functions.distance.long_edit_distance`
+    instead: the built-in fills the full matrix cell by cell.
     """
-    a, b = _col(a), _col(b)
-    base = F.greatest(F.lit(32), length_diff(a, b) * 2).cast("int")
-    # The Python wrapper takes only a literal threshold; the SQL function
-    # accepts a per-row one.
-    tries = [F.nullif(F.call_function("levenshtein", a, b, (base * m).cast("int")), F.lit(-1))
-             for m in (1, 4, 16, 64)]
-    return F.coalesce(*tries, F.levenshtein(a, b))
+    return F.levenshtein(_col(a), _col(b))
 
 
 def exceeds_distance(a, b, limit: int = SIGNIFICANCE_THRESHOLD) -> Column:

@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     # and windows on doc_id without a second exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
