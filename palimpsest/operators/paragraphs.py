@@ -5,6 +5,10 @@ Design notes (scale):
   numbering the kept paragraphs (W3), the next paragraph (the ``lead`` of W5)
   — is done with array functions on that row *before* exploding, so it needs
   no shuffle and no window sort.
+* Exploded paragraph tables are hash-partitioned on ``doc_id`` once. Joins
+  on ``(doc_id, pos)`` / ``(doc_id, hash(text))`` and windows per document
+  reuse that partitioning (``requireAllClusterKeysForCoPartition=false``), so
+  a whole paragraph job costs one exchange per snapshot side.
 * Work that compares the two snapshots joins on ``(doc_id, pos)`` or on
   ``(doc_id, hash(text))``. Repeated lines inside a document become one
   aggregated row before the join (map-side combine), so a paragraph repeated
@@ -45,7 +49,7 @@ def explode_paragraphs(docs: DataFrame, keep=("chapter", "manual"), text: str =
             fields.append(F.try_element_at(paras, i + 2).alias("next_text"))
         return F.struct(*fields)
 
-    return d.select(DOC, *keep, F.inline(F.transform(paras, item)))
+    return d.select(DOC, *keep, F.inline(F.transform(paras, item))).repartition(DOC)
 
 
 def numbered_paragraphs(docs: DataFrame, keep=("chapter", "manual", "title"),
@@ -60,7 +64,8 @@ def numbered_paragraphs(docs: DataFrame, keep=("chapter", "manual", "title"),
     kept = F.filter(tagged, lambda s: is_kept_paragraph(s["para"]))
     return (docs.select(DOC, *keep, F.posexplode(kept).alias("k", "_s"))
             .select(DOC, *keep, "k", F.col("_s.pos").alias("pos"), F.col("_s.para").alias("para"),
-                    F.concat_ws("_", F.col("chapter"), F.col("k").cast("string")).alias("key")))
+                    F.concat_ws("_", F.col("chapter"), F.col("k").cast("string")).alias("key"))
+            .repartition(DOC))
 
 
 def pair_paragraphs(pp: DataFrame, lp: DataFrame, how: str = "full_outer") -> DataFrame:

@@ -146,8 +146,11 @@ def align_paragraphs(pp: DataFrame, lp: DataFrame) -> DataFrame:
     ``cogroup`` hashes both paragraph tables on ``doc_id``; each group is one
     document pair, whose size is bounded by those two input rows.
     """
-    return (pp.select(DOC, "pos", "text").groupBy(DOC)
-            .cogroup(lp.select(DOC, "pos", "text").groupBy(DOC))
+    # Fresh aliases: both sides may come from one scan and would otherwise
+    # share the grouping attribute.
+    side = lambda df: df.select(F.col(DOC).alias(DOC), F.col("pos").alias("pos"),
+                                F.col("text").alias("text"))
+    return (side(pp).groupBy(DOC).cogroup(side(lp).groupBy(DOC))
             .applyInPandas(_align_group, ALIGN_SCHEMA))
 
 

@@ -94,14 +94,16 @@ def paragraph_noise_cascade(changed: DataFrame) -> DataFrame:
     the cosmetic ones (this order decides the counts). W2 keeps the first
     remaining paragraph of each chapter. Output: one row per chapter.
     """
+    # A chapter is one document: partitioning by (doc_id, chapter) keeps the
+    # per-chapter semantics and reuses the doc_id hash partitioning.
     kept = changed.where(~F.col("shifted"))
     counted = kept.withColumn("n_paras_with_changes",
-                              F.count(F.lit(1)).over(Window.partitionBy("chapter")).cast("long"))
+                              F.count(F.lit(1)).over(Window.partitionBy("doc_id", "chapter")).cast("long"))
     scored = (counted
               .withColumn("char_count_diff", length_diff("prev_para", "curr_para").cast("long"))
               .withColumn("lev_distance", edit_distance("prev_para", "curr_para").cast("long"))
               .withColumn("levchar", levchar_flag("lev_distance", "char_count_diff"))
               .where("levchar"))
-    first = Window.partitionBy("chapter").orderBy("k")
+    first = Window.partitionBy("doc_id", "chapter").orderBy("k")
     return (scored.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
             .drop("_rn", "levchar"))

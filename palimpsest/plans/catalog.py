@@ -31,6 +31,9 @@ from palimpsest.streaming import change_feed
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
+# Engine parity in the oracle SQL: Spark (like Python) upper-cases 'ß' to 'SS'
+# (title case 'Ss'), DuckDB to 'ẞ'; the oracle maps it back.
+
 # The run date of the daily jobs in the registered queries (events cover January 2024).
 RUN_DATE = "2024-01-15"
 
@@ -557,7 +560,7 @@ def q_page_changes(spark, sf):
 @query("update_table", with_ctes(SNAPSHOT_CTES + "," + _CLASSIFIED_SQL, f"""
 SELECT page_id,
        array_to_string(list_transform(string_split(lower(replace(manual, '-', ' ')), ' '),
-                                      lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS manual,
+                                      lambda w: replace(upper(left(w, 1)), 'ẞ', 'Ss') || substr(w, 2)), ' ') AS manual,
        upper(chapter) AS chapter, update_type,
        chapter || '-' || strftime(DATE '{RUN_DATE}', '%Y%m%d') AS version_key,
        strftime(DATE '{RUN_DATE}', '%d-%m-%Y') AS report_date
@@ -895,7 +898,8 @@ def q_look_ahead_status(spark, sf):
 
 @query("conversation_look_ahead", """
 WITH prev_turns AS (SELECT conv_id, turn, text FROM conversations),
-next_turns AS (SELECT conv_id, turn, CASE WHEN turn = 0 THEN upper(text) ELSE text END AS text FROM conversations),
+next_turns AS (SELECT conv_id, turn, CASE WHEN turn = 0 THEN replace(upper(text), 'ẞ', 'SS') ELSE text END AS text
+               FROM conversations),
 a AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM prev_turns),
 b AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM next_turns)
 SELECT a.conv_id, a.turn, a.text AS prev_text, b.text AS curr_text,
@@ -982,8 +986,8 @@ def q_cleaned_bodies(spark, sf):
 @query("title_case_titles", r"""
 SELECT page_id,
        array_to_string(list_transform(string_split(lower(replace(t, '-', ' ')), ' '),
-                                      lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS title_case,
-       upper(t) AS upper_title
+                                      lambda w: replace(upper(left(w, 1)), 'ẞ', 'Ss') || substr(w, 2)), ' ') AS title_case,
+       replace(upper(t), 'ẞ', 'SS') AS upper_title
 FROM (SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS t FROM pages)""")
 def q_title_case_titles(spark, sf):
     """``replace('-', ' ')`` + word capitalisation, and ``upper``."""

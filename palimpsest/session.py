@@ -13,6 +13,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from planner estimates: a side is broadcast either through
+    # an explicit size-checked hint (dimension tables) or by AQE after the
+    # shuffle stage has been measured below the runtime threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A paragraph table hashed on doc_id can serve joins on (doc_id, pos)
