@@ -14,6 +14,8 @@ Distances are on code points, the same as ``F.levenshtein``.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,6 +63,48 @@ def bitparallel_levenshtein(a: str, b: str) -> int:
     return dist
 
 
+def _strip_common(a: str, b: str) -> tuple[str, str]:
+    lo, la, lb = 0, len(a), len(b)
+    while lo < la and lo < lb and a[lo] == b[lo]:
+        lo += 1
+    while la > lo and lb > lo and a[la - 1] == b[lb - 1]:
+        la -= 1
+        lb -= 1
+    return a[lo:la], b[lo:lb]
+
+
+def exceeds(a: str, b: str, limit: int) -> bool:
+    """Exact ``levenshtein(a, b) > limit`` with cheap certificates first.
+
+    After the common prefix / suffix is removed: a length difference above the
+    limit, or a bag (character multiset) distance above it, proves the answer,
+    because both are lower bounds of the edit distance; only otherwise is the
+    distance computed.
+    """
+    a, b = _strip_common(a, b)
+    if abs(len(a) - len(b)) > limit:
+        return True
+    if max(len(a), len(b)) <= limit:
+        return False
+    ca, cb = Counter(a), Counter(b)
+    if max(sum((ca - cb).values()), sum((cb - ca).values())) > limit:
+        return True
+    return bitparallel_levenshtein(a, b) > limit
+
+
+@F.pandas_udf(T.BooleanType())
+def _exceeds_udf(a: pd.Series, b: pd.Series, limit: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else exceeds(x, y, int(k))
+                      for x, y, k in zip(a, b, limit)], dtype="boolean")
+
+
+def long_exceeds(a, b, limit: int) -> Column:
+    """F3 for document-sized texts: exact ``distance > limit`` (Arrow UDF)."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    return _exceeds_udf(a, b, F.lit(limit))
+
+
 @F.pandas_udf(T.LongType())
 def _levenshtein_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else bitparallel_levenshtein(x, y)
@@ -72,3 +116,25 @@ def long_edit_distance(a, b) -> Column:
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
     return _levenshtein_udf(a, b)
+
+
+@F.pandas_udf(T.LongType())
+def _pairwise_sum_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = []
+    for xs, ys in zip(a, b):
+        if xs is None or ys is None:
+            out.append(None)
+            continue
+        out.append(sum(bitparallel_levenshtein(x or "", y or "") for x, y in zip(xs, ys)))
+    return pd.Series(out, dtype="Int64")
+
+
+def pairwise_distance_sum(a, b) -> Column:
+    """Sum of exact distances of aligned elements of two equal-length string arrays.
+
+    The pairing itself is done by the caller in Spark (e.g. ``arrays_zip``);
+    this only evaluates the distances, one Arrow batch of rows at a time.
+    """
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    return _pairwise_sum_udf(a, b)

@@ -43,23 +43,42 @@ def document_redline(marked: DataFrame, markup: str = "markup") -> DataFrame:
 
 
 # --- D9 word form (Arrow UDF) -----------------------------------------------
-_WORDS = re.compile(r"\S+|\s+")
+# A token is a word with the whitespace that follows it (leading whitespace of
+# the text is its own token), so a text is exactly the concatenation of them.
+_WORDS = re.compile(r"^\s+|\S+\s*")
 
 
 def redline_words(old: str | None, new: str | None) -> str:
-    """Word-level redline of two texts with ``<ins>``/``<del>`` (HTML-escaped)."""
+    """Word-level redline of two texts with ``<ins>``/``<del>`` (HTML-escaped).
+
+    Common leading / trailing tokens are split off first; the middle is
+    aligned with ``SequenceMatcher`` over integer-coded tokens. Removing the
+    ``<ins>`` parts and unwrapping ``<del>`` gives the old text back.
+    """
     a = _WORDS.findall(old or "")
     b = _WORDS.findall(new or "")
-    sm = difflib.SequenceMatcher(None, a, b, autojunk=False)
-    out = []
+    lo = 0
+    while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
+        lo += 1
+    ha, hb = len(a), len(b)
+    while ha > lo and hb > lo and a[ha - 1] == b[hb - 1]:
+        ha -= 1
+        hb -= 1
+    codes: dict[str, int] = {}
+    ca = [codes.setdefault(t, len(codes)) for t in a[lo:ha]]
+    cb = [codes.setdefault(t, len(codes)) for t in b[lo:hb]]
+    esc = lambda toks: _html.escape("".join(toks), quote=False)
+    out = [esc(a[:lo])]
+    sm = difflib.SequenceMatcher(None, ca, cb, autojunk=False)
     for op, i1, i2, j1, j2 in sm.get_opcodes():
         if op == "equal":
-            out.append(_html.escape("".join(a[i1:i2]), quote=False))
+            out.append(esc(a[lo + i1:lo + i2]))
             continue
         if i2 > i1:
-            out.append("<del>" + _html.escape("".join(a[i1:i2]), quote=False) + "</del>")
+            out.append("<del>" + esc(a[lo + i1:lo + i2]) + "</del>")
         if j2 > j1:
-            out.append("<ins>" + _html.escape("".join(b[j1:j2]), quote=False) + "</ins>")
+            out.append("<ins>" + esc(b[lo + j1:lo + j2]) + "</ins>")
+    out.append(esc(a[ha:]))
     return "".join(out)
 
 

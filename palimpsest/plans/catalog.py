@@ -22,6 +22,7 @@ from palimpsest.functions import html as H
 from palimpsest.functions import text as X
 from palimpsest.operators import feed, paragraphs, redline, relevance, report, scoring, search, snapshot
 from palimpsest.plans import daily_jobs, document_changes, paragraph_changes, term_locations
+from palimpsest.session import configure, ship_package
 from palimpsest.plans.oracle import LOG_CTES, PARAGRAPH_CTES, SNAPSHOT_CTES, cp, lev, with_ctes
 from palimpsest.sources import csv_lists, xml
 from palimpsest.sources.snapshots import snapshot_listing, snapshot_pair
@@ -39,8 +40,16 @@ RUN_DATE = "2024-01-15"
 
 
 def query(name: str, sql: str | None):
+    """Register a builder; the registered callable first applies the engine's
+    SQL settings to the session and ships the package to the Python workers
+    (both no-ops after the first call in an application)."""
     def deco(fn: Builder) -> Builder:
-        REGISTRY[name] = (fn, sql.strip() if sql else None)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        REGISTRY[name] = (run, sql.strip() if sql else None)
         return fn
     return deco
 

@@ -36,13 +36,14 @@ def change_table(metrics: DataFrame) -> DataFrame:
     return out
 
 
-def build(prev: DataFrame, latest: DataFrame, teams: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All outputs of the job, lazily defined."""
-    metrics = scoring.document_metrics(prev, latest)
+def build(prev: DataFrame, latest: DataFrame, teams: DataFrame | None = None,
+          metrics: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All outputs of the job, lazily defined (``metrics`` may be precomputed)."""
+    if metrics is None:
+        metrics = scoring.document_metrics(prev, latest)
     adds = snapshot.additions(prev, latest)
     dels = snapshot.deletions(prev, latest)
-    changes = scoring.significant_changes(metrics)
-    sections = report.report_sections(changes, adds, dels)
+    sections = report.report_sections(scoring.significant_changes(metrics), adds, dels)
     out = {"metrics": metrics, "changes": change_table(metrics), "additions": adds, "deletions": dels,
            "report": sections, "counts": report.section_counts(sections)}
     if teams is not None:
@@ -53,27 +54,19 @@ def build(prev: DataFrame, latest: DataFrame, teams: DataFrame | None = None) ->
 
 
 def run(prev: DataFrame, latest: DataFrame, out_dir: str, teams: DataFrame | None = None) -> None:
-    """Write the report (partitioned by team when teams are given) and the change list."""
+    """Write the change list, the report and (with teams) one report folder per team.
+
+    The metrics feed every output; they are materialised once in the shared
+    checkpoint directory, so the distances are not recomputed per output and
+    a lost executor does not send the job back to the snapshots.
+    """
     from palimpsest.session import cut_lineage
     from palimpsest.sinks import write_csv
 
-    outputs = build(prev, latest, teams)
-    # The metrics feed three outputs; materialise them once to the shared
-    # checkpoint directory instead of recomputing the distances.
-    metrics = cut_lineage(outputs["metrics"])
-    outputs = build_from_metrics(metrics, prev, latest, teams)
+    metrics = cut_lineage(scoring.document_metrics(prev, latest))
+    outputs = build(prev, latest, teams, metrics=metrics)
     write_csv(outputs["changes"].orderBy(F.desc("lev_distance"), "chapter_number"), f"{out_dir}/changes")
     write_csv(outputs["report"], f"{out_dir}/report")
+    write_csv(outputs["counts"], f"{out_dir}/counts")
     if "team_report" in outputs:
         write_csv(outputs["team_report"], f"{out_dir}/teams", partition_by=["team"])
-
-
-def build_from_metrics(metrics: DataFrame, prev: DataFrame, latest: DataFrame,
-                       teams: DataFrame | None = None) -> dict[str, DataFrame]:
-    adds = snapshot.additions(prev, latest)
-    dels = snapshot.deletions(prev, latest)
-    sections = report.report_sections(scoring.significant_changes(metrics), adds, dels)
-    out = {"metrics": metrics, "changes": change_table(metrics), "report": sections}
-    if teams is not None:
-        out["team_report"] = relevance.team_rows(sections, teams)
-    return out

@@ -7,9 +7,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. AQE re-plans joins and coalesces shuffle
-# partitions at runtime; skew-join splitting handles a hot document / manual.
-DEFAULT_CONF = {
+# SQL settings every job relies on; all can be set on a running session, and
+# ``configure`` applies them to sessions the engine did not build itself.
+RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -23,9 +23,26 @@ DEFAULT_CONF = {
     # A paragraph table hashed on doc_id can serve joins on (doc_id, pos)
     # and windows on doc_id without a second exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Correctness: with this on, Spark 4.1.2 skipped the exchange of an
+    # aggregate over a UNION of two children hashed on the same key through a
+    # reused exchange, and EXCEPT ALL returned rows it must not (seen on the
+    # remainder check). The union then reports no partitioning and the
+    # aggregate shuffles as it should.
+    "spark.sql.unionOutputPartitioning": "false",
+}
+# AQE re-plans joins and coalesces shuffle partitions at runtime; skew-join
+# splitting handles a hot key.
+DEFAULT_CONF = dict(RUNTIME_CONF, **{
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-}
+})
+
+
+def configure(spark: SparkSession) -> None:
+    """Apply :data:`RUNTIME_CONF` to a session (e.g. one a driver created)."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def get_session(master: str | None = None, app: str = "palimpsest",
@@ -47,9 +64,39 @@ def get_session(master: str | None = None, app: str = "palimpsest",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    configure(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``palimpsest`` importable in Python workers (UDFs, mapInPandas).
+
+    Zips the package once per application and registers it with
+    ``addPyFile``, which distributes it to every executor. Needed whenever the
+    driver's own import path is not visible to the workers (cluster, or a
+    driver started outside the repository).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="palimpsest-pkg-"), "palimpsest.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith((".py", ".csv")):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint directory named by ``spark.checkpoint.dir``.
 

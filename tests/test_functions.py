@@ -101,3 +101,13 @@ def test_clean_chain(spark):
 
 def test_title_case(spark):
     assert one(spark, X.title_case_words("m"), m="capital-gains manual") == "Capital Gains Manual"
+
+
+def test_exceeds_matches_distance():
+    from palimpsest.functions.distance import exceeds
+    rnd = random.Random(11)
+    for _ in range(1500):
+        a = "".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 40)))
+        b = "".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 40)))
+        for k in (0, 3, 10):
+            assert exceeds(a, b, k) == (_dp(a, b) > k)
