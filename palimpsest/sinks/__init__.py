@@ -12,8 +12,8 @@ from palimpsest.operators.report import metrics_append
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """K1: header, no index, overwrite."""
-    w = df.write.mode("overwrite").option("header", True)
+    """K1: header, no index, overwrite; RFC 4180 quoting (quotes doubled)."""
+    w = df.write.mode("overwrite").option("header", True).option("escape", '"')
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
