@@ -98,6 +98,9 @@ def _exceeds_udf(a: pd.Series, b: pd.Series, limit: pd.Series) -> pd.Series:
                       for x, y, k in zip(a, b, limit)], dtype="boolean")
 
 
+_exceeds_udf = _exceeds_udf.asNondeterministic()
+
+
 def long_exceeds(a, b, limit: int) -> Column:
     """F3 for document-sized texts: exact ``distance > limit`` (Arrow UDF)."""
     a = F.col(a) if isinstance(a, str) else a
@@ -111,6 +114,12 @@ def _levenshtein_udf(a: pd.Series, b: pd.Series) -> pd.Series:
                       for x, y in zip(a, b)], dtype="Int64")
 
 
+# The distance UDFs are pure, but marked non-deterministic on purpose: the
+# optimizer then never copies them into a pushed-down filter, which would
+# evaluate the most expensive expression of the job twice.
+_levenshtein_udf = _levenshtein_udf.asNondeterministic()
+
+
 def long_edit_distance(a, b) -> Column:
     """Exact distance for document-sized texts (Arrow UDF, bit-parallel)."""
     a = F.col(a) if isinstance(a, str) else a
@@ -129,6 +138,9 @@ def _pairwise_sum_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="Int64")
 
 
+_pairwise_sum_udf = _pairwise_sum_udf.asNondeterministic()
+
+
 def pairwise_distance_sum(a, b) -> Column:
     """Sum of exact distances of aligned elements of two equal-length string arrays.
 

@@ -173,6 +173,39 @@ def align_paragraphs(pp: DataFrame, lp: DataFrame) -> DataFrame:
             .applyInPandas(_align_group, ALIGN_SCHEMA))
 
 
+_ALIGN_ITEM = T.StructType([
+    T.StructField("prev_pos", T.IntegerType()), T.StructField("curr_pos", T.IntegerType()),
+    T.StructField("prev_text", T.StringType()), T.StructField("curr_text", T.StringType()),
+    T.StructField("status", T.StringType())])
+
+
+@F.pandas_udf(T.ArrayType(_ALIGN_ITEM))
+def _align_udf(old: pd.Series, new: pd.Series) -> pd.Series:
+    out = []
+    for o, n in zip(old, new):
+        rows = align_lists(0, list(o), list(n))
+        out.append([{"prev_pos": r[1], "curr_pos": r[2], "prev_text": r[3], "curr_text": r[4],
+                     "status": r[5]} for r in rows])
+    return pd.Series(out)
+
+
+_align_udf = _align_udf.asNondeterministic()
+
+
+def align_documents(pairs: DataFrame) -> DataFrame:
+    """D16 on joined document pairs ``(doc_id, prev_text, curr_text)``.
+
+    The two snapshots already meet in one row (one exchange per side for the
+    join); the paragraph arrays are split and trimmed in Spark, aligned by the
+    sequence matcher in Arrow batches, and exploded back to rows. No cogroup
+    shuffle and no per-document pandas frame.
+    """
+    from palimpsest.operators.paragraphs import paragraph_array
+    aligned = pairs.select(DOC, F.explode(_align_udf(paragraph_array("prev_text"),
+                                                     paragraph_array("curr_text"))).alias("_a"))
+    return aligned.select(DOC, "_a.prev_pos", "_a.curr_pos", "_a.prev_text", "_a.curr_text", "_a.status")
+
+
 def changed_documents_only(pp: DataFrame, lp: DataFrame, changed_keys: DataFrame):
     """Restrict both paragraph tables to documents that changed (semi-joins)."""
     k = changed_keys.select(DOC)

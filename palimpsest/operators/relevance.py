@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import DIMENSION_BROADCAST_MAX_ROWS
+from palimpsest.constants import DIMENSION_BROADCAST_MAX_ROWS, REF_LIST_CHUNK
 from palimpsest.functions.text import leading_prefix
 
 
@@ -34,9 +34,20 @@ def distinct_prefixes(df: DataFrame, col: str = "chapter", out: str = "source")
     return df.select(leading_prefix(col).alias(out)).distinct()
 
 
-def ids_per_pattern(refs: DataFrame, pattern: str = "pattern", doc: str = "doc_ref") -> DataFrame:
-    """A2: sorted list of referring documents per pattern (order made explicit)."""
-    return refs.groupBy(pattern).agg(F.sort_array(F.collect_list(doc)).alias("doc_refs"))
+def ids_per_pattern(refs: DataFrame, pattern: str = "pattern", doc: str = "doc_ref",
+                    chunk: int = REF_LIST_CHUNK) -> DataFrame:
+    """A2: sorted list of referring documents per pattern -> ``(pattern, part, doc_refs)``.
+
+    A pattern with at most ``chunk`` references has one list (``part`` 0).
+    A hot pattern is split into ``ceil(n / chunk)`` parts by a hash of the
+    reference, so no single row or task ever holds an unbounded list; the
+    counts come from a partially aggregated ``groupBy`` first.
+    """
+    counts = refs.groupBy(pattern).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk))).cast("long")
+    salted = refs.join(counts, pattern).withColumn(
+        "part", F.pmod(F.xxhash64(doc), parts).cast("int"))
+    return salted.groupBy(pattern, "part").agg(F.sort_array(F.collect_list(doc)).alias("doc_refs"))
 
 
 def rows_per_pattern(refs: DataFrame, pattern: str = "pattern") -> DataFrame:
@@ -48,12 +59,14 @@ def lookup_refs(df: DataFrame, refs: DataFrame, key: str = "chapter", pattern: s
                 doc: str = "doc_ref") -> DataFrame:
     """Attach ``', '``-joined referring documents per chapter ('' when none).
 
-    The per-pattern list is aggregated first (one row per pattern), so the
-    left join cannot multiply rows.
+    The per-pattern list is aggregated first (one row per pattern and list
+    part), so the left join adds rows only for patterns too hot for one list.
     """
     lists = ids_per_pattern(refs, pattern, doc).select(
         F.col(pattern).alias(key), F.array_join("doc_refs", ", ").alias("doc_info"))
-    return (df.join(bounded_broadcast(lists), key, "left")
+    # No broadcast hint: a row count does not bound the bytes of these lists.
+    # AQE still broadcasts them when the measured shuffle output is small.
+    return (df.join(lists, key, "left")
             .withColumn("doc_info", F.coalesce("doc_info", F.lit(""))))
 
 

@@ -30,20 +30,26 @@ def sorted_changes(metrics: DataFrame) -> DataFrame:
 
 
 def report_sections(changes: DataFrame, additions: DataFrame, deletions: DataFrame) -> DataFrame:
-    """K2: one report table — section, projected columns, ``info`` text.
+    """K2: one report table — section, projected columns, ``info`` text, and
+    the sort key ``sort_key`` (distance for changes, NULL otherwise).
 
     ``changes`` comes from A3 (after F2); additions / deletions are snapshot
-    rows. Sorted as the report reads: changes by distance desc, additions and
-    deletions by chapter desc.
+    rows. The table is not globally sorted here: a range sort samples its
+    input first, which would run the distance computation twice. The sink
+    orders it (:func:`ordered_report`) after the metrics are checkpointed.
     """
     c = change_info(changes).select(F.lit("changes").alias("section"), "source", "chapter_number",
                                     "title", F.col("change_info").alias("info"),
-                                    F.col("lev_distance").alias("_sort"))
+                                    F.col("lev_distance").alias("sort_key"))
     side = lambda df, name: df.select(
         F.lit(name).alias("section"), F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"),
-        "title", F.lit(None).cast("string").alias("info"), F.lit(None).cast("long").alias("_sort"))
-    rows = c.unionByName(side(additions, "additions")).unionByName(side(deletions, "deletions"))
-    return rows.orderBy("section", F.desc_nulls_last("_sort"), F.desc("chapter_number")).drop("_sort")
+        "title", F.lit(None).cast("string").alias("info"), F.lit(None).cast("long").alias("sort_key"))
+    return c.unionByName(side(additions, "additions")).unionByName(side(deletions, "deletions"))
+
+
+def ordered_report(rows: DataFrame) -> DataFrame:
+    """O1 for the report: changes by distance desc; additions, deletions by chapter desc."""
+    return rows.orderBy("section", F.desc_nulls_last("sort_key"), F.desc("chapter_number"))
 
 
 def section_counts(report: DataFrame, by_team: DataFrame | None = None) -> DataFrame:

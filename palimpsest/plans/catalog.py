@@ -699,9 +699,9 @@ def q_source_prefixes(spark, sf):
 
 
 @query("refs_per_pattern", with_ctes(_REFS_SQL, """
-SELECT pattern, list_sort(list(doc_ref)) AS doc_refs FROM refs GROUP BY pattern"""))
+SELECT pattern, 0 AS part, list_sort(list(doc_ref)) AS doc_refs FROM refs GROUP BY pattern"""))
 def q_refs_per_pattern(spark, sf):
-    """A2: sorted referring documents per pattern."""
+    """A2: sorted referring documents per pattern (one part: no pattern here exceeds a list chunk)."""
     return relevance.ids_per_pattern(_refs(spark, sf))
 
 
@@ -779,11 +779,14 @@ sections AS (
   SELECT 'changes' AS section, source, chapter_number, title,
          concat('Lev Distance: ', lev_distance, '<br />CharCountDiff: ', char_count_diff,
                 '<br />Changed paras: ', para_change_count, ' out of ', para_count) AS info
+  , lev_distance AS sort_key
   FROM metrics WHERE para_change_count <> 0 AND lev_distance > {SIGNIFICANCE_THRESHOLD}
   UNION ALL
-  SELECT 'additions', manual, chapter, title, CAST(NULL AS VARCHAR) FROM latest WHERE doc_id NOT IN (SELECT doc_id FROM prev)
+  SELECT 'additions', manual, chapter, title, CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+  FROM latest WHERE doc_id NOT IN (SELECT doc_id FROM prev)
   UNION ALL
-  SELECT 'deletions', manual, chapter, title, CAST(NULL AS VARCHAR) FROM prev WHERE doc_id NOT IN (SELECT doc_id FROM latest))"""
+  SELECT 'deletions', manual, chapter, title, CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+  FROM prev WHERE doc_id NOT IN (SELECT doc_id FROM latest))"""
 
 
 def _sections(spark, sf):
@@ -794,7 +797,7 @@ def _sections(spark, sf):
 @query("report_sections", with_ctes(SNAPSHOT_CTES + "," + _METRICS_SQL + "," + _SECTIONS_SQL,
                                     "SELECT * FROM sections"))
 def q_report_sections(spark, sf):
-    """K2 + U3 + O1: changes, additions and deletions in one sorted report table."""
+    """K2 + U3: changes, additions and deletions in one report table (with its sort key)."""
     return _sections(spark, sf)
 
 
@@ -1071,12 +1074,18 @@ def q_page_text(spark, sf):
 
 @query("paragraph_alignment", None)
 def q_paragraph_alignment(spark, sf):
-    """LCS alignment of changed documents (cogrouped pandas); tested against difflib."""
+    """LCS alignment of changed documents (Arrow UDF on the joined pair); tested against difflib."""
     prev, latest = _pair(spark, sf)
-    keys = snapshot.content_changed(prev, latest).select("doc_id")
-    pp, lp = redline.changed_documents_only(paragraphs.explode_paragraphs(prev),
-                                            paragraphs.explode_paragraphs(latest), keys)
-    return redline.align_paragraphs(pp, lp)
+    return redline.align_documents(snapshot.changed_pairs(prev, latest))
+
+
+@query("conversation_alignment", None)
+def q_conversation_alignment(spark, sf):
+    """D16 over row-per-paragraph input: cogrouped alignment of conversation turns."""
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    old = conv.select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("pos"), "text")
+    new = old.where(F.col("pos") != 1)
+    return redline.align_paragraphs(old, new)
 
 
 # =============================================================================

@@ -66,7 +66,7 @@ def run(prev: DataFrame, latest: DataFrame, out_dir: str, teams: DataFrame | Non
     metrics = cut_lineage(scoring.document_metrics(prev, latest))
     outputs = build(prev, latest, teams, metrics=metrics)
     write_csv(outputs["changes"].orderBy(F.desc("lev_distance"), "chapter_number"), f"{out_dir}/changes")
-    write_csv(outputs["report"], f"{out_dir}/report")
+    write_csv(report.ordered_report(outputs["report"]), f"{out_dir}/report")
     write_csv(outputs["counts"], f"{out_dir}/counts")
     if "team_report" in outputs:
         write_csv(outputs["team_report"], f"{out_dir}/teams", partition_by=["team"])

@@ -101,8 +101,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint directory named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; we never override it. Only when the
-    setting is absent (local tests) do we set our own, under ``fallback`` or a
-    fresh temporary directory.
+    setting is absent and the master is local (tests) do we set our own, under
+    ``fallback`` or a fresh temporary directory; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -112,6 +112,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: a cluster must name a shared folder "
+                           "for checkpoints (a machine-local folder does not survive executor loss)")
     path = fallback or tempfile.mkdtemp(prefix="palimpsest-ckpt-")
     os.makedirs(path, exist_ok=True)
     sc.setCheckpointDir(path)

@@ -92,7 +92,20 @@ def test_alignment_vs_difflib(spark):
     got = R.align_paragraphs(P.explode_paragraphs(prev), P.explode_paragraphs(latest)).collect()
     assert sorted((r.prev_pos, r.curr_pos, r.status) for r in got if r.prev_pos is not None) == \
         sorted((r[1], r[2], r[5]) for r in rows if r[1] is not None)
+    joined = S.changed_pairs(prev, latest)
+    got2 = R.align_documents(joined).collect()
+    assert sorted((r.prev_pos, r.curr_pos, r.status) for r in got2 if r.prev_pos is not None) == \
+        sorted((r[1], r[2], r[5]) for r in rows if r[1] is not None)
 
 
 def test_clean_underlined():
     assert R.clean_underlined_text("<u>a &lt;b&gt; <c></u> keep <x> <u>>z<</u>") == "<u>a b c</u> keep <x> <u>z</u>"
+
+
+def test_ref_lists_split_hot_pattern(spark):
+    from palimpsest.operators.relevance import ids_per_pattern
+    refs = spark.createDataFrame([("HOT", f"d{i}") for i in range(25)] + [("COLD", "x")], "pattern string, doc_ref string")
+    got = ids_per_pattern(refs, chunk=10).collect()
+    hot = [r for r in got if r.pattern == "HOT"]
+    assert len(hot) == 3 and sorted(x for r in hot for x in r.doc_refs) == sorted(f"d{i}" for i in range(25))
+    assert [(r.part, r.doc_refs) for r in got if r.pattern == "COLD"] == [(0, ["x"])]
