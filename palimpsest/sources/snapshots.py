@@ -94,3 +94,22 @@ def list_snapshot_dir(spark: SparkSession, path: str, glob: str = "*") -> DataFr
 def snapshot_listing(snapshot: DataFrame) -> DataFrame:
     """S1 over a snapshot table: the file name each document would have."""
     return snapshot.select(F.concat(F.lower("chapter"), F.lit(".xml")).alias("col"))
+
+
+def save_bucketed_snapshot(snapshot: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Store a snapshot as a table bucketed and sorted on ``doc_id``.
+
+    Written once per day; every later comparison against it (J1-J3, F1, A3,
+    the paragraph jobs) joins two tables with the same bucketing, which Spark
+    plans without any exchange. Use the same bucket count for every snapshot.
+    ``path`` places the table on shared storage (an external table).
+    """
+    w = snapshot.write.mode("overwrite").bucketBy(buckets, "doc_id").sortBy("doc_id").format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+
+
+def read_bucketed_snapshot(spark: SparkSession, table: str) -> DataFrame:
+    """A stored snapshot; its bucketing is used by joins on ``doc_id``."""
+    return spark.table(table).select("doc_id", "chapter", "manual", "title", "text")

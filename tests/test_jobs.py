@@ -45,3 +45,16 @@ def test_document_job_run(spark, workdir):
     assert teams <= {"team=private_client", "team=share_schemes", "team=tax"} and teams
     ch = spark.read.option("header", True).csv(f"{out}/changes")
     assert ch.where(F.col("lev_distance").cast("int") <= 50).count() == 0
+
+
+def test_bucketed_snapshots_join_without_exchange(spark, workdir):
+    from palimpsest.operators import scoring
+    from palimpsest.sources.snapshots import read_bucketed_snapshot, save_bucketed_snapshot
+    prev, latest = snapshot_pair(spark, SF_SMALL)
+    save_bucketed_snapshot(prev, "snap_prev", 4, os.path.join(workdir, "snap_prev"))
+    save_bucketed_snapshot(latest, "snap_latest", 4, os.path.join(workdir, "snap_latest"))
+    p, l = read_bucketed_snapshot(spark, "snap_prev"), read_bucketed_snapshot(spark, "snap_latest")
+    metrics = scoring.document_metrics(p, l)
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert metrics.count() == scoring.document_metrics(prev, latest).count()
