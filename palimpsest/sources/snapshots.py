@@ -113,3 +113,13 @@ def save_bucketed_snapshot(snapshot: DataFrame, table: str, buckets: int, path:
 def read_bucketed_snapshot(spark: SparkSession, table: str) -> DataFrame:
     """A stored snapshot; its bucketing is used by joins on ``doc_id``."""
     return spark.table(table).select("doc_id", "chapter", "manual", "title", "text")
+
+
+def newest_files(spark: SparkSession, path: str, glob: str = "*", k: int = 1) -> DataFrame:
+    """The ``k`` most recently modified files matching ``glob``.
+
+    Ties on the modification time are broken by name. The listing never reads
+    file contents, and the top-k is a per-task limit followed by a merge.
+    """
+    listing = list_snapshot_dir(spark, path, glob)
+    return listing.orderBy(F.desc("mtime"), F.asc("col")).limit(k)

@@ -127,3 +127,17 @@ def test_crawl_report_stream(spark, workdir):
                                   checkpoint=os.path.join(workdir, "ck1"))
     assert q.exception() is None
     assert spark.table("crawl_t1").count() == 6
+
+
+def test_newest_files(spark, workdir):
+    import time as _t
+    from palimpsest.sources.snapshots import newest_files
+    d = os.path.join(workdir, "logs")
+    os.makedirs(d)
+    for i, name in enumerate(["log-a.csv", "log-b.csv", "log-c.csv", "other.txt"]):
+        p = os.path.join(d, name)
+        with open(p, "w") as f:
+            f.write("x")
+        os.utime(p, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    got = [r.col for r in newest_files(spark, d, "log-*.csv", 2).collect()]
+    assert got == ["log-c.csv", "log-b.csv"]
