@@ -109,3 +109,14 @@ def test_ref_lists_split_hot_pattern(spark):
     hot = [r for r in got if r.pattern == "HOT"]
     assert len(hot) == 3 and sorted(x for r in hot for x in r.doc_refs) == sorted(f"d{i}" for i in range(25))
     assert [(r.part, r.doc_refs) for r in got if r.pattern == "COLD"] == [(0, ["x"])]
+
+
+def test_crawl_job_redline_step(spark):
+    from palimpsest.plans.daily_jobs import redlined_changes
+    prev = snap(spark, [(1, "A1", "m", "t", "same line\nold text here<br>\ngone")])
+    latest = snap(spark, [(1, "A1", "m", "t", "same line\nnew text here<br>")])
+    pairs = P.pair_paragraphs(P.explode_paragraphs(prev), P.explode_paragraphs(latest))
+    rows = {r.pos: (r.markup, r.above_threshold) for r in redlined_changes(pairs).collect()}
+    assert rows[0] == ("same line", False)
+    assert rows[1][0] == "<del>old text here<br/></del><ins>new text here<br/></ins>"
+    assert rows[2] == ("<del>gone</del>", False)

@@ -141,3 +141,43 @@ def test_newest_files(spark, workdir):
         os.utime(p, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     got = [r.col for r in newest_files(spark, d, "log-*.csv", 2).collect()]
     assert got == ["log-c.csv", "log-b.csv"]
+
+
+def test_archive_dump_from_files(spark, workdir):
+    from palimpsest.operators import search
+    root = os.path.join(workdir, "dump")
+    members = {"grpA/EN_ch_1.xml": "alpha beta", "grpA/EN_ch_2.xml": "beta", "grpB/FR_ch_3.xml": "beta beta"}
+    for rel, text in members.items():
+        os.makedirs(os.path.dirname(os.path.join(root, rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w") as f:
+            f.write(text)
+    arch = search.read_archive(spark, root)
+    parsed = arch.select("member", "text", *search.parse_member_path("member"))
+    groups = spark.createDataFrame([("grpA",)], "grp string")
+    kept = search.members_in_groups(parsed, groups)
+    got = sorted((r.grp, r.filename, r.doc_ref, r.area) for r in kept.collect())
+    assert got == [("grpA", "EN_ch_1.xml", "1", "EN"), ("grpA", "EN_ch_2.xml", "2", "EN")]
+    docs = kept.select(F.col("doc_ref").cast("long").alias("doc_id"), "text")
+    terms = spark.createDataFrame([(1, "beta")], "term_idx long, term string")
+    hits = {(r.doc_id, r.n_hits) for r in search.term_hits(docs, terms).collect()}
+    assert hits == {(1, 1), (2, 1)}
+
+
+def test_xml_documents_from_files(spark, workdir):
+    prev, _ = snapshot_pair(spark, SF_SMALL)
+    src = prev.limit(3).collect()
+    d = os.path.join(workdir, "chapters")
+    os.makedirs(d)
+    rendered = xml.documents_to_xml(spark.createDataFrame(src)).collect()
+    for r in rendered:
+        with open(os.path.join(d, f"ch{r.doc_id}.xml"), "w", encoding="utf-8") as f:
+            f.write(r.xml)
+    with open(os.path.join(d, "notes.txt"), "w") as f:
+        f.write("not a chapter")
+    parsed = xml.read_xml_documents(spark, d).collect()
+    assert sorted((p.chapter, p.manual) for p in parsed) == sorted((s.chapter, s.manual) for s in src)
+    by_chapter = {s.chapter: s for s in src}
+    for p in parsed:
+        want = [x for x in by_chapter[p.chapter].text.split("\n") if x != ""]
+        assert [x for x in p.text.split("\n") if x != ""] == want
+        assert p.title == by_chapter[p.chapter].title
