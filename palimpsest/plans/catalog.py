@@ -75,12 +75,12 @@ def q_snapshot_listing(spark, sf):
 
 _TEAM_VALUES = """
 teams(team, source) AS (VALUES
-  ('private_client', 'src1'), ('private_client', 'src4'), ('private_client', 'src7'),
-  ('private_client', 'src10'), ('private_client', 'src13'), ('private_client', 'src16'),
-  ('private_client', 'src19'), ('private_client', 'SRC2'),
-  ('share_schemes', 'src0'), ('share_schemes', 'src3'), ('share_schemes', 'src4'), ('share_schemes', 'src8'),
-  ('tax', 'src2'), ('tax', 'src5'), ('tax', 'src6'), ('tax', 'src9'), ('tax', 'src11'), ('tax', 'src12'),
-  ('tax', 'src14'), ('tax', 'src15'), ('tax', 'src17'), ('tax', 'src18'))"""
+  ('alpha', 'src1'), ('alpha', 'src4'), ('alpha', 'src7'),
+  ('alpha', 'src10'), ('alpha', 'src13'), ('alpha', 'src16'),
+  ('alpha', 'src19'), ('alpha', 'SRC2'),
+  ('beta', 'src0'), ('beta', 'src3'), ('beta', 'src4'), ('beta', 'src8'),
+  ('gamma', 'src2'), ('gamma', 'src5'), ('gamma', 'src6'), ('gamma', 'src9'), ('gamma', 'src11'), ('gamma', 'src12'),
+  ('gamma', 'src14'), ('gamma', 'src15'), ('gamma', 'src17'), ('gamma', 'src18'))"""
 
 
 @query("team_documents", with_ctes(_TEAM_VALUES, """
@@ -762,11 +762,11 @@ def q_team_changes(spark, sf):
 
 @query("team_additions", with_ctes(SNAPSHOT_CTES + "," + _TEAM_VALUES, """
 SELECT doc_id, manual, chapter FROM latest
-WHERE doc_id NOT IN (SELECT doc_id FROM prev) AND manual IN (SELECT source FROM teams WHERE team = 'share_schemes')"""))
+WHERE doc_id NOT IN (SELECT doc_id FROM prev) AND manual IN (SELECT source FROM teams WHERE team = 'beta')"""))
 def q_team_additions(spark, sf):
     """J11 single team: ``Source isin`` one team list, as a semi-join."""
     prev, latest = _pair(spark, sf)
-    teams = csv_lists.read_team_lists(spark).where(F.col("team") == "share_schemes")
+    teams = csv_lists.read_team_lists(spark).where(F.col("team") == "beta")
     return relevance.team_filter(snapshot.additions(prev, latest), teams, "manual").select(
         "doc_id", "manual", "chapter")
 

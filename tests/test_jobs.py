@@ -42,7 +42,7 @@ def test_document_job_run(spark, workdir):
     assert counts["ALL"] == rep.count()
     assert counts["additions"] == 20 and counts["deletions"] == 20
     teams = {d for d in os.listdir(f"{out}/teams") if d.startswith("team=")}
-    assert teams <= {"team=private_client", "team=share_schemes", "team=tax"} and teams
+    assert teams <= {"team=alpha", "team=beta", "team=gamma"} and teams
     ch = spark.read.option("header", True).csv(f"{out}/changes")
     assert ch.where(F.col("lev_distance").cast("int") <= 50).count() == 0
 

@@ -14,18 +14,18 @@ from palimpsest.streaming import change_feed
 def test_team_lists_bom_quotes_case(spark):
     teams = csv_lists.read_team_lists(spark)
     rows = {(r.team, r.source) for r in teams.collect()}
-    assert ("share_schemes", "src0") in rows          # BOM header read as `Source`
-    assert ("private_client", "src7") in rows         # quoted value
-    assert ("private_client", "SRC2") in rows         # case kept: never equals src2
+    assert ("beta", "src0") in rows          # BOM header read as `Source`
+    assert ("alpha", "src7") in rows         # quoted value
+    assert ("alpha", "SRC2") in rows         # case kept: never equals src2
     assert teams.where(F.col("source").isNull()).count() == 0
 
 
 def test_team_list_commas(spark, workdir):
     p = os.path.join(workdir, "t.csv")
     with open(p, "w", encoding="utf-8") as f:
-        f.write('﻿Source\n"Trusts, Settlements and Estates"\nWelsh taxpayer\n')
+        f.write('﻿Source\n"North, South and East"\nWest region\n')
     got = [r.Source for r in csv_lists.read_list(spark, p).collect()]
-    assert got == ["Trusts, Settlements and Estates", "Welsh taxpayer"]
+    assert got == ["North, South and East", "West region"]
 
 
 REPORT = """<report>
