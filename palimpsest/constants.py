@@ -22,8 +22,6 @@ REPORT_DATE_FORMAT = "dd-MM-yyyy"
 VERSION_DATE_FORMAT = "yyyyMMdd"
 FEED_DATE_FORMAT = "d MMMM yyyy"
 METRICS_DATE_FORMAT = "yyyy-MM-dd"
-# Update types of the daily jobs.
-UPDATE_TYPES = ["new", "change", "deletion"]
 # --- end of fixed values ----------------------------------------------------
 
 # Engine parameters (not reference values).

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from palimpsest.constants import NOT_AVAILABLE
 from palimpsest.functions.text import content_hash, is_kept_paragraph, trim_trailing_blank
 
 DOC = "doc_id"
@@ -60,6 +61,9 @@ def numbered_paragraphs(docs: DataFrame, keep=("chapter", "manual", "title"),
     ``chapter_k`` key matches the snapshot log format.
     """
     keep = [k for k in keep if k in docs.columns]
+    # A missing chapter number or title reads as 'NA' in the log.
+    docs = docs.select(DOC, *[F.coalesce(F.col(k), F.lit(NOT_AVAILABLE)).alias(k)
+                              if k in ("chapter", "title") else F.col(k) for k in keep], text)
     tagged = F.transform(F.split(F.col(text), "\n"), lambda p, i: F.struct(i.alias("pos"), p.alias("para")))
     kept = F.filter(tagged, lambda s: is_kept_paragraph(s["para"]))
     return (docs.select(DOC, *keep, F.posexplode(kept).alias("k", "_s"))

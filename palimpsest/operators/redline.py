@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 DOC = "doc_id"
 
@@ -210,9 +209,3 @@ def changed_documents_only(pp: DataFrame, lp: DataFrame, changed_keys: DataFrame
     """Restrict both paragraph tables to documents that changed (semi-joins)."""
     k = changed_keys.select(DOC)
     return pp.join(k, DOC, "left_semi"), lp.join(k, DOC, "left_semi")
-
-
-def order_in_document(df: DataFrame) -> DataFrame:
-    """Stable display order of aligned rows inside a document."""
-    w = Window.partitionBy(DOC).orderBy(F.coalesce("curr_pos", "prev_pos"), F.col("prev_pos").asc_nulls_last())
-    return df.withColumn("row", F.row_number().over(w))

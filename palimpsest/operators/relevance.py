@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.constants import DIMENSION_BROADCAST_MAX_ROWS, REF_LIST_CHUNK
-from palimpsest.functions.text import leading_prefix
+from palimpsest.functions.text import leading_prefix, list_to_text
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -63,7 +63,7 @@ def lookup_refs(df: DataFrame, refs: DataFrame, key: str = "chapter", pattern: s
     part), so the left join adds rows only for patterns too hot for one list.
     """
     lists = ids_per_pattern(refs, pattern, doc).select(
-        F.col(pattern).alias(key), F.array_join("doc_refs", ", ").alias("doc_info"))
+        F.col(pattern).alias(key), list_to_text("doc_refs").alias("doc_info"))
     # No broadcast hint: a row count does not bound the bytes of these lists.
     # AQE still broadcasts them when the measured shuffle output is small.
     return (df.join(lists, key, "left")

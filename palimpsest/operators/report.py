@@ -13,9 +13,6 @@ from pyspark.sql.window import Window
 
 from palimpsest.constants import METRICS_DATE_FORMAT
 
-REPORT_COLUMNS = ["section", "source", "chapter_number", "title", "info"]
-
-
 def change_info(metrics: DataFrame) -> DataFrame:
     """P4 + P3: the human-readable change summary and view link per document."""
     info = F.format_string("Lev Distance: %d<br />CharCountDiff: %d<br />Changed paras: %d out of %d",

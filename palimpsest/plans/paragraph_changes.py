@@ -27,13 +27,13 @@ def logs(prev: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def new_paragraphs(plog: DataFrame, llog: DataFrame) -> DataFrame:
-    """J4 ``right_only``: keys only in the latest log."""
-    return llog.join(plog.select("key"), "key", "left_anti")
+    """J4 ``right_only`` / J4b: keys only in the latest log."""
+    return paragraphs.remove_keys(llog, plog)
 
 
 def deleted_paragraphs(plog: DataFrame, llog: DataFrame) -> DataFrame:
-    """J4 swapped: keys only in the previous log."""
-    return plog.join(llog.select("key"), "key", "left_anti")
+    """J4 swapped / J4b: keys only in the previous log."""
+    return paragraphs.remove_keys(plog, llog)
 
 
 def paired(plog: DataFrame, llog: DataFrame) -> DataFrame:

@@ -36,7 +36,8 @@ def crawl_report_stream(spark: SparkSession, path: str, max_files: int = 1) -> D
 
 def event_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
     """Stream of feed rows (parquet files with an explicit schema)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+            .option("recursiveFileLookup", True).parquet(path))
 
 
 def _event_time(stream: DataFrame, ts: str) -> DataFrame:

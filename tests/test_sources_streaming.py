@@ -85,8 +85,7 @@ def _split_events(spark, workdir, parts=4):
 
 def test_streaming_daily_counts_match_batch(spark, workdir):
     ev, d = _split_events(spark, workdir)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option(
-        "recursiveFileLookup", True).parquet(d)
+    stream = change_feed.event_stream(spark, d, ev.schema, max_files=1)
     q = change_feed.run_available(change_feed.daily_counts(stream, "event_type", delay="0 seconds"),
                                   "daily_counts_t3", checkpoint=os.path.join(workdir, "ck3"))
     assert q.exception() is None
