@@ -37,6 +37,13 @@ def terms_from_items(items: DataFrame, width: int = 40) -> DataFrame:
             .where(F.length("term") > 0))
 
 
+class _Held:
+    """Stand-in for a broadcast variable where none can be created."""
+
+    def __init__(self, value):
+        self.value = value
+
+
 def _non_overlapping(starts, length: int) -> int:
     n, free_from = 0, -1
     for s in sorted(starts):
@@ -89,7 +96,10 @@ def term_hits_broadcast(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """J14 + A6 via a broadcast automaton (caller has checked the size)."""
     spark = docs.sparkSession
     rows = [(r["term_idx"], r["term"]) for r in terms.select("term_idx", "term").collect()]
-    bc = spark.sparkContext.broadcast(rows)
+    try:
+        bc = spark.sparkContext.broadcast(rows)
+    except Exception:  # Spark Connect: the size-checked list travels with the function
+        bc = _Held(rows)
     return docs.select(DOC, "text").mapInPandas(_automaton_hits(bc), HIT_SCHEMA)
 
 

@@ -80,8 +80,11 @@ def ship_package(spark: SparkSession) -> None:
     driver's own import path is not visible to the workers (cluster, or a
     driver started outside the repository).
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     import zipfile
@@ -93,7 +96,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith((".py", ".csv")):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)
 
 
