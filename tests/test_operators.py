@@ -120,3 +120,26 @@ def test_crawl_job_redline_step(spark):
     assert rows[0] == ("same line", False)
     assert rows[1][0] == "<del>old text here<br/></del><ins>new text here<br/></ins>"
     assert rows[2] == ("<del>gone</del>", False)
+
+
+def test_hot_repeated_line_and_hot_manual(spark):
+    """A line repeated 4000 times in one document and one manual holding most
+    documents: results stay exact and the joins do not multiply rows."""
+    from palimpsest.operators import relevance
+    body = "\n".join(["boilerplate line"] * 4000 + ["tail old"])
+    prev = snap(spark, [(1, "A1", "hot", "t", body)] + [(i, f"A{i}", "hot", "t", "x") for i in range(2, 40)]
+                + [(99, "B99", "cold", "t", "y")])
+    latest = snap(spark, [(1, "A1", "hot", "t", body.replace("tail old", "tail new"))]
+                  + [(i, f"A{i}", "hot", "t", "x") for i in range(2, 40)] + [(99, "B99", "cold", "t", "y")])
+    pp, lp = P.explode_paragraphs(prev), P.explode_paragraphs(latest)
+    pairs = P.pair_paragraphs(pp, lp)
+    assert pairs.count() == pp.count() == 4001 + 39
+    marked = P.mark_found_elsewhere(pairs, lp)
+    assert marked.count() == pairs.count()                     # the text index never duplicates rows
+    assert marked.where("shifted").count() == 4000              # each repeated line exists elsewhere
+    assert [r.text for r in P.found_nowhere(pp, lp).collect()] == ["tail old"]
+    runs = P.deletion_runs(pp, lp).collect()
+    assert [(r.anchor_pos, r.start_pos, r.n_paras) for r in runs] == [(3999, 4000, 1)]
+    teams = spark.createDataFrame([("t1", "hot"), ("t2", "hot"), ("t1", "cold")], "team string, source string")
+    by_team = relevance.team_rows(prev.withColumnRenamed("manual", "source"), teams)
+    assert by_team.count() == 39 * 2 + 1
