@@ -8,6 +8,9 @@ in Hyyrö's (2003) formulation: one column of the matrix is a pair of bit
 vectors, and Python's big integers do a whole column per machine-word
 operation, so the cost is O(n * m / w). The common prefix and suffix are
 stripped first, which makes appended / prepended / trailing edits nearly free.
+On top of it, Ukkonen's band (only the diagonals within the distance can
+matter) on the block form of the algorithm, with a growing band, brings the
+cost down to O(n * d / w) for distance d.
 
 Distances are on code points, the same as ``F.levenshtein``.
 """
@@ -89,7 +92,9 @@ def exceeds(a: str, b: str, limit: int) -> bool:
     ca, cb = Counter(a), Counter(b)
     if max(sum((ca - cb).values()), sum((cb - ca).values())) > limit:
         return True
-    return bitparallel_levenshtein(a, b) > limit
+    if len(a) > len(b):
+        a, b = b, a
+    return banded_levenshtein(a, b, limit, max(1024, limit)) > limit
 
 
 @F.pandas_udf(T.BooleanType())
@@ -108,9 +113,106 @@ def long_exceeds(a, b, limit: int) -> Column:
     return _exceeds_udf(a, b, F.lit(limit))
 
 
+def _advance_block(vp: int, vn: int, eq: int, hin: int, mask: int, high: int):
+    """One column step of one pattern block (Myers 1999, block form)."""
+    xv = eq | vn
+    if hin < 0:
+        eq |= 1
+    xh = (((eq & vp) + vp) ^ vp) | eq
+    ph = vn | ~(xh | vp)
+    mh = vp & xh
+    hout = (1 if ph & high else 0) - (1 if mh & high else 0)
+    ph <<= 1
+    mh <<= 1
+    if hin < 0:
+        mh |= 1
+    elif hin > 0:
+        ph |= 1
+    return (mh | ~(xv | ph)) & mask, (ph & xv) & mask, hout
+
+
+def banded_levenshtein(a: str, b: str, k: int, block: int = 2048) -> int:
+    """Distance of ``a`` and ``b`` if it is at most ``k``; otherwise some value > k.
+
+    Ukkonen's band on the block form of the bit-parallel algorithm: per text
+    column only the pattern blocks that meet the band |i - j| <= k are
+    advanced. A block entering the band starts from vertical +1 deltas and the
+    topmost active block receives a +1 horizontal input once the blocks above
+    it have left the band; both only over-estimate cells, and every cell whose
+    distance is at most k is reached by an optimal path that stays inside the
+    band, so those cells — and the answer, when <= k — are exact.
+    """
+    m, n = len(a), len(b)
+    if abs(m - n) > k:
+        return k + 1
+    if m == 0:
+        return n
+    nb = (m + block - 1) // block
+    sizes = [min(block, m - i * block) for i in range(nb)]
+    masks = [(1 << sz) - 1 for sz in sizes]
+    highs = [1 << (sz - 1) for sz in sizes]
+    peq = [dict() for _ in range(nb)]
+    for i, ch in enumerate(a):
+        d = peq[i // block]
+        d[ch] = d.get(ch, 0) | (1 << (i % block))
+    vp = [0] * nb
+    vn = [0] * nb
+    score = [0] * nb
+    first, last = 0, -1
+    # column 0: D[i][0] = i for the rows within the band (i <= k)
+    top_rows = min(m, k)
+    while last < nb - 1 and (last + 1) * block < max(top_rows, 1):
+        last += 1
+        vp[last], vn[last] = masks[last], 0
+        score[last] = (score[last - 1] if last > 0 else 0) + sizes[last]
+    for j in range(1, n + 1):
+        lo_row, hi_row = max(1, j - k), min(m, j + k)
+        want_last = (hi_row - 1) // block
+        while last < want_last:
+            last += 1
+            vp[last], vn[last] = masks[last], 0
+            score[last] = score[last - 1] + sizes[last]
+        first = max(first, (lo_row - 1) // block)
+        ch = b[j - 1]
+        hin = 1
+        for bi in range(first, last + 1):
+            vp[bi], vn[bi], hout = _advance_block(vp[bi], vn[bi], peq[bi].get(ch, 0), hin,
+                                                  masks[bi], highs[bi])
+            score[bi] += hout
+            hin = hout
+    return score[nb - 1] if last == nb - 1 else k + 1
+
+
+def fast_levenshtein(a: str, b: str) -> int:
+    """Exact distance: banded passes with a growing band, full pass as the bound.
+
+    The length difference is a lower bound of the distance, so the first band
+    starts just above it (a pure insertion or deletion is settled at once);
+    a failed pass multiplies the band by 4. Blocks are sized to the band so a
+    column touches only a handful of them. Once the band would cover most of
+    the shorter text the unbanded pass is cheaper and is used instead.
+    Cost O(n * d / w) for distance d, never worse than about twice the full pass.
+    """
+    if a == b:
+        return 0
+    a, b = _strip_common(a, b)
+    if not a or not b:
+        return len(a) + len(b)
+    if len(a) > len(b):
+        a, b = b, a
+    k = (len(b) - len(a)) + 256
+    while 2 * k < len(a):
+        block = max(1024, min(1 << 16, k // 2))
+        d = banded_levenshtein(a, b, k, block)
+        if d <= k:
+            return d
+        k *= 4
+    return bitparallel_levenshtein(a, b)
+
+
 @F.pandas_udf(T.LongType())
 def _levenshtein_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else bitparallel_levenshtein(x, y)
+    return pd.Series([None if x is None or y is None else fast_levenshtein(x, y)
                       for x, y in zip(a, b)], dtype="Int64")
 
 
@@ -134,7 +236,7 @@ def _pairwise_sum_udf(a: pd.Series, b: pd.Series) -> pd.Series:
         if xs is None or ys is None:
             out.append(None)
             continue
-        out.append(sum(bitparallel_levenshtein(x or "", y or "") for x, y in zip(xs, ys)))
+        out.append(sum(fast_levenshtein(x or "", y or "") for x, y in zip(xs, ys)))
     return pd.Series(out, dtype="Int64")
 
 

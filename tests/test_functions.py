@@ -111,3 +111,25 @@ def test_exceeds_matches_distance():
         b = "".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 40)))
         for k in (0, 3, 10):
             assert exceeds(a, b, k) == (_dp(a, b) > k)
+
+
+def test_banded_distance_vs_dp():
+    from palimpsest.functions.distance import banded_levenshtein, fast_levenshtein
+    rnd = random.Random(5)
+    for _ in range(800):
+        a = "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 30)))
+        b = list(a) if rnd.random() < 0.5 else [rnd.choice("abc") for _ in range(rnd.randint(0, 30))]
+        for _ in range(rnd.randint(0, 5)):
+            p = rnd.randint(0, len(b))
+            r = rnd.random()
+            if r < 0.33:
+                b.insert(p, rnd.choice("abc"))
+            elif b:
+                b[min(p, len(b) - 1):min(p, len(b) - 1) + (r < 0.66)] = [] if r < 0.66 else [rnd.choice("abc")]
+        b = "".join(b)
+        d = _dp(a, b)
+        assert fast_levenshtein(a, b) == d
+        for k in (0, 1, 3, 8, 30):
+            for blk in (1, 3, 64):
+                got = banded_levenshtein(a, b, k, blk)
+                assert (got == d) if d <= k else (got > k)
