@@ -139,6 +139,20 @@ def q_crawl_report_rows(spark, sf):
     return xml.explode_crawl_report(reports).select("doc_id", "update_type", "id", "title", "uri")
 
 
+@query("crawl_report_counts", with_ctes(SNAPSHOT_CTES + "," + _STATUS_SQL, """
+SELECT update_type, count(*) AS n_reported, count(*) AS n_processed FROM status
+WHERE update_type <> 'same' GROUP BY update_type"""))
+def q_crawl_report_counts(spark, sf):
+    """Crawl-report job (C1): reported vs processed rows per update type (Q11)."""
+    prev, latest = _pair(spark, sf)
+    st = _status(spark, sf).where(F.col("update_type") != "same")
+    rows = xml.explode_crawl_report(xml.parse_crawl_report_column(xml.document_report_xml(st)))
+    page = lambda df: df.select(
+        F.concat(F.lit("https://manuals.example.org/"), F.col("manual"), F.lit("/"), F.lower("chapter")).alias("uri"),
+        "text")
+    return daily_jobs.crawl_report_job(rows, page(latest), page(prev), RUN_DATE)["counts"]
+
+
 @query("newest_events", """
 SELECT event_type, event_id, ts, CAST(rn AS INTEGER) AS rn FROM (
   SELECT event_type, event_id, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS rn

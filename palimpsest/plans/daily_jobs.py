@@ -55,3 +55,60 @@ def redlined_changes(pairs: DataFrame) -> DataFrame:
     return marked.select("doc_id", "pos", clean_redline(F.col("markup")).alias("markup"),
                          exceeds_distance(F.coalesce("prev_text", F.lit("")),
                                           F.coalesce("curr_text", F.lit(""))).alias("above_threshold"))
+
+
+# Link layout of the crawl reports: https://<host>/<manual>/<chapter>
+REPORT_URI_PATTERN = r"^https?://[^/]+/([^/]+)/(.+)$"
+
+
+def crawl_report_job(report_rows: DataFrame, latest: DataFrame, prev: DataFrame, run_date: str) -> dict:
+    """The crawl-report daily job over exploded report rows (S4 output).
+
+    ``report_rows``: ``(update_type, id, title, uri)``; ``latest`` / ``prev``:
+    page content keyed by ``uri`` (``uri, text``), yesterday's archive being
+    ``prev``. Returns lazily defined outputs:
+
+    * ``additions`` — D5 manual/chapter from the link, D7 display forms;
+    * ``changes`` — the same plus F3 ``above_threshold`` on the page texts and
+      the paragraph redline (D9) with the clean-up chain (D6), one row per page;
+    * ``counts`` — per update type the number reported and the number
+      processed (rows whose link parsed and whose pages were found), Q11;
+    * ``metrics`` — the K3 row ``Additions: a, Changes: c, Deletions: d``.
+    """
+    from palimpsest.operators import paragraphs, redline
+    from palimpsest.operators.report import metrics_rows
+    from palimpsest.functions.distance import long_exceeds
+
+    parsed = report_rows.select(
+        "update_type", "id", "title", "uri",
+        F.nullif(F.regexp_extract("uri", REPORT_URI_PATTERN, 1), F.lit("")).alias("manual"),
+        F.nullif(F.regexp_extract("uri", REPORT_URI_PATTERN, 2), F.lit("")).alias("chapter"))
+    ok = parsed.where(F.col("manual").isNotNull() & F.col("chapter").isNotNull())
+    shown = lambda df: df.select(
+        "id", title_case_words("manual").alias("manual"), F.upper("chapter").alias("chapter"), "title", "uri",
+        *[c for c in df.columns if c in ("above_threshold", "redline")])
+
+    adds = ok.where(F.col("update_type") == "new").join(latest.select("uri"), "uri", "left_semi")
+    cur = latest.select("uri", F.col("text").alias("curr_text"))
+    old = prev.select("uri", F.col("text").alias("prev_text"))
+    ch = ok.where(F.col("update_type") == "change").join(cur, "uri").join(old, "uri")
+    ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", 50))
+    # paragraph redline per changed page: pair by position, mark, clean, join in order
+    keyed = ch.select(F.col("id").cast("long").alias("doc_id"), "prev_text", "curr_text")
+    pp = paragraphs.explode_paragraphs(keyed.select("doc_id", F.col("prev_text").alias("text")))
+    lp = paragraphs.explode_paragraphs(keyed.select("doc_id", F.col("curr_text").alias("text")))
+    marked = redline.paragraph_markup(paragraphs.pair_paragraphs(pp, lp))
+    cleaned = marked.withColumn("markup", clean_redline(F.col("markup")))
+    red = redline.document_redline(cleaned).withColumnRenamed("doc_id", "_rid")
+    changes = ch.join(red, F.col("id").cast("long") == F.col("_rid"), "left").drop("_rid")
+
+    reported = report_rows.groupBy("update_type").agg(F.count(F.lit(1)).alias("n_reported"))
+    processed = (adds.select("update_type").unionByName(ch.select("update_type"))
+                 .unionByName(ok.where(F.col("update_type") == "deletion").select("update_type"))
+                 .groupBy("update_type").agg(F.count(F.lit(1)).alias("n_processed")))
+    counts = reported.join(processed, "update_type", "left").fillna(0, ["n_processed"])
+    labels = [("new", "Additions"), ("change", "Changes"), ("deletion", "Deletions")]
+    summary = feed.daily_summary(report_rows.withColumn("ts", F.to_timestamp(F.lit(run_date))),
+                                 "ts", "update_type", labels)
+    return {"additions": shown(adds), "changes": shown(changes), "counts": counts,
+            "metrics": metrics_rows(summary, "crawl report")}

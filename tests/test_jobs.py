@@ -58,3 +58,29 @@ def test_bucketed_snapshots_join_without_exchange(spark, workdir):
     plan = metrics._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert metrics.count() == scoring.document_metrics(prev, latest).count()
+
+
+def test_crawl_report_job(spark):
+    from palimpsest.plans.catalog import REGISTRY, _status, RUN_DATE
+    from palimpsest.plans.daily_jobs import crawl_report_job
+    from palimpsest.sources import xml
+    prev, latest = snapshot_pair(spark, SF_SMALL)
+    st = _status(spark, SF_SMALL).where(F.col("update_type") != "same")
+    rows = xml.explode_crawl_report(xml.parse_crawl_report_column(xml.document_report_xml(st)))
+    page = lambda df: df.select(
+        F.concat(F.lit("https://manuals.example.org/"), F.col("manual"), F.lit("/"), F.lower("chapter")).alias("uri"),
+        "text")
+    out = crawl_report_job(rows, page(latest), page(prev), RUN_DATE)
+    adds = out["additions"].collect()
+    assert len(adds) == 20 and all(r.chapter == r.chapter.upper() and r.manual[0].isupper() for r in adds)
+    changes = out["changes"].collect()
+    n_changed = st.where("update_type = 'change'").count()
+    assert len(changes) == n_changed
+    assert all(r.redline is not None for r in changes)
+    # a trailing blank (edit kind 5) is trimmed before pairing: nothing to mark
+    marked = [r for r in changes if int(r.id) % 10 != 5]
+    assert marked and all("<del>" in r.redline or "<ins>" in r.redline for r in marked)
+    assert all("<del>" not in r.redline for r in changes if int(r.id) % 10 == 5)
+    m = out["metrics"].collect()
+    assert len(m) == 1 and m[0].details == f"Additions: 20, Changes: {n_changed}, Deletions: 20"
+    assert m[0].date == RUN_DATE
