@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import REPORT_DATE_FORMAT, VERSION_DATE_FORMAT
+from palimpsest.constants import REPORT_DATE_FORMAT, VERSION_DATE_FORMAT, WITHHELD_PHRASES
 from palimpsest.functions.html import article_body, clean_redline, strip_navigation
-from palimpsest.functions.text import exceeds_distance, title_case_words
+from palimpsest.functions.text import contains_any, exceeds_distance, title_case_words
 from palimpsest.operators import feed
 
 
@@ -112,3 +112,49 @@ def crawl_report_job(report_rows: DataFrame, latest: DataFrame, prev: DataFrame,
                                  "ts", "update_type", labels)
     return {"additions": shown(adds), "changes": shown(changes), "counts": counts,
             "metrics": metrics_rows(summary, "crawl report")}
+
+
+def updates_feed_job(feed_rows: DataFrame, pages: DataFrame, archive: DataFrame, run_date: str,
+                     marker: str | None = None) -> dict:
+    """The updates-feed daily job.
+
+    ``feed_rows``: ``(ts, url, title)``, newest first in meaning (any order in
+    storage); ``pages``: fetched pages ``(url, html)``; ``archive``:
+    yesterday's bodies ``(chapter, body)``. Steps: F7 ordered take-while on the
+    run date -> F8/D5 link kind and parts -> M9/D10 page body -> J12/F9
+    classification against the archive -> for changes, the paragraph redline
+    of the body text (D12 -> D9 -> D6) and the F3 flag -> D7/P6 update rows ->
+    F14 split -> the K3 row ``Updates: n``.
+    """
+    from palimpsest.functions.distance import long_exceeds
+    from palimpsest.functions.html import html_to_text
+    from palimpsest.operators import paragraphs, redline
+    from palimpsest.operators.report import metrics_rows
+
+    today = feed.link_parts(feed.take_while_today(feed_rows, run_date), "url", marker)
+    body = pages.select("url", article_body(strip_navigation(F.col("html"))).alias("body"))
+    rows = today.join(body, "url")
+    arch = archive.select("chapter", F.col("body").alias("prev_body"))
+    classified = (rows.join(arch, "chapter", "left")
+                  .withColumn("update_type", F.when(F.col("prev_body").isNotNull(), "change")
+                              .when(contains_any(F.col("body"), WITHHELD_PHRASES), "deletion")
+                              .otherwise("new")))
+    text = lambda c: F.regexp_replace(html_to_text(c), r"\n+", "\n")
+    ch = (feed.of_type(classified, "change")
+          .withColumn("curr_text", text(F.col("body"))).withColumn("prev_text", text(F.col("prev_body")))
+          .withColumn("doc_id", F.xxhash64("url")))
+    ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", 50))
+    pp = paragraphs.explode_paragraphs(ch.select("doc_id", F.col("prev_text").alias("text")))
+    lp = paragraphs.explode_paragraphs(ch.select("doc_id", F.col("curr_text").alias("text")))
+    marked = redline.paragraph_markup(paragraphs.pair_paragraphs(pp, lp))
+    red = redline.document_redline(marked.withColumn("markup", clean_redline(F.col("markup"))))
+    changes = ch.join(red, "doc_id", "left")
+    table = update_table(classified.withColumn("page_id", F.xxhash64("url")), run_date)
+    summary = feed.daily_summary(classified.withColumn("ts", F.to_timestamp(F.lit(run_date))),
+                                 "ts", "update_type", [("new", "New"), ("change", "Change"),
+                                                       ("deletion", "Deletion")])
+    total = summary.select("day", F.concat(F.lit("Updates: "), F.col("total").cast("string")).alias("details"))
+    return {"updates": table, "changes": changes.select("url", "manual", "chapter", "above_threshold", "redline"),
+            "new": feed.of_type(classified, "new").select("url", "manual", "chapter"),
+            "deletions": feed.of_type(classified, "deletion").select("url", "manual", "chapter"),
+            "metrics": metrics_rows(total, "updates feed")}

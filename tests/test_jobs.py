@@ -84,3 +84,29 @@ def test_crawl_report_job(spark):
     m = out["metrics"].collect()
     assert len(m) == 1 and m[0].details == f"Additions: 20, Changes: {n_changed}, Deletions: 20"
     assert m[0].date == RUN_DATE
+
+
+def test_updates_feed_job(spark):
+    from palimpsest.functions.html import article_body, strip_navigation, url_part
+    from palimpsest.plans.daily_jobs import updates_feed_job
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("url", "html")
+    feed_rows = (pages.select(F.to_timestamp(F.lit("2024-01-15 10:00:00")).alias("ts"), "url",
+                              F.lit("t").alias("title"))
+                 .unionByName(spark.createDataFrame([("2024-01-14 09:00:00", "https://x.example.com/en/1", "old")],
+                                                    "ts string, url string, title string")
+                              .select(F.to_timestamp("ts").alias("ts"), "url", "title")))
+    bodies = pages.select(url_part("url", 2).alias("chapter"),
+                          article_body(strip_navigation(F.col("html"))).alias("body"))
+    # yesterday's archive: a few chapters, first paragraph of each body rewritten
+    archive = (bodies.dropDuplicates(["chapter"]).orderBy("chapter").limit(5)
+               .withColumn("body", F.regexp_replace("body", r"(?s)^(.*?)<p>", "<p>Yesterday's opening.</p>$1<p>")))
+    out = updates_feed_job(feed_rows, pages, archive, "2024-01-15", marker=".example.")
+    n_pages = pages.count()
+    assert out["updates"].count() == n_pages                       # the older row is not read
+    archived = {r.chapter for r in archive.collect()}
+    changes = out["changes"].collect()
+    assert {r.chapter for r in changes} == archived
+    assert all(r.redline and ("<del>" in r.redline or "<ins>" in r.redline) for r in changes)
+    assert out["new"].count() + out["deletions"].count() + len(changes) == n_pages
+    m = out["metrics"].collect()
+    assert [r.details for r in m] == [f"Updates: {n_pages}"]
