@@ -87,6 +87,25 @@ def pair_paragraphs(pp: DataFrame, lp: DataFrame, how: str = "full_outer") -> Da
     return p.join(c, [DOC, "pos"], how).withColumn("status", status)
 
 
+def pair_in_row(pairs: DataFrame, keep=("chapter", "manual")) -> DataFrame:
+    """J6 for documents that already meet in one row (``prev_text``, ``curr_text``).
+
+    ``arrays_zip`` of the two trimmed paragraph arrays pads the shorter side
+    with NULL — the full outer positional pairing — and ``posexplode`` turns it
+    into rows in place: no paragraph-level exchange, and the rows keep the
+    join's ``doc_id`` partitioning for any per-document step after it.
+    """
+    keep = [k for k in keep if k in pairs.columns]
+    z = F.arrays_zip(paragraph_array("prev_text").alias("p"), paragraph_array("curr_text").alias("c"))
+    rows = pairs.select(DOC, *keep, F.posexplode_outer(z).alias("pos", "_pc")).where(F.col("_pc").isNotNull())
+    status = (F.when(F.col("prev_text").isNull(), "inserted")
+              .when(F.col("curr_text").isNull(), "deleted")
+              .when(F.col("prev_text") == F.col("curr_text"), "same")
+              .otherwise("changed"))
+    return (rows.select(DOC, *keep, "pos", F.col("_pc.p").alias("prev_text"), F.col("_pc.c").alias("curr_text"))
+            .withColumn("status", status))
+
+
 def _text_index(side: DataFrame, text: str = "text") -> DataFrame:
     """Distinct ``(doc_id, h, text)`` of one side with the positions it holds.
 

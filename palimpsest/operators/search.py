@@ -164,7 +164,9 @@ def term_hits(docs: DataFrame, terms: DataFrame, force: str | None = None) -> Da
     """
     use_broadcast = force == "broadcast" or (force is None and _term_list_fits(terms))
     hits = term_hits_broadcast(docs, terms) if use_broadcast else term_hits_kgram(docs, terms)
-    named = hits.join(terms.select("term_idx", "term"), "term_idx")
+    names = terms.select("term_idx", "term")
+    # the size check above proved the list small enough to broadcast
+    named = hits.join(F.broadcast(names) if use_broadcast else names, "term_idx")
     w = Window.partitionBy(DOC).orderBy("term_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return named.select(DOC, "term_idx", "term", "n_hits",
                         F.sum("n_hits").over(w).cast("long").alias("running_hits"))

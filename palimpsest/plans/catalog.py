@@ -900,10 +900,10 @@ WHERE a.doc_id IN (SELECT p.doc_id FROM prev p JOIN latest l ON p.doc_id = l.doc
 def q_aligned_paragraphs(spark, sf):
     """K4: side-by-side rows of every changed document, ready for ``partitionBy(manual)``."""
     prev, latest = _pair(spark, sf)
-    keys = snapshot.content_changed(prev, latest).select("doc_id")
-    pp, lp = redline.changed_documents_only(paragraphs.explode_paragraphs(prev),
-                                            paragraphs.explode_paragraphs(latest), keys)
-    return report.aligned_table(paragraphs.pair_paragraphs(pp, lp), prev)
+    pairs = paragraphs.pair_in_row(snapshot.changed_pairs(prev, latest))
+    return pairs.select("manual", "chapter", "doc_id", "pos",
+                        F.coalesce("prev_text", F.lit("")).alias("prev_text"),
+                        F.coalesce("curr_text", F.lit("")).alias("curr_text"), "status")
 
 
 # =============================================================================
@@ -1043,10 +1043,8 @@ SELECT doc_id, string_agg(markup, chr(10) ORDER BY pos) AS redline FROM marked G
 def q_paragraph_redline(spark, sf):
     """D9 paragraph form: per changed document, ``<del>``/``<ins>`` markup joined in order."""
     prev, latest = _pair(spark, sf)
-    keys = snapshot.content_changed(prev, latest).select("doc_id")
-    pp, lp = redline.changed_documents_only(paragraphs.explode_paragraphs(prev),
-                                            paragraphs.explode_paragraphs(latest), keys)
-    return redline.document_redline(redline.paragraph_markup(paragraphs.pair_paragraphs(pp, lp)))
+    pairs = paragraphs.pair_in_row(snapshot.changed_pairs(prev, latest))
+    return redline.document_redline(redline.paragraph_markup(pairs))
 
 
 @query("word_redline", None)

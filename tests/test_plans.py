@@ -31,6 +31,9 @@ def shuffles(plan):
     ("look_ahead_status", 2),
     ("deletion_runs", 2),             # the text index and the window reuse doc_id hashing
     ("threshold_flags", 2),
+    ("aligned_paragraphs", 2),       # pairs built inside the joined document row
+    ("paragraph_redline", 2),        # ... and the per-document redline reuses the join's hashing
+    ("term_hits", 1),                # only the matched pairs move, for the running total
 ])
 def test_exchange_counts(static_plan, name, expected):
     plan = static_plan(name)
