@@ -203,9 +203,3 @@ def align_documents(pairs: DataFrame) -> DataFrame:
     aligned = pairs.select(DOC, F.explode(_align_udf(paragraph_array("prev_text"),
                                                      paragraph_array("curr_text"))).alias("_a"))
     return aligned.select(DOC, "_a.prev_pos", "_a.curr_pos", "_a.prev_text", "_a.curr_text", "_a.status")
-
-
-def changed_documents_only(pp: DataFrame, lp: DataFrame, changed_keys: DataFrame):
-    """Restrict both paragraph tables to documents that changed (semi-joins)."""
-    k = changed_keys.select(DOC)
-    return pp.join(k, DOC, "left_semi"), lp.join(k, DOC, "left_semi")

@@ -95,9 +95,7 @@ def crawl_report_job(report_rows: DataFrame, latest: DataFrame, prev: DataFrame,
     ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", 50))
     # paragraph redline per changed page: pair by position, mark, clean, join in order
     keyed = ch.select(F.col("id").cast("long").alias("doc_id"), "prev_text", "curr_text")
-    pp = paragraphs.explode_paragraphs(keyed.select("doc_id", F.col("prev_text").alias("text")))
-    lp = paragraphs.explode_paragraphs(keyed.select("doc_id", F.col("curr_text").alias("text")))
-    marked = redline.paragraph_markup(paragraphs.pair_paragraphs(pp, lp))
+    marked = redline.paragraph_markup(paragraphs.pair_in_row(keyed))
     cleaned = marked.withColumn("markup", clean_redline(F.col("markup")))
     red = redline.document_redline(cleaned).withColumnRenamed("doc_id", "_rid")
     changes = ch.join(red, F.col("id").cast("long") == F.col("_rid"), "left").drop("_rid")
@@ -144,9 +142,7 @@ def updates_feed_job(feed_rows: DataFrame, pages: DataFrame, archive: DataFrame,
           .withColumn("curr_text", text(F.col("body"))).withColumn("prev_text", text(F.col("prev_body")))
           .withColumn("doc_id", F.xxhash64("url")))
     ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", 50))
-    pp = paragraphs.explode_paragraphs(ch.select("doc_id", F.col("prev_text").alias("text")))
-    lp = paragraphs.explode_paragraphs(ch.select("doc_id", F.col("curr_text").alias("text")))
-    marked = redline.paragraph_markup(paragraphs.pair_paragraphs(pp, lp))
+    marked = redline.paragraph_markup(paragraphs.pair_in_row(ch.select("doc_id", "prev_text", "curr_text")))
     red = redline.document_redline(marked.withColumn("markup", clean_redline(F.col("markup"))))
     changes = ch.join(red, "doc_id", "left")
     table = update_table(classified.withColumn("page_id", F.xxhash64("url")), run_date)
