@@ -660,7 +660,7 @@ FROM pairs p WHERE p.status = 'changed'"""))
 def q_shifted_paragraphs(spark, sf):
     """Is a changed paragraph's old text found elsewhere in the new document?"""
     pp, lp = _paras(spark, sf)
-    ch = paragraphs.pair_paragraphs(pp, lp).where(F.col("status") == "changed")
+    ch = paragraphs.pair_paragraphs(pp, lp, "inner").where(F.col("status") == "changed")
     return paragraphs.mark_found_elsewhere(ch, lp).select("doc_id", "pos", "prev_text", "shifted")
 
 
@@ -965,7 +965,7 @@ FROM pairs WHERE status = 'changed'"""))
 def q_paragraph_distances(spark, sf):
     """D1 + D2 + F3 on every changed paragraph pair (code-point distance)."""
     pp, lp = _paras(spark, sf)
-    ch = paragraphs.pair_paragraphs(pp, lp).where(F.col("status") == "changed")
+    ch = paragraphs.pair_paragraphs(pp, lp, "inner").where(F.col("status") == "changed")
     return ch.select("doc_id", "pos", X.edit_distance("prev_text", "curr_text").cast("long").alias("lev_distance"),
                      X.length_diff("prev_text", "curr_text").cast("long").alias("char_count_diff"),
                      X.exceeds_distance("prev_text", "curr_text").alias("above_threshold"))
@@ -1051,7 +1051,7 @@ def q_paragraph_redline(spark, sf):
 def q_word_redline(spark, sf):
     """D9 word form (Arrow UDF on changed pairs only); checked against difflib in tests."""
     pp, lp = _paras(spark, sf)
-    pairs = paragraphs.pair_paragraphs(pp, lp).where(F.col("status") == "changed")
+    pairs = paragraphs.pair_paragraphs(pp, lp, "inner").where(F.col("status") == "changed")
     return redline.word_markup(pairs).select("doc_id", "pos", "markup")
 
 
@@ -1066,7 +1066,7 @@ def q_pages_without_nav(spark, sf):
 def q_underline_cleaned(spark, sf):
     """Angle brackets removed inside every ``<u>`` of the word redline (Arrow UDF)."""
     pp, lp = _paras(spark, sf)
-    pairs = paragraphs.pair_paragraphs(pp, lp).where(F.col("status") == "changed")
+    pairs = paragraphs.pair_paragraphs(pp, lp, "inner").where(F.col("status") == "changed")
     marked = redline.word_markup(pairs)
     u = F.regexp_replace("markup", r"<(/?)(ins|del)>", "<$1u>")
     return marked.select("doc_id", "pos", redline.clean_underlined_udf(u).alias("cleaned"))

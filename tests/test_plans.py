@@ -34,6 +34,8 @@ def shuffles(plan):
     ("aligned_paragraphs", 2),       # pairs built inside the joined document row
     ("paragraph_redline", 2),        # ... and the per-document redline reuses the join's hashing
     ("term_hits", 1),                # only the matched pairs move, for the running total
+    ("shifted_paragraphs", 3),       # two sides + the text index; the inner pairing keeps doc_id hashing
+    ("word_redline", 2),
 ])
 def test_exchange_counts(static_plan, name, expected):
     plan = static_plan(name)
