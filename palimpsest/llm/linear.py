@@ -143,7 +143,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, doc_id: str,
             .join(F.broadcast(picked), "_id").select("y", "text"))
 
 
-def score_column(docs: DataFrame, cols: list[str], text: str, ddl: str, score: Callable) -> DataFrame:
+def score_column(docs: DataFrame, cols: list[str], text: str, ddl: str, score: Callable,
+                 max_bytes: int = 4 << 20) -> DataFrame:
     """``cols`` of ``docs`` and what ``score`` makes of the text column, batch by batch."""
     names = [x.split()[0] for x in ddl.split(",")]
     out = docs.select(*cols).schema
@@ -152,7 +153,7 @@ def score_column(docs: DataFrame, cols: list[str], text: str, ddl: str, score: C
 
     def run(batches: Iterator) -> Iterator:
         at = len(cols)
-        for b in slices(batches, at):
+        for b in slices(batches, at, max_bytes):
             made = score(b.column(at))
             yield pa.RecordBatch.from_arrays([*b.columns[:at], *[pa.array(m) for m in made]], names=[*cols, *names])
     return docs.select(*cols, F.coalesce(F.col(text), F.lit("")).alias("_text")).mapInArrow(run, out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import license_scan, mixing, quality, toxicity, url_filter
+from palimpsest.llm import langid, license_scan, mixing, quality, toxicity, url_filter
 from palimpsest.llm.common import table
 
 
@@ -24,10 +24,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_url_filter, op3_license_scan, op6_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_url_filter, op3_license_scan, op6_quality, op9_langid, op10_toxicity)}
 ORACLE_SQL = {"op1_source_mix": mixing.ORACLE_SQL, "op2_url_filter": url_filter.ORACLE_SQL,
               "op3_license_scan": license_scan.ORACLE_SQL}
