@@ -83,7 +83,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, m
     start = F.col("pass") * F.col("source_size") + F.col("end") - F.col("size")
     passes = (passes.withColumn("served", F.when(start.isNull(), 0).otherwise(F.least(F.col("size"), F.col("lot") - start)))
               .withColumn("finish", F.coalesce((start + F.col("served")) / F.col("target"), F.lit(0.0)))
-              .withColumn("span", F.least(F.floor(F.col("finish") * nb), F.lit(nb)).cast("int")))
+              .withColumn("span", F.when(F.col("pass").isNull(), F.pmod(F.xxhash64("skey", "bucket", "nth"), F.lit(nb)))
+                          .otherwise(F.least(F.floor(F.col("finish") * nb), F.lit(nb))).cast("int")))
 
     spans = passes.groupBy("span").agg(F.sum("served").alias("words"))
     spans = spans.select("span", F.coalesce(F.sum("words").over(
