@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, jaccard, langid, license_scan, mixing, quality, simhash, toxicity, url_filter
+from palimpsest.llm import decontaminate, jaccard, langid, license_scan, mixing, quality, simhash, suffix_dedup, toxicity, url_filter
 from palimpsest.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), length=400)
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -44,6 +48,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_url_filter, op3_license_scan, op4_decontaminate, op5_fingerprints, op6_quality, op8_jaccard, op9_langid, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_url_filter, op3_license_scan, op4_decontaminate, op5_fingerprints, op6_quality, op7_suffix_dedup, op8_jaccard, op9_langid, op10_toxicity)}
 ORACLE_SQL = {"op1_source_mix": mixing.ORACLE_SQL, "op2_url_filter": url_filter.ORACLE_SQL,
               "op3_license_scan": license_scan.ORACLE_SQL}
