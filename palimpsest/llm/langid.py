@@ -109,10 +109,12 @@ def word_logs(w: hashed.Words, model: dict) -> tuple[np.ndarray, np.ndarray, np.
     return logs, row, number
 
 
-def sample_words(docs: DataFrame, lang: str, bound: int) -> DataFrame:
-    """``(lang, word, n)``: how often the words of at most about ``bound`` documents of each language occur."""
+def sample_words(docs: DataFrame, lang: str, bound: int) -> tuple:
+    """``(lang, word, n)``: how often the words of at most about ``bound`` documents of each language occur; and the languages."""
     sizes = {r[0]: r[1] for r in docs.groupBy(lang).count().collect()}  # a row a language
     chance = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 20) * min(1.0, bound / n)))])
+    if not sizes:
+        return None, []
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < chance[F.col(lang)])
 
     def run(batches: Iterator) -> Iterator:
