@@ -109,3 +109,49 @@ def slices(batches: Iterator, text: int, max_bytes: int = 4 << 20) -> Iterator:
 
 def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
+
+
+class Sieve:
+    """A bitmap of hashed values: tells which rows cannot be in a set, before they are shuffled to it.
+
+    It has 16 bits for each value, 2^28 (32 MB) at most whatever the size of
+    the set; beyond that it lets more rows through, and the exact join that
+    follows stays the judge. Made by Spark's bitmap aggregates; only the
+    finished bits reach the driver.
+    """
+
+    MOST_BITS = 1 << 28
+
+    def __init__(self, df: DataFrame, hash_col: Column):
+        import numpy as np
+        values = df.select(hash_col.alias("h"))
+        self.bits = min(self.MOST_BITS, max(1 << 15, 1 << (16 * values.count()).bit_length()))
+        at = F.pmod(F.col("h"), F.lit(self.bits)) + 1
+        rows = (values.groupBy(F.bitmap_bucket_number(at).alias("bucket"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect())
+        whole = np.zeros(self.bits // 8, np.uint8)
+        for r in rows:
+            whole[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+        self.shared = df.sparkSession.sparkContext.broadcast(whole)
+
+    def __getstate__(self):
+        return self.bits, self.shared
+
+    def __setstate__(self, state):
+        self.bits, self.shared = state
+
+    def may_hold(self, h):
+        """For an int64 array of hashes: False where the value is certainly not in the set."""
+        import numpy as np
+        at = np.mod(h, self.bits)
+        return (self.shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    def rows(self, df: DataFrame, hash_name: str, keep: bool = True) -> DataFrame:
+        """The rows of ``df`` whose hash may be in the set (or, with ``keep`` False, the others)."""
+        import pyarrow as pa
+        at, sieve = df.columns.index(hash_name), self
+
+        def run(batches: Iterator) -> Iterator:
+            for b in batches:
+                yield b.filter(pa.array(sieve.may_hold(b.column(at).to_numpy()) == keep))
+        return df.mapInArrow(run, df.schema)

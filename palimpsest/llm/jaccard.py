@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm import hashed
-from palimpsest.llm.common import cut_lineage, min_labels, slices, with_workers
+from palimpsest.llm.common import Sieve, cut_lineage, min_labels, slices, with_workers
 
 GROUP = 64  # texts in a group of the matrix, about
 NO_ID = -(1 << 63)  # stands for a null id
@@ -83,7 +83,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
     is below all others. Shingles are compared by 64-bit hashes.
 
     1. Equal sets are one class. Each class names the smallest hashes of its
-       set, twice the prefix that a linked pair must share a token of. Tokens
+       set, one and a half times the prefix that a linked pair must share a token of. Tokens
        of one class only are dropped; of the rest a class keeps the rarest, as
        many as its prefix has left. Most texts keep none and are done.
     2. Those left are partitioned into groups of likely similar texts (by
@@ -104,7 +104,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             row, h, cuts = token_sets(b.column(1), k)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(cuts)), pa.array(set_digests(row, h, b.num_rows))], names=["id", "n", "c"])
 
-    def prefixes(batches: Iterator) -> Iterator:
+    def prefixes(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
         for b in slices(batches, 1):
             row, h, cuts = token_sets(b.column(1), k)
             n = np.diff(cuts)
@@ -116,9 +116,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             once[1:] = c[order[1:]] != c[order[:-1]]
             chosen = np.zeros(b.num_rows, bool)
             chosen[order[once]] = True
-            most = np.minimum(n, 2 * (n - needed(n, percent) + 1))
+            most = np.minimum(n, (3 * (n - needed(n, percent) + 1) + 1) // 2)
             take = chosen[row] & (np.arange(len(row)) - cuts[row] < most[row])
             row, h = row[take], h[take].astype(np.int64)
+            if sieve:
+                may = sieve.may_hold(h)
+                row, h = row[may], h[may]
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c[row]), pa.array(n[row]), pa.array(b.column(0).to_numpy()[row])], names=["token", "c", "n", "id"])
 
     def whole(batches: Iterator) -> Iterator:
@@ -130,16 +133,20 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(low), pa.array(sets, pa.binary())], names=["c", "low", "tokens"])
 
     ids = cut_lineage(d.mapInArrow(digests, "id long, n long, c long"))
-    tokens = d.mapInArrow(prefixes, "token long, c long, n long, id long")
-    shared = (tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-              .where("lo < hi").select("token", "df"))
+    ddl = "token long, c long, n long, id long"
+    shared = cut_lineage(d.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+                         .where("lo < hi").select("token", "df"))
+    some = Sieve(shared, F.col("token"))  # most tokens are of one class and need not be shuffled again
+    tokens = d.mapInArrow(lambda batches: prefixes(batches, some), ddl)
     prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
     kept = (tokens.join(shared, "token").groupBy("c", "n")
             .agg(F.min("id").alias("id"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
-            .withColumn("room", (prefix - (F.least(F.col("n"), 2 * prefix) - F.size("t"))).cast("int"))
+            .withColumn("room", (prefix - (F.least(F.col("n"), F.floor((3 * prefix + 1) / 2)) - F.size("t"))).cast("int"))
             .where("room > 0").select("c", "id", F.expr("transform(slice(t, 1, room), x -> x.token)").alias("kept")))
     kept = cut_lineage(kept)
-    texts = (d.join(kept.select("id").distinct(), "id").select("id", "text").mapInArrow(whole, "c long, low long, tokens binary")
+    ids_left = kept.select("id").distinct()
+    of_them = Sieve(ids_left, F.xxhash64("id")).rows(d.withColumn("h", F.xxhash64("id")), "h").drop("h")
+    texts = (of_them.join(ids_left, "id").select("id", "text").mapInArrow(whole, "c long, low long, tokens binary")
              .groupBy("c").agg(F.min("low").alias("low"), F.min("tokens").alias("tokens")))
     sets = cut_lineage(texts.join(kept.select("c", "kept"), "c"))
 
