@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.llm import hashed
-from palimpsest.llm.common import cut_lineage, slices, with_workers
+from palimpsest.llm.common import Sieve, cut_lineage, slices, with_workers
 
 
 def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
@@ -79,6 +79,19 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` (``id``, ``text`` and others) with ``key`` in place of ``id``."""
+    names = ["key", *rows.columns[1:]]
+
+    def run(batches: Iterator) -> Iterator:
+        for b in slices(batches, 1):
+            s = Spans.__new__(Spans)
+            data, s.offsets = hashed.bytes_of(b.column(1))
+            s.sums, s.inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
+            yield pa.RecordBatch.from_arrays([_i64(s.keys(b.column(0).to_numpy())), *b.columns[1:]], names=names)
+    return rows.mapInArrow(run, rows.withColumnRenamed("id", "key").schema)
+
+
 def _i64(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.int64))
 
@@ -106,17 +119,20 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
             s = Spans(b.column(1), length, core)
             yield pa.RecordBatch.from_arrays([_i64(s.piece), _i64(s.whole)], names=["piece", "whole"])
 
+    twice = cut_lineage(d.mapInArrow(pieces, "piece long, whole long").groupBy("piece")
+             .agg(F.count("*").alias("places"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
+             .where("places > 1").select("piece", (F.col("lo") != F.col("hi")).alias("mixed")))
+    some = Sieve(twice, F.col("piece"))  # most pieces stand once and need not be shuffled again
+
     def anchors(batches: Iterator) -> Iterator:
         for b in slices(batches, 1):
             s = Spans(b.column(1), length, core)
             key = s.keys(b.column(0).to_numpy())
             at = s.offsets[s.row]
-            yield pa.RecordBatch.from_arrays([_i64(s.piece), _i64(s.whole), _i64(key[s.row]), _i64(s.first - at), _i64(s.last - at)],
-                                             names=["piece", "whole", "key", "first", "last"])
+            may = some.may_hold(s.piece.astype(np.int64))
+            cols = [s.piece, s.whole, key[s.row], s.first - at, s.last - at]
+            yield pa.RecordBatch.from_arrays([_i64(c[may]) for c in cols], names=["piece", "whole", "key", "first", "last"])
 
-    twice = (d.mapInArrow(pieces, "piece long, whole long").groupBy("piece")
-             .agg(F.count("*").alias("places"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
-             .where("places > 1").select("piece", (F.col("lo") != F.col("hi")).alias("mixed")))
     found = cut_lineage(d.mapInArrow(anchors, "piece long, whole long, key long, first long, last long").join(twice, "piece"))
     # where all places of a piece have one surrounding they are copies; else the surroundings are counted
     counted = (found.where("mixed").groupBy("piece", "whole")
@@ -128,15 +144,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
     asked = counted.select("one.*", (F.col("places") == 1).alias("edge")).groupBy("key").agg(
         F.collect_list(F.struct("first", "last", "edge")).alias("asked"))
 
-    def keyed(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
-            data, offsets = hashed.bytes_of(b.column(1))
-            s = Spans.__new__(Spans)
-            s.data, s.offsets, s.n = data, offsets, len(data)
-            s.sums, s.inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
-            yield pa.RecordBatch.from_arrays([_i64(s.keys(b.column(0).to_numpy())), b.column(1)], names=["key", "text"])
-
-    def strings(batches: Iterator) -> Iterator:
+    def strings(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
         for b in slices(batches, 1):
             data, offsets = hashed.bytes_of(b.column(1))
             sums, inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
@@ -150,12 +158,17 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
             start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[which]
             place = offsets[of[which]] + start
             h = hashed.mix((sums[place + length] - sums[place]) * inverse[place])
-            yield pa.RecordBatch.from_arrays([_i64(h), b.column(0).take(pa.array(of[which])), _i64(start), pa.array(edge[which])],
-                                             names=["string", "key", "start", "edge"])
-    texts = d.mapInArrow(keyed, "key long, text string").dropDuplicates(["key"])
-    single = cut_lineage(texts.join(asked, "key").mapInArrow(strings, "string long, key long, start long, edge boolean"))
-    again = single.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-    edges = (single.where("edge").join(again, "string").select("key", F.col("start").alias("first"), F.col("start").alias("last")))
+            take = np.arange(len(h))
+            if sieve:  # the second time: strings of edges that may occur twice
+                take = np.flatnonzero(edge[which] & sieve.may_hold(h.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([_i64(h[take]), b.column(0).take(pa.array(of[which[take]])), _i64(start[take])], names=["string", "key", "start"])
+    asked = cut_lineage(asked)
+    ddl = "string long, key long, start long"
+    keyed = Sieve(asked, F.col("key")).rows(_keyed(d), "key").dropDuplicates(["key"]).join(asked, "key")
+    again = cut_lineage(keyed.mapInArrow(strings, ddl).groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"))
+    twice_there = Sieve(again, F.col("string"))
+    edges = (keyed.mapInArrow(lambda batches: strings(batches, twice_there), ddl).join(again, "string")
+             .select("key", F.col("start").alias("first"), F.col("start").alias("last")))
     return (copies.union(edges).select("key", "first", (F.col("last") + length).alias("end"))
             .groupBy("key").agg(F.sort_array(F.collect_set(F.struct(F.col("first").alias("start"), "end"))).alias("spans")))
 
@@ -173,18 +186,13 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 def _with_spans(docs: DataFrame, length: int, core: int, doc_id: str, text: str) -> DataFrame:
     """The rows of ``docs`` (as struct ``r``) with ``text`` and their ``spans`` (null where nothing repeats)."""
-    spans = repeated_spans(docs, length, core, doc_id, text)
+    spans = cut_lineage(repeated_spans(docs, length, core, doc_id, text))
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("r"))
-
-    def key(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
-            data, offsets = hashed.bytes_of(b.column(1))
-            s = Spans.__new__(Spans)
-            s.offsets, s.sums, s.inverse = offsets, hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
-            yield pa.RecordBatch.from_arrays([_i64(s.keys(b.column(0).to_numpy())), b.column(1), b.column(2)], names=["key", "text", "r"])
-    schema = rows.select(F.lit(0).cast("long").alias("key"), "text", "r").schema
-    return rows.mapInArrow(key, schema).join(spans, "key", "left").select("r", "text", "spans")
+    some = Sieve(spans, F.col("key"))  # documents without repeats are not shuffled
+    cut, whole = (some.rows(_keyed(rows), "key", keep) for keep in (True, False))
+    out = cut.join(spans, "key", "left").select("r", "text", "spans")
+    return out.union(whole.select("r", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
 
 
 def _runs(spans) -> list[tuple[int, int]]:
