@@ -86,15 +86,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
        set, one and a half times the prefix that a linked pair must share a token of. Tokens
        of one class only are dropped; of the rest a class keeps the rarest, as
        many as its prefix has left. Most texts keep none and are done.
-    2. Those left are partitioned into groups of likely similar texts (by
-       their smallest hash, dealt into groups of about ``GROUP``) and linked
-       inside each; representatives of what linked meet again, until nothing
-       more links. A group of copies of any size so shrinks by a factor a round.
-    3. The token-group matrix has, for each kept token, the groups of each
-       component that hold it. Two groups of different components that share a
-       token are a candidate; a text is compared with the other group's token
-       union first, and only groups that can qualify are opened. Links between
-       texts of one component already found need no look.
+    2. Those left are partitioned into groups of likely similar texts: those
+       with the same smallest hash, dealt into groups of about ``GROUP``.
+       Each group is linked inside; where one hash value fills several groups,
+       representatives of what linked meet again as long as that shrinks.
+    3. The token-group matrix has, for each kept token, the groups that hold
+       it. Two groups that share one are a candidate, unless all holders are in
+       one component already. A text is compared with the other group's token
+       union first, and only groups with texts that can qualify are opened.
     """
     spark = with_workers(docs.sparkSession)
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -149,6 +148,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
     texts = (of_them.join(ids_left, "id").select("id", "text").mapInArrow(whole, "c long, low long, tokens binary")
              .groupBy("c").agg(F.min("low").alias("low"), F.min("tokens").alias("tokens")))
     sets = cut_lineage(texts.join(kept.select("c", "kept"), "c"))
+    lows = sets.groupBy("low").agg(F.count("*").alias("texts"))
+    deal = lambda turn: F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("texts") / GROUP))
+    placed = cut_lineage(sets.select("c", "low").join(lows, "low").select("c", "low", "texts", F.xxhash64("low", deal(0)).alias("g")))
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c")
@@ -156,48 +158,60 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
         c = pdf["c"].to_numpy()
         return pd.DataFrame({"a": c, "b": c[roots(len(c), links(at, 0, percent))]})
 
-    found = None
-    active = sets.select("c", "low", "tokens")
-    for turn in range(12):
+    found = cut_lineage(placed.where("texts > 1").select("c", "g").join(sets.select("c", "tokens"), "c")
+                        .groupBy("g").applyInPandas(inside, "a long, b long"))
+    # groups dealt from one hash value: what stands for their linked texts meets again, as long as that shrinks
+    active = placed.where(F.col("texts") > GROUP).select("c", "low")
+    last, step = active.count(), found
+    for turn in range(1, 12):
+        if last < 2:
+            break
+        active = cut_lineage(active.join(step.where("a = b").select(F.col("a").alias("c")), "c").select("c", "low"))
         sizes = active.groupBy("low").agg(F.count("*").alias("texts")).where("texts > 1")
-        dealt = (active.join(sizes, "low")
-                 .withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("texts") / GROUP))))
-        got = cut_lineage(dealt.groupBy("low", "deal").applyInPandas(inside, "a long, b long"))
-        found = got if found is None else found.union(got)
-        n = got.agg(F.count("*"), F.sum((F.col("a") == F.col("b")).cast("long"))).first()
-        if not n[0] or n[0] == n[1]:
+        now = sizes.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+        if now < 2 or now > 0.9 * last and turn > 1:
             break
-        heads = got.where("a = b").select(F.col("a").alias("c"))
-        active = cut_lineage(active.join(heads, "c").select("c", "low", "tokens"))
+        step = cut_lineage(active.join(sizes, "low").withColumn("deal", deal(turn)).join(sets.select("c", "tokens"), "c")
+                           .groupBy("low", "deal").applyInPandas(inside, "a long, b long"))
+        found, last = found.union(step), now
     comps = min_labels(spark, found)
-    member = sets.join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("label", "c")).drop("label")
-    holds = member.select("c", "comp", F.explode("kept").alias("token"))
-    mixed = holds.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    holds = holds.join(mixed, "token")
-    size = holds.groupBy("comp").agg(F.approx_count_distinct("c").alias("texts"))
-    group = F.pmod(F.xxhash64("c"), F.ceil(F.col("texts") / (GROUP // 2)))
-    member = cut_lineage(holds.join(size, "comp").select("c", "comp", "token", group.alias("g")))
-    matrix = member.select("token", "comp", "g").distinct()
-    pairs = (matrix.alias("x").join(matrix.alias("y"), "token").where("x.comp < y.comp")
-             .select(F.col("x.comp").alias("xc"), F.col("x.g").alias("xg"), F.col("y.comp").alias("yc"), F.col("y.g").alias("yg")).distinct())
-    groups = (member.select("c", "comp", "g").distinct().join(sets.select("c", "tokens"), "c")
-              .groupBy("comp", "g").agg(F.collect_list(F.struct("c", "tokens")).alias("texts")))
-    opened = (pairs.join(groups.select(F.col("comp").alias("xc"), F.col("g").alias("xg"), F.col("texts").alias("x")), ["xc", "xg"])
-              .join(groups.select(F.col("comp").alias("yc"), F.col("g").alias("yg"), F.col("texts").alias("y")), ["yc", "yg"]).select("x", "y"))
+    member = placed.join(comps.withColumnRenamed("node", "c"), "c", "left").select("c", "g", F.coalesce("label", "c").alias("comp"))
+    holds = (member.join(sets.select("c", "kept"), "c").select("g", "comp", F.explode("kept").alias("token"))
+             .groupBy("token", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
+    holds = cut_lineage(holds)
+    mixed = (holds.groupBy("token").agg(F.min("g").alias("g0"), F.max("g").alias("g1"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+             .where("g0 < g1 AND lo < hi").select("token"))
+    matrix = holds.join(mixed, "token")
+    pairs = (matrix.alias("x").join(matrix.alias("y"), "token")
+             .where("x.g < y.g AND NOT (x.lo = x.hi AND y.lo = y.hi AND x.lo = y.lo)")
+             .select(F.col("x.g").alias("xg"), F.col("y.g").alias("yg")).distinct())
+    pairs = cut_lineage(pairs)
+    wanted = pairs.select(F.explode(F.array("xg", "yg")).alias("g")).distinct()
+    groups = (member.join(wanted, "g").select("c", "g").join(sets.select("c", "tokens"), "c")
+              .groupBy("g").agg(F.collect_list(F.struct("c", "tokens")).alias("texts")))
+    opened = (pairs.join(groups.select(F.col("g").alias("xg"), F.col("texts").alias("x")), "xg")
+              .join(groups.select(F.col("g").alias("yg"), F.col("texts").alias("y")), "yg").select("x", "y"))
 
     def across(batches: Iterator) -> Iterator:
         for b in batches:
             a_out, b_out = [], []
             for x, y in zip(b.column(0), b.column(1)):
-                sides = [[(t["c"].as_py(), np.frombuffer(t["tokens"].as_buffer(), np.uint64)) for t in side.values] for side in (x, y)]
+                sides = []
+                for side in (x.values, y.values):
+                    data, offsets = hashed.bytes_of(side.field(1))
+                    sides.append(list(zip(side.field(0).to_pylist(), [data[i:j].view(np.uint64) for i, j in zip(offsets, offsets[1:])])))
                 for mine in (0, 1):  # against the token union of the other group
                     union = np.unique(np.concatenate([s for _, s in sides[1 - mine]])) if sides[1 - mine] else np.empty(0, np.uint64)
-                    sides[mine] = [(c, s) for c, s in sides[mine] if np.isin(s, union, assume_unique=True).sum() >= needed(len(s), percent)]
+                    of = np.repeat(np.arange(len(sides[mine])), [len(s) for _, s in sides[mine]])
+                    hit = np.isin(np.concatenate([s for _, s in sides[mine]]), union) if len(of) else np.empty(0, bool)
+                    got = np.bincount(of[hit], minlength=len(sides[mine]))
+                    sides[mine] = [(c, s) for (c, s), n in zip(sides[mine], got) if n >= needed(len(s), percent)]
                 if sides[0] and sides[1]:
                     both = [*sides[0], *sides[1]]
-                    for i, j in links([s for _, s in both], len(sides[0]), percent)[:1]:  # one link joins the two components
+                    root = roots(len(both), links([s for _, s in both], len(sides[0]), percent))
+                    for i in np.flatnonzero(root != np.arange(len(both))):
                         a_out.append(both[i][0])
-                        b_out.append(both[j][0])
+                        b_out.append(both[root[i]][0])
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
     edges = comps.select(F.col("node").alias("a"), F.col("label").alias("b")).union(opened.mapInArrow(across, "a long, b long"))
     labels = min_labels(spark, edges)
