@@ -15,6 +15,9 @@ from palimpsest.llm import hashed
 from palimpsest.llm.common import Sieve, cut_lineage, slices, with_workers
 
 
+SLICE = 1 << 20  # bytes of text worked on at once; numpy needs some 30 times as many
+
+
 def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
     """Position of the least of each ``w`` neighbours (of their upper bits; the leftmost of equals)."""
     n = len(h)
@@ -84,7 +87,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
     names = ["key", *rows.columns[1:]]
 
     def run(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             s = Spans.__new__(Spans)
             data, s.offsets = hashed.bytes_of(b.column(1))
             s.sums, s.inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
@@ -115,7 +118,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
     d = _documents(docs, doc_id, text)
 
     def pieces(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             s = Spans(b.column(1), length, core)
             yield pa.RecordBatch.from_arrays([_i64(s.piece), _i64(s.whole)], names=["piece", "whole"])
 
@@ -125,7 +128,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
     some = Sieve(twice, F.col("piece"))  # most pieces stand once and need not be shuffled again
 
     def anchors(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             s = Spans(b.column(1), length, core)
             key = s.keys(b.column(0).to_numpy())
             at = s.offsets[s.row]
@@ -145,7 +148,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
         F.collect_list(F.struct("first", "last", "edge")).alias("asked"))
 
     def strings(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             data, offsets = hashed.bytes_of(b.column(1))
             sums, inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
             ask = b.column(2)
@@ -213,7 +216,7 @@ def removal_report(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
     rows = _with_spans(docs.select(doc_id, text), length, core, doc_id, text)
 
     def report(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             out = []
             for t, spans in zip(b.column(1), b.column(2)):
                 raw = memoryview(t.as_buffer() or b"")
@@ -237,7 +240,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, core: int = 200) -> DataF
     rows = _with_spans(docs, length, core, "doc_id", "text")
 
     def cut(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             out, changed = [], []
             for t, spans in zip(b.column(1), b.column(2)):
                 raw, at, parts = bytes(t.as_buffer() or b""), 0, []
