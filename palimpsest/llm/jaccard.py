@@ -186,29 +186,38 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
              .where("x.g < y.g AND NOT (x.lo = x.hi AND y.lo = y.hi AND x.lo = y.lo)")
              .select(F.col("x.g").alias("xg"), F.col("y.g").alias("yg")).distinct())
     pairs = cut_lineage(pairs)
-    wanted = pairs.select(F.explode(F.array("xg", "yg")).alias("g")).distinct()
-    groups = (member.join(wanted, "g").select("c", "g").join(sets.select("c", "tokens"), "c")
-              .groupBy("g").agg(F.collect_list(F.struct("c", "tokens")).alias("texts")))
-    opened = (pairs.join(groups.select(F.col("g").alias("xg"), F.col("texts").alias("x")), "xg")
-              .join(groups.select(F.col("g").alias("yg"), F.col("texts").alias("y")), "yg").select("x", "y"))
+    # candidate groups that hang together go on in bundles of about 2 * GROUP texts, so that each text travels
+    # once for each bundle that its own has to be held against, not once for each candidate
+    family = min_labels(spark, pairs.select(F.col("xg").alias("a"), F.col("yg").alias("b"))).withColumnRenamed("node", "g")
+    mine = member.select("c", "g").join(family, "g")
+    bundle = F.xxhash64("label", F.pmod(F.xxhash64("g"), F.ceil(F.col("texts") / (2 * GROUP))))
+    mine = cut_lineage(mine.join(mine.groupBy("label").agg(F.count("*").alias("texts")), "label").select("c", "g", bundle.alias("u")))
+    of = mine.select("g", "u").distinct()
+    held = (pairs.join(of.select(F.col("g").alias("xg"), F.col("u").alias("xu")), "xg").join(of.select(F.col("g").alias("yg"), F.col("u").alias("yu")), "yg")
+            .select(F.least("xu", "yu").alias("xu"), F.greatest("xu", "yu").alias("yu")).distinct())
+    bundles = mine.join(sets.select("c", "tokens"), "c").groupBy("u").agg(F.collect_list(F.struct("c", "tokens")).alias("texts"))
+    opened = (held.where("xu = yu").join(bundles.select(F.col("u").alias("xu"), F.col("texts").alias("x")), "xu")
+              .select("x", F.lit(None).cast(bundles.schema["texts"].dataType).alias("y"))
+              .union(held.where("xu < yu").join(bundles.select(F.col("u").alias("xu"), F.col("texts").alias("x")), "xu")
+                     .join(bundles.select(F.col("u").alias("yu"), F.col("texts").alias("y")), "yu").select("x", "y")))
 
     def across(batches: Iterator) -> Iterator:
         for b in batches:
             a_out, b_out = [], []
             for x, y in zip(b.column(0), b.column(1)):
                 sides = []
-                for side in (x.values, y.values):
+                for side in (x.values, y.values) if y.is_valid else (x.values,):
                     data, offsets = hashed.bytes_of(side.field(1))
                     sides.append(list(zip(side.field(0).to_pylist(), [data[i:j].view(np.uint64) for i, j in zip(offsets, offsets[1:])])))
-                for mine in (0, 1):  # against the token union of the other group
+                for mine in (0, 1) if y.is_valid else ():  # against the token union of the other group
                     union = np.unique(np.concatenate([s for _, s in sides[1 - mine]])) if sides[1 - mine] else np.empty(0, np.uint64)
                     of = np.repeat(np.arange(len(sides[mine])), [len(s) for _, s in sides[mine]])
                     hit = np.isin(np.concatenate([s for _, s in sides[mine]]), union) if len(of) else np.empty(0, bool)
                     got = np.bincount(of[hit], minlength=len(sides[mine]))
                     sides[mine] = [(c, s) for (c, s), n in zip(sides[mine], got) if n >= needed(len(s), percent)]
-                if sides[0] and sides[1]:
-                    both = [*sides[0], *sides[1]]
-                    root = roots(len(both), links([s for _, s in both], len(sides[0]), percent))
+                if all(sides):
+                    both = [x for side in sides for x in side]
+                    root = roots(len(both), links([s for _, s in both], len(sides[0]) if len(sides) > 1 else 0, percent))
                     for i in np.flatnonzero(root != np.arange(len(both))):
                         a_out.append(both[i][0])
                         b_out.append(both[root[i]][0])
