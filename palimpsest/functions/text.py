@@ -56,7 +56,7 @@ def trim_trailing_blank(c) -> Column:
 
     ``(?U)`` makes ``\\s`` Unicode-aware so a trailing NBSP goes too.
     """
-    return F.regexp_replace(_col(c), r"(?U)\s$", "")
+    return F.regexp_replace(_col(c), r"(?U)\s\z", "")
 
 
 # --- F11 text changed -------------------------------------------------------

@@ -18,7 +18,7 @@ from palimpsest.operators import paragraphs, relevance, scoring
 
 def trim_space(c):
     """D3 as the paragraph job writes it: one trailing space removed."""
-    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, " $", "")
+    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r" \z", "")
 
 
 def logs(prev: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame]:
