@@ -31,9 +31,9 @@ DOC = "doc_id"
 HIT_SCHEMA = "doc_id long, term_idx long, n_hits long"
 
 
-def terms_from_items(items: DataFrame, width: int = 40) -> DataFrame:
-    """Term list ``(term_idx, term)``: the first ``width`` characters of each item."""
-    return (items.select(F.col("item_id").alias("term_idx"), F.left("text", F.lit(width)).alias("term"))
+def terms_from_items(items: DataFrame) -> DataFrame:
+    """Term list ``(term_idx, term)``: the whole text of each item."""
+    return (items.select(F.col("item_id").alias("term_idx"), F.col("text").alias("term"))
             .where(F.length("term") > 0))
 
 
@@ -130,10 +130,17 @@ def term_hits_kgram(docs: DataFrame, terms: DataFrame) -> DataFrame:
               .select("term_idx", "term", "tlen", F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("off"))
               .where(F.col("off") + k <= F.col("tlen"))
               .withColumn("gram", F.substring("term", F.col("off") + 1, k)))
-        # document side: grams at positions 0, s, 2s, ...
-        dg = (d.where(F.col("dlen") >= k)
-              .select(DOC, F.explode(F.sequence(F.lit(0), F.col("dlen") - k, F.lit(s))).alias("q"), "text")
-              .select(DOC, "q", F.substring("text", F.col("q") + 1, k).alias("gram")))
+        # document side: grams at positions 0, s, 2s, ...; where a gram fits into its stride the text is cut
+        # into pieces in one pass, since a substring is counted from the start of the text each time
+        if k <= s:
+            dg = (d.where(F.col("dlen") >= k)
+                  .select(DOC, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{s}}}"), F.lit(0))).alias("i", "piece"))
+                  .select(DOC, (F.col("i") * s).alias("q"), F.left("piece", F.lit(k)).alias("gram"))
+                  .where(F.length("gram") == k))
+        else:
+            dg = (d.where(F.col("dlen") >= k)
+                  .select(DOC, F.explode(F.sequence(F.lit(0), F.col("dlen") - k, F.lit(s))).alias("q"), "text")
+                  .select(DOC, "q", F.substring("text", F.col("q") + 1, k).alias("gram")))
         cand = (dg.join(tg, "gram")
                 .select(DOC, "term_idx", "term", "tlen", (F.col("q") - F.col("off")).alias("start"))
                 .where(F.col("start") >= 0)

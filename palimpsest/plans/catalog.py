@@ -1104,7 +1104,7 @@ def q_conversation_alignment(spark, sf):
 # Term search: J14, J14b, A6, W4
 # =============================================================================
 _TERMS_SQL = """
-terms AS (SELECT item_id AS term_idx, left(text, 40) AS term FROM benchmark WHERE length(left(text, 40)) > 0),
+terms AS (SELECT item_id AS term_idx, text AS term FROM benchmark WHERE length(text) > 0),
 hits AS (SELECT d.doc_id, t.term_idx, t.term,
                 CAST((length(d.text) - length(replace(d.text, t.term, ''))) // length(t.term) AS BIGINT) AS n_hits
          FROM documents d JOIN terms t ON contains(d.text, t.term))"""
@@ -1145,7 +1145,7 @@ def q_term_tokens(spark, sf):
 
 
 @query("term_locations", """
-WITH terms AS (SELECT item_id AS term_idx, left(text, 40) AS term FROM benchmark WHERE length(left(text, 40)) > 0),
+WITH terms AS (SELECT item_id AS term_idx, text AS term FROM benchmark WHERE length(text) > 0),
 m AS (SELECT doc_id, text, source || '/' || upper(lang) || '_ch_' || CAST(doc_id AS VARCHAR) || '.xml' AS member
       FROM documents),
 g AS (SELECT DISTINCT d.source AS grp FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE l.quality = 1),
