@@ -118,7 +118,7 @@ def sample_words(docs: DataFrame, lang: str, bound: int) -> tuple:
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < chance[F.col(lang)])
 
     def run(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1, 16 << 20):
+        for b in slices(batches, 1, 8 << 20):
             w = hashed.Words(b.column(1))
             langs = b.column(0).dictionary_encode()
             code = langs.indices.to_numpy(zero_copy_only=False)[w.row]
@@ -214,7 +214,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         return [pa.array(np.array(langs, object)[best], pa.string()), share]
     out = score_column(docs.select("doc_id", text, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters")),
-                       ["doc_id", "_letters"], text, "lang_pred string, score double", run, max_bytes=16 << 20)
+                       ["doc_id", "_letters"], text, "lang_pred string, score double", run, max_bytes=8 << 20)
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"),
                       F.when(F.col("_letters"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
                       F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"))
