@@ -25,13 +25,6 @@ METRICS_DATE_FORMAT = "yyyy-MM-dd"
 # --- end of fixed values ----------------------------------------------------
 
 # Engine parameters (not reference values).
-# Largest term list broadcast to the term-search tasks; above it the k-gram
-# equi-join path is used instead.
-TERM_BROADCAST_MAX_ROWS = 200_000
-TERM_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Largest dimension table (team list, prefix list, relevance list) that may be
 # broadcast; bigger ones are joined with a shuffle.
 DIMENSION_BROADCAST_MAX_ROWS = 1_000_000
-# Longest list of referring documents built in one row (A2/J7); a pattern with
-# more references gets several list parts instead of one unbounded row.
-REF_LIST_CHUNK = 10_000

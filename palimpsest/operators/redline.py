@@ -1,6 +1,6 @@
 """Redlines and sequence alignment: D9 (paragraph and word form), D11, D16.
 
-Paragraph-level markup is plain SQL. Word-level markup and LCS alignment need
+Paragraph-level markup is plain SQL. Word-level markup and alignment need
 a sequence matcher, so they run as Arrow-batched pandas UDFs on *changed pairs
 only* (never on unchanged text), keyed so that Spark partitions the work.
 """
@@ -12,7 +12,7 @@ import html as _html
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,12 +89,13 @@ def word_redline_udf(old: pd.Series, new: pd.Series) -> pd.Series:
 def word_markup(pairs: DataFrame) -> DataFrame:
     """D9 word form on changed pairs; other statuses get the SQL markup.
 
-    The UDF only sees rows whose status is ``changed``; a ``when`` keeps the
-    others on the JVM path.
+    Spark evaluates the function for every row; rows of another status hand
+    it nothing.
     """
     base = paragraph_markup(pairs)
-    return base.withColumn("markup", F.when(F.col("status") == "changed",
-                                            word_redline_udf("prev_text", "curr_text")).otherwise(F.col("markup")))
+    changed = F.col("status") == "changed"
+    marked = word_redline_udf(F.when(changed, F.col("prev_text")), F.when(changed, F.col("curr_text")))
+    return base.withColumn("markup", F.when(changed, marked).otherwise(F.col("markup")))
 
 
 def strip_redline(c):
@@ -105,23 +106,22 @@ def strip_redline(c):
 
 
 # --- D11 clean underlined text ----------------------------------------------
-_U = re.compile(r"(?s)(<u>)(.*?)(</u>)")
-
-
-def clean_underlined_text(markup: str | None) -> str | None:
-    """Drop ``&lt;``, ``&gt;``, ``<``, ``>`` inside every ``<u>…</u>`` element."""
-    if markup is None:
-        return None
-
-    def fix(m):
-        inner = m.group(2).replace("&lt;", "").replace("&gt;", "").replace("<", "").replace(">", "")
-        return m.group(1) + inner + m.group(3)
-    return _U.sub(fix, markup)
+def clean_underlined(markup) -> Column:
+    """Drop ``&lt;``, ``&gt;``, ``<``, ``>`` inside every ``<u>…</u>`` element.
 
+    Every part before a ``</u>`` is cleaned from its first ``<u>`` on; what
+    follows the last ``</u>`` stays.
+    """
+    col = F.col(markup) if isinstance(markup, str) else markup
+    parts = F.split(col, "</u>", -1)
 
-@F.pandas_udf(T.StringType())
-def clean_underlined_udf(s: pd.Series) -> pd.Series:
-    return s.map(clean_underlined_text)
+    def clean(part, i):
+        inner = F.substring(part, F.instr(part, "<u>") + 3, F.length(part))
+        for mark in ("&lt;", "&gt;", "<", ">"):
+            inner = F.replace(inner, F.lit(mark), F.lit(""))
+        closed = (i < F.size(parts) - 1) & F.contains(part, F.lit("<u>"))
+        return F.when(closed, F.concat(F.substring_index(part, "<u>", 1), F.lit("<u>"), inner)).otherwise(part)
+    return F.array_join(F.transform(parts, clean), "</u>")
 
 
 # --- D16 paragraph alignment (cogrouped pandas) ------------------------------
@@ -130,7 +130,7 @@ ALIGN_SCHEMA = ("doc_id long, prev_pos int, curr_pos int, prev_text string, "
 
 
 def align_lists(doc_id: int, old: list[str], new: list[str]) -> list[tuple]:
-    """LCS alignment of two paragraph lists with separate offsets on each side."""
+    """Alignment by matching blocks of two paragraph lists with separate offsets on each side."""
     sm = difflib.SequenceMatcher(None, old, new, autojunk=False)
     rows = []
     for op, i1, i2, j1, j2 in sm.get_opcodes():
@@ -159,7 +159,7 @@ def _align_group(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 
 def align_paragraphs(pp: DataFrame, lp: DataFrame) -> DataFrame:
-    """Per-document LCS alignment (same / changed / inserted / deleted).
+    """Per-document alignment by matching blocks (same / changed / inserted / deleted).
 
     ``cogroup`` hashes both paragraph tables on ``doc_id``; each group is one
     document pair, whose size is bounded by those two input rows.

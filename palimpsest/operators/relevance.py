@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import DIMENSION_BROADCAST_MAX_ROWS, REF_LIST_CHUNK
+from palimpsest.constants import DIMENSION_BROADCAST_MAX_ROWS
 from palimpsest.functions.text import leading_prefix, list_to_text
 
 
@@ -34,20 +34,16 @@ def distinct_prefixes(df: DataFrame, col: str = "chapter", out: str = "source")
     return df.select(leading_prefix(col).alias(out)).distinct()
 
 
-def ids_per_pattern(refs: DataFrame, pattern: str = "pattern", doc: str = "doc_ref",
-                    chunk: int = REF_LIST_CHUNK) -> DataFrame:
-    """A2: sorted list of referring documents per pattern -> ``(pattern, part, doc_refs)``.
+def refs_with_counts(refs: DataFrame, pattern: str = "pattern", doc: str = "doc_ref", salts: int = 16) -> DataFrame:
+    """A2 in long form: ``(pattern, doc_ref, n_refs)``, one row per reference with its pattern's count.
 
-    A pattern with at most ``chunk`` references has one list (``part`` 0).
-    A hot pattern is split into ``ceil(n / chunk)`` parts by a hash of the
-    reference, so no single row or task ever holds an unbounded list; the
-    counts come from a partially aggregated ``groupBy`` first.
+    The shape is the same for any number of references: no list is built. The
+    counts are partially aggregated; the rows of a hot pattern are dealt over
+    ``salts`` tasks where they meet their count.
     """
-    counts = refs.groupBy(pattern).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk))).cast("long")
-    salted = refs.join(counts, pattern).withColumn(
-        "part", F.pmod(F.xxhash64(doc), parts).cast("int"))
-    return salted.groupBy(pattern, "part").agg(F.sort_array(F.collect_list(doc)).alias("doc_refs"))
+    counts = rows_per_pattern(refs, pattern).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = refs.select(pattern, doc).withColumn("_salt", F.pmod(F.xxhash64(doc), F.lit(salts)).cast("int"))
+    return dealt.join(counts, [pattern, "_salt"]).select(pattern, doc, "n_refs")
 
 
 def rows_per_pattern(refs: DataFrame, pattern: str = "pattern") -> DataFrame:
@@ -59,11 +55,14 @@ def lookup_refs(df: DataFrame, refs: DataFrame, key: str = "chapter", pattern: s
                 doc: str = "doc_ref") -> DataFrame:
     """Attach ``', '``-joined referring documents per chapter ('' when none).
 
-    The per-pattern list is aggregated first (one row per pattern and list
-    part), so the left join adds rows only for patterns too hot for one list.
+    One row per row of ``df`` whatever the number of references. The text is
+    one cell of the published report and holds every reference of its chapter,
+    so only references to chapters of ``df`` are gathered;
+    :func:`refs_with_counts` is the form without lists.
     """
-    lists = ids_per_pattern(refs, pattern, doc).select(
-        F.col(pattern).alias(key), list_to_text("doc_refs").alias("doc_info"))
+    asked = df.select(F.col(key).alias(pattern)).distinct()
+    lists = (refs.join(asked, pattern, "left_semi").groupBy(F.col(pattern).alias(key))
+             .agg(list_to_text(F.sort_array(F.collect_list(doc))).alias("doc_info")))
     # No broadcast hint: a row count does not bound the bytes of these lists.
     # AQE still broadcasts them when the measured shuffle output is small.
     return (df.join(lists, key, "left")

@@ -38,14 +38,18 @@ def document_metrics(prev: DataFrame, latest: DataFrame, mode: str = "content")
     exact and computed bit-parallel in Arrow batches (the built-in walks the
     full matrix at ~25 ns a cell).
     """
-    j = changed_pairs(prev, latest, mode=mode)
+    return pair_metrics(changed_pairs(prev, latest, mode=mode))
+
+
+def pair_metrics(j: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A3's columns over rows that hold both texts (see :func:`document_metrics`), with the columns ``keep``."""
     split = lambda c: F.transform(F.split(c, "\n"), trim_trailing_blank)
     zipped = F.arrays_zip(split("prev_text").alias("p"), split("curr_text").alias("c"))
-    staged = j.select(DOC, "manual", "chapter", "prev_title", "prev_text", "curr_text", zipped.alias("_z"))
+    staged = j.select(DOC, *keep, "manual", "chapter", "prev_title", "prev_text", "curr_text", zipped.alias("_z"))
     p_side = F.transform("_z", lambda s: F.coalesce(s["p"], F.lit("")))
     c_side = F.transform("_z", lambda s: F.coalesce(s["c"], F.lit("")))
     out = staged.select(
-        DOC, F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"),
+        DOC, *keep, F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"),
         F.col("prev_title").alias("title"),
         long_edit_distance("prev_text", "curr_text").alias("lev_distance"),
         length_diff("prev_text", "curr_text").cast("long").alias("char_count_diff"),
@@ -55,7 +59,7 @@ def document_metrics(prev: DataFrame, latest: DataFrame, mode: str = "content")
         F.size("_z").cast("long").alias("_pc"))
     positive = F.col("lev_distance") > 0
     return out.select(
-        DOC, "source", "chapter_number", "title", "lev_distance", "char_count_diff",
+        DOC, *keep, "source", "chapter_number", "title", "lev_distance", "char_count_diff",
         F.when(positive, F.col("_tlt")).otherwise(0).alias("text_lev_total"),
         F.when(positive, F.col("_pcc")).otherwise(0).alias("para_change_count"),
         F.when(positive, F.col("_pc")).otherwise(0).alias("para_count"))
@@ -82,9 +86,12 @@ def threshold_flags(prev: DataFrame, latest: DataFrame) -> DataFrame:
     # Whole documents: length difference and character-multiset distance are
     # lower bounds that settle most rows; the rest get the exact distance,
     # bit-parallel (the built-in's bounded form still walks the full matrix).
-    flag = (F.when(F.col("prev_text").isNull() | F.col("curr_text").isNull(), F.lit(True))
-            .otherwise(long_exceeds("prev_text", "curr_text", SIGNIFICANCE_THRESHOLD)))
-    return j.select(DOC, update_type.alias("update_type"), flag.alias("above_threshold"))
+    # Texts that aren't compared don't go to Python: their places are empty.
+    j = j.withColumn("update_type", update_type)
+    text = lambda c: F.when(F.col("update_type") == "change", F.col(c)).otherwise(F.lit(""))
+    staged = j.select(DOC, "update_type", text("prev_text").alias("prev_text"), text("curr_text").alias("curr_text"))
+    flag = F.col("update_type").isin("new", "deletion") | long_exceeds("prev_text", "curr_text", SIGNIFICANCE_THRESHOLD)
+    return staged.select(DOC, "update_type", flag.alias("above_threshold"))
 
 
 def paragraph_noise_cascade(changed: DataFrame) -> DataFrame:

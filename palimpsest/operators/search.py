@@ -1,34 +1,28 @@
 """Term search over documents: J13, J14, J14b, A6, W4, and archive paths.
 
 J14 (is a literal term contained in a document, and how often) has no
-equi-join key. Two exact plans:
-
-* **broadcast automaton** – when the term list passes a size check, it is
-  broadcast once and each task runs an Aho–Corasick automaton over its
-  documents (``mapInPandas``): one pass over the text, no shuffle of it, cost
-  independent of the number of terms.
-* **k-gram equi-join** – beyond the size check: documents emit a k-gram every
-  ``s`` characters, terms emit their k-grams at offsets ``0..s-1``; any
-  occurrence of a term of length >= k + s - 1 covers one sampled document
-  position, so an equi-join on the gram finds every candidate, which is then
-  verified against the text. Terms shorter than the class minimum go to a
-  class with a smaller k.
-
-Both produce ``(doc_id, term_idx, term, n_hits)`` where ``n_hits`` counts
+equi-join key. One exact plan at every size: documents emit the distinct
+k-grams that stand every ``s`` characters, terms emit their k-grams at offsets
+``0..s-1``; any occurrence of a term of length >= k + s - 1 covers one sampled
+document position, so an equi-join on the gram finds every candidate document,
+where the occurrences are then counted in the text. Terms shorter than the
+class minimum go to a class with a smaller k. In every class k <= s, so that a
+text is cut into its pieces in one pass. A gram may stand in very many
+documents (boilerplate); its rows are dealt over ``SALTS`` keys.
+
+The result is ``(doc_id, term_idx, term, n_hits)`` where ``n_hits`` counts
 non-overlapping, left-to-right literal occurrences; W4 adds the running total.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from palimpsest.constants import TERM_BROADCAST_MAX_BYTES, TERM_BROADCAST_MAX_ROWS
-
 DOC = "doc_id"
 HIT_SCHEMA = "doc_id long, term_idx long, n_hits long"
+SALTS = 16  # tasks that one gram or token is dealt over
 
 
 def terms_from_items(items: DataFrame) -> DataFrame:
@@ -37,74 +31,21 @@ def terms_from_items(items: DataFrame) -> DataFrame:
             .where(F.length("term") > 0))
 
 
-class _Held:
-    """Stand-in for a broadcast variable where none can be created."""
-
-    def __init__(self, value):
-        self.value = value
-
-
-def _non_overlapping(starts, length: int) -> int:
-    n, free_from = 0, -1
-    for s in sorted(starts):
-        if s >= free_from:
-            n += 1
-            free_from = s + length
-    return n
-
-
-def _automaton_hits(term_bc):
-    """Per-partition Aho–Corasick scan; the automaton is built once per task."""
-    def run(batches):
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        by_text: dict[str, list[int]] = {}
-        for idx, term in term_bc.value:
-            by_text.setdefault(term, []).append(idx)
-        for term, idxs in by_text.items():
-            auto.add_word(term, (term, idxs))
-        auto.make_automaton()
-        for pdf in batches:
-            out_doc, out_idx, out_n = [], [], []
-            for doc_id, text in zip(pdf[DOC].tolist(), pdf["text"].tolist()):
-                if not text:
-                    continue
-                starts: dict[str, list[int]] = {}
-                for end, (term, _) in auto.iter(text):
-                    starts.setdefault(term, []).append(end - len(term) + 1)
-                for term, ss in starts.items():
-                    n = _non_overlapping(ss, len(term))
-                    for idx in by_text[term]:
-                        out_doc.append(doc_id)
-                        out_idx.append(idx)
-                        out_n.append(n)
-            yield pd.DataFrame({DOC: pd.Series(out_doc, dtype="int64"),
-                                "term_idx": pd.Series(out_idx, dtype="int64"),
-                                "n_hits": pd.Series(out_n, dtype="int64")})
-    return run
-
-
-def _term_list_fits(terms: DataFrame) -> bool:
-    """Size check for broadcasting: row count and total bytes, read with a limit."""
-    probe = terms.limit(TERM_BROADCAST_MAX_ROWS + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
-    return probe["n"] <= TERM_BROADCAST_MAX_ROWS and (probe["bytes"] or 0) <= TERM_BROADCAST_MAX_BYTES
-
-
-def term_hits_broadcast(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """J14 + A6 via a broadcast automaton (caller has checked the size)."""
-    spark = docs.sparkSession
-    rows = [(r["term_idx"], r["term"]) for r in terms.select("term_idx", "term").collect()]
-    try:
-        bc = spark.sparkContext.broadcast(rows)
-    except Exception:  # Spark Connect: the size-checked list travels with the function
-        bc = _Held(rows)
-    return docs.select(DOC, "text").mapInPandas(_automaton_hits(bc), HIT_SCHEMA)
+def tokens_from_items(items: DataFrame, token_pattern: str) -> DataFrame:
+    """Term list ``(term_idx, term)`` of all distinct tokens of the items; ``term_idx`` is the first item that has it."""
+    return (items.select("item_id", F.explode(F.regexp_extract_all("text", F.lit(token_pattern), F.lit(0))).alias("term"))
+            .groupBy("term").agg(F.min("item_id").alias("term_idx")))
+
+
+def _salted_join(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """Inner equi-join of document rows with a term list; a hot key of the rows meets the list in ``SALTS`` tasks."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(DOC), F.lit(SALTS)).cast("int"))
+    copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [key, "_salt"]).drop("_salt")
 
 
 # k-gram classes: (min term length, gram length k, stride s) with k + s - 1 <= min length.
-_GRAM_CLASSES = [(1, 1, 1), (2, 2, 1), (4, 3, 2), (8, 4, 5), (16, 8, 9), (32, 16, 17), (64, 32, 33)]
+_GRAM_CLASSES = [(1, 1, 1), (2, 1, 2), (4, 2, 3), (8, 4, 5), (16, 8, 9), (32, 16, 17), (64, 32, 33)]
 
 
 def _gram_class(length_col):
@@ -118,7 +59,7 @@ def term_hits_kgram(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """J14 + A6 by an exact k-gram equi-join (no broadcast, no nested loop)."""
     t = terms.select("term_idx", "term", F.length("term").alias("tlen")).withColumn(
         "cls", _gram_class(F.col("tlen")))
-    d = docs.select(DOC, "text", F.length("text").alias("dlen"))
+    d = docs.select(DOC, "text")
     # Which length classes occur (at most len(_GRAM_CLASSES) values): a class
     # without terms must not make every document emit its grams.
     present = sorted(r["cls"] for r in t.select("cls").distinct().collect())
@@ -127,53 +68,30 @@ def term_hits_kgram(docs: DataFrame, terms: DataFrame) -> DataFrame:
         lo, k, s = _GRAM_CLASSES[i]
         # term side: grams at offsets 0..s-1
         tg = (t.where(F.col("cls") == i)
-              .select("term_idx", "term", "tlen", F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("off"))
-              .where(F.col("off") + k <= F.col("tlen"))
-              .withColumn("gram", F.substring("term", F.col("off") + 1, k)))
-        # document side: grams at positions 0, s, 2s, ...; where a gram fits into its stride the text is cut
-        # into pieces in one pass, since a substring is counted from the start of the text each time
-        if k <= s:
-            dg = (d.where(F.col("dlen") >= k)
-                  .select(DOC, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{s}}}"), F.lit(0))).alias("i", "piece"))
-                  .select(DOC, (F.col("i") * s).alias("q"), F.left("piece", F.lit(k)).alias("gram"))
-                  .where(F.length("gram") == k))
-        else:
-            dg = (d.where(F.col("dlen") >= k)
-                  .select(DOC, F.explode(F.sequence(F.lit(0), F.col("dlen") - k, F.lit(s))).alias("q"), "text")
-                  .select(DOC, "q", F.substring("text", F.col("q") + 1, k).alias("gram")))
-        cand = (dg.join(tg, "gram")
-                .select(DOC, "term_idx", "term", "tlen", (F.col("q") - F.col("off")).alias("start"))
-                .where(F.col("start") >= 0)
-                .distinct())
-        parts.append(cand)
+              .select("term_idx", "term", F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("off"))
+              .select("term_idx", "term", F.substring("term", F.col("off") + 1, F.lit(k)).alias("gram")).distinct())
+        # document side: the distinct grams at positions 0, s, 2s, ..., cut in one pass
+        pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{{k}}}.{{0,{s - k}}}"), F.lit(0))
+        dg = d.select(DOC, F.explode(F.array_distinct(F.transform(pieces, lambda p: F.left(p, F.lit(k))))).alias("gram"))
+        parts.append(_salted_join(dg, tg, "gram").select(DOC, "term_idx", "term"))
     if not parts:
         return docs.sparkSession.createDataFrame([], HIT_SCHEMA)
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    verified = (cand.join(d.select(DOC, "text"), DOC)
-                .where(F.substring("text", F.col("start") + 1, F.col("tlen")) == F.col("term"))
-                .select(DOC, "term_idx", "tlen", "start"))
-    return (verified.groupBy(DOC, "term_idx", "tlen")
-            .agg(F.sort_array(F.collect_list("start")).alias("starts"))
-            .select(DOC, "term_idx", F.aggregate(
-                "starts", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("free")),
-                lambda acc, st: F.when(st >= acc["free"], F.struct(
-                    (acc["n"] + 1).alias("n"), (st + F.col("tlen")).cast("long").alias("free"))).otherwise(acc),
-                lambda acc: acc["n"]).alias("n_hits")))
-
-
-def term_hits(docs: DataFrame, terms: DataFrame, force: str | None = None) -> DataFrame:
+    # occurrences counted as the literal replacement finds them: left to right, not overlapping
+    n_hits = ((F.length("text") - F.length(F.replace("text", F.col("term"), F.lit("")))) / F.length("term")).cast("long")
+    return (cand.distinct().join(d, DOC).where(F.contains("text", F.col("term")))
+            .select(DOC, "term_idx", n_hits.alias("n_hits")))
+
+
+def term_hits(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """J14 + A6 + W4: ``(doc_id, term_idx, term, n_hits, running_hits)``.
 
     ``running_hits`` is the cumulative hit count over the document's matched
     terms in term-list order (window over the matched pairs only).
     """
-    use_broadcast = force == "broadcast" or (force is None and _term_list_fits(terms))
-    hits = term_hits_broadcast(docs, terms) if use_broadcast else term_hits_kgram(docs, terms)
-    names = terms.select("term_idx", "term")
-    # the size check above proved the list small enough to broadcast
-    named = hits.join(F.broadcast(names) if use_broadcast else names, "term_idx")
+    named = term_hits_kgram(docs, terms).join(terms.select("term_idx", "term"), "term_idx")
     w = Window.partitionBy(DOC).orderBy("term_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return named.select(DOC, "term_idx", "term", "n_hits",
                         F.sum("n_hits").over(w).cast("long").alias("running_hits"))
@@ -182,12 +100,12 @@ def term_hits(docs: DataFrame, terms: DataFrame, force: str | None = None) -> Da
 def term_tokens(docs: DataFrame, terms: DataFrame, token_pattern: str = r"[A-Z]+[0-9]+") -> DataFrame:
     """Terms that equal a whole token of the text, as an equi-join.
 
-    Each document contributes its distinct tokens once; the join is a plain
-    hash join on the token, so it scales with the data on both sides.
+    Each document contributes its distinct tokens once; a token that stands in
+    very many documents is dealt over ``SALTS`` tasks.
     """
     toks = docs.select(DOC, F.explode(F.array_distinct(
         F.regexp_extract_all("text", F.lit(token_pattern), F.lit(0)))).alias("token"))
-    return toks.join(terms.select("term_idx", F.col("term").alias("token")), "token").select(
+    return _salted_join(toks, terms.select("term_idx", F.col("term").alias("token")), "token").select(
         DOC, "term_idx", F.col("token").alias("term"))
 
 

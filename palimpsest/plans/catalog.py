@@ -92,18 +92,25 @@ def q_team_documents(spark, sf):
 
 
 @query("xml_document_fields", with_ctes(SNAPSHOT_CTES, """
-SELECT doc_id, chapter, title, manual,
-       CAST(len(list_filter(string_split(text, chr(10)), lambda p: p <> '')) AS BIGINT) AS n_paras,
-       CAST(list_sum(list_transform(string_split(text, chr(10)), lambda p: length(p))) AS BIGINT) AS n_chars
-FROM prev"""))
+SELECT doc_id, chapter, title, manual, text FROM prev"""))
 def q_xml_document_fields(spark, sf):
     """S3 + P1 + D12: snapshot rendered as chapter XML, parsed back with xpath."""
     prev = _pair(spark, sf)[0]
-    parsed = xml.parse_xml_documents(xml.documents_to_xml(prev))
-    paras = F.filter(F.split("text", "\n"), lambda p: p != "")
-    return parsed.select("doc_id", "chapter", "title", "manual", F.size(paras).cast("long").alias("n_paras"),
-                         F.aggregate(paras, F.lit(0).cast("long"),
-                                     lambda a, p: a + F.length(p)).alias("n_chars"))
+    return xml.parse_xml_documents(xml.documents_to_xml(prev)).select("doc_id", "chapter", "title", "manual", "text")
+
+
+@query("xml_elements", with_ctes(SNAPSHOT_CTES, """
+SELECT doc_id, CAST(u.pos - 1 AS INTEGER) AS pos, 'text' AS tag, u.t AS text
+FROM prev, unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(t, pos)"""))
+def q_xml_elements(spark, sf):
+    """Element rows of every chapter document, nested inline elements kept.
+
+    The first letter of each paragraph is wrapped in an inline element before
+    the documents are read back.
+    """
+    docs = xml.documents_to_xml(_pair(spark, sf)[0])
+    woven = F.regexp_replace("xml", r"<text>([A-Za-z])", "<text><emph>$1</emph>")
+    return xml.xml_elements(docs.select("doc_id", woven.alias("xml")))
 
 
 _STATUS_SQL = """
@@ -117,9 +124,9 @@ status AS (SELECT coalesce(p.doc_id, l.doc_id) AS doc_id,
 
 def _status(spark, sf):
     prev, latest = _pair(spark, sf)
-    p = prev.select("doc_id", F.col("text").alias("pt"), F.col("chapter").alias("pc"),
+    p = prev.select("doc_id", F.sha2("text", 256).alias("pt"), F.col("chapter").alias("pc"),
                     F.col("title").alias("pti"), F.col("manual").alias("pm"))
-    c = latest.select("doc_id", F.col("text").alias("lt"), F.col("chapter").alias("lc"),
+    c = latest.select("doc_id", F.sha2("text", 256).alias("lt"), F.col("chapter").alias("lc"),
                       F.col("title").alias("lti"), F.col("manual").alias("lm"))
     j = p.join(c, "doc_id", "full_outer")
     ut = (F.when(F.col("pt").isNull(), "new").when(F.col("lt").isNull(), "deletion")
@@ -195,13 +202,13 @@ def q_archive_members(spark, sf):
 
 @query("page_bodies", r"""
 SELECT page_id, url,
-       CAST(length(regexp_extract(regexp_replace(html, '(?is)<nav\b.*?</nav>', '', 'g'),
-                                  '(?is)<article>(.*?)</article>', 1)) AS BIGINT) AS body_chars
+       regexp_extract(regexp_replace(html, '(?is)<nav\b.*?</nav>', '', 'g'),
+                      '(?is)<article>(.*?)</article>', 1) AS body
 FROM pages""")
 def q_page_bodies(spark, sf):
     """S7 + D10 + M9: page table, navigation removed, body element extracted."""
     return daily_jobs.page_bodies(read_pages(spark, sf)).select(
-        "page_id", "url", F.length("body").cast("long").alias("body_chars"))
+        "page_id", "url", "body")
 
 
 # =============================================================================
@@ -360,7 +367,7 @@ FROM latest WHERE doc_id NOT IN (SELECT doc_id FROM prev)"""))
 def q_addition_info(spark, sf):
     """Document info for the additions list."""
     prev, latest = _pair(spark, sf)
-    return document_changes.document_info(latest, snapshot.additions(prev, latest))
+    return document_changes.document_info(snapshot.additions(prev, latest))
 
 
 @query("deletion_info", with_ctes(SNAPSHOT_CTES, """
@@ -370,7 +377,7 @@ FROM prev WHERE doc_id NOT IN (SELECT doc_id FROM latest)"""))
 def q_deletion_info(spark, sf):
     """Document info for the deletions list."""
     prev, latest = _pair(spark, sf)
-    return document_changes.document_info(prev, snapshot.deletions(prev, latest))
+    return document_changes.document_info(snapshot.deletions(prev, latest))
 
 
 # =============================================================================
@@ -440,6 +447,17 @@ def q_events_take_while(spark, sf):
     return feed.take_while_today(ev, RUN_DATE)
 
 
+@query("events_take_while_newest", """
+SELECT event_id, ts, event_type FROM events
+WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)
+  AND ts > coalesce((SELECT max(ts) FROM events WHERE CAST(ts AS DATE) <> (SELECT CAST(max(ts) AS DATE) FROM events)),
+                    TIMESTAMP '0001-01-01')""")
+def q_events_take_while_newest(spark, sf):
+    """F7 ordered, run on the day of the newest row."""
+    ev = read_table(spark, sf, "events", ["event_id", "ts", "event_type"])
+    return feed.take_while_today(ev, ev.agg(F.to_date(F.max("ts"))).scalar())
+
+
 @query("page_links", r"""
 SELECT page_id, url,
        nullif(regexp_extract(url, '^[A-Za-z]+://[^/]+/([^/?#]*)', 1), '') AS manual,
@@ -525,7 +543,7 @@ firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chapter ORDE
 
 
 @query("chapter_changes", with_ctes(LOG_CTES + "," + _PAIRED_LOG_SQL + "," + _CASCADE_SQL, """
-SELECT doc_id, chapter, curr_title AS title, k, prev_para, curr_para, n_paras_with_changes,
+SELECT doc_id, chapter, prev_title AS title, k, prev_para, curr_para, n_paras_with_changes,
        char_count_diff, lev_distance FROM firsts"""))
 def q_chapter_changes(spark, sf):
     """F12 + W2 (+ D1, D2): the paragraph comparison's one row per chapter."""
@@ -713,10 +731,10 @@ def q_source_prefixes(spark, sf):
 
 
 @query("refs_per_pattern", with_ctes(_REFS_SQL, """
-SELECT pattern, 0 AS part, list_sort(list(doc_ref)) AS doc_refs FROM refs GROUP BY pattern"""))
+SELECT pattern, doc_ref, count(*) OVER (PARTITION BY pattern) AS n_refs FROM refs"""))
 def q_refs_per_pattern(spark, sf):
-    """A2: sorted referring documents per pattern (one part: no pattern here exceeds a list chunk)."""
-    return relevance.ids_per_pattern(_refs(spark, sf))
+    """A2: referring documents per pattern in long form, with the pattern's count."""
+    return relevance.refs_with_counts(_refs(spark, sf))
 
 
 @query("rows_per_pattern", with_ctes(_REFS_SQL, """
@@ -1056,32 +1074,32 @@ def q_word_redline(spark, sf):
 
 
 @query("pages_without_nav", r"""
-SELECT page_id, CAST(length(regexp_replace(html, '(?is)<nav\b.*?</nav>', '', 'g')) AS BIGINT) AS n_chars FROM pages""")
+SELECT page_id, regexp_replace(html, '(?is)<nav\b.*?</nav>', '', 'g') AS html FROM pages""")
 def q_pages_without_nav(spark, sf):
-    """Page length after every ``<nav>`` element is removed."""
-    return read_pages(spark, sf).select("page_id", F.length(H.strip_navigation("html")).cast("long").alias("n_chars"))
+    """Every page without its ``<nav>`` elements."""
+    return read_pages(spark, sf).select("page_id", H.strip_navigation("html").alias("html"))
 
 
 @query("underline_cleaned", None)
 def q_underline_cleaned(spark, sf):
-    """Angle brackets removed inside every ``<u>`` of the word redline (Arrow UDF)."""
+    """Angle brackets removed inside every ``<u>`` of the word redline."""
     pp, lp = _paras(spark, sf)
     pairs = paragraphs.pair_paragraphs(pp, lp, "inner").where(F.col("status") == "changed")
     marked = redline.word_markup(pairs)
     u = F.regexp_replace("markup", r"<(/?)(ins|del)>", "<$1u>")
-    return marked.select("doc_id", "pos", redline.clean_underlined_udf(u).alias("cleaned"))
+    return marked.select("doc_id", "pos", redline.clean_underlined(u).alias("cleaned"))
 
 
 @query("page_text", r"""
-SELECT page_id, CAST(length(
+SELECT page_id,
   replace(replace(replace(replace(replace(
     regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', '', 'g'),
                                   '(?is)<style\b.*?</style>', '', 'g'), '(?s)<[^>]*>', '', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS BIGINT) AS n_chars
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS text
 FROM pages""")
 def q_page_text(spark, sf):
     """Text rendering of every page (code and tags removed, entities decoded)."""
-    return read_pages(spark, sf).select("page_id", F.length(H.html_to_text("html")).cast("long").alias("n_chars"))
+    return read_pages(spark, sf).select("page_id", H.html_to_text("html").alias("text"))
 
 
 @query("paragraph_alignment", None)
@@ -1124,23 +1142,22 @@ def q_term_hits(spark, sf):
 
 @query("term_hits_kgram", with_ctes(_TERMS_SQL, "SELECT doc_id, term_idx, n_hits FROM hits"))
 def q_term_hits_kgram(spark, sf):
-    """J14 + A6 through the k-gram equi-join plan used beyond the broadcast limit."""
+    """J14 + A6: hits only, without the running total."""
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     terms = search.terms_from_items(read_table(spark, sf, "benchmark", ["item_id", "text"]))
     return search.term_hits_kgram(docs, terms)
 
 
 @query("term_tokens", """
-WITH terms AS (SELECT item_id AS term_idx, regexp_extract(text, '^[A-Za-z]+', 0) AS term FROM benchmark
-               WHERE regexp_extract(text, '^[A-Za-z]+', 0) <> ''),
+WITH terms AS (SELECT min(item_id) AS term_idx, token AS term FROM (
+                 SELECT item_id, unnest(regexp_extract_all(text, '[A-Za-z]+', 0)) AS token FROM benchmark) GROUP BY token),
 toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+', 0)) AS token FROM documents)
 SELECT toks.doc_id, terms.term_idx, toks.token AS term FROM toks JOIN terms ON toks.token = terms.term""")
 def q_term_tokens(spark, sf):
-    """Terms equal to a whole token, as an equi-join on the token."""
+    """All tokens of the benchmark items that are a whole token of a document, as an equi-join on the token."""
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     bench = read_table(spark, sf, "benchmark", ["item_id", "text"])
-    terms = (bench.select(F.col("item_id").alias("term_idx"), F.regexp_extract("text", "^[A-Za-z]+", 0).alias("term"))
-             .where(F.col("term") != ""))
+    terms = search.tokens_from_items(bench, "[A-Za-z]+")
     return search.term_tokens(docs, terms, token_pattern="[A-Za-z]+")
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import REPORT_DATE_FORMAT, VERSION_DATE_FORMAT, WITHHELD_PHRASES
+from palimpsest.constants import REPORT_DATE_FORMAT, SIGNIFICANCE_THRESHOLD, VERSION_DATE_FORMAT, WITHHELD_PHRASES
 from palimpsest.functions.html import article_body, clean_redline, strip_navigation
 from palimpsest.functions.text import contains_any, exceeds_distance, title_case_words
 from palimpsest.operators import feed
@@ -79,7 +79,8 @@ def crawl_report_job(report_rows: DataFrame, latest: DataFrame, prev: DataFrame,
     from palimpsest.operators.report import metrics_rows
     from palimpsest.functions.distance import long_exceeds
 
-    parsed = report_rows.select(
+    # one row per page and day, whatever its id
+    parsed = report_rows.dropDuplicates(["update_type", "uri"]).select(
         "update_type", "id", "title", "uri",
         F.nullif(F.regexp_extract("uri", REPORT_URI_PATTERN, 1), F.lit("")).alias("manual"),
         F.nullif(F.regexp_extract("uri", REPORT_URI_PATTERN, 2), F.lit("")).alias("chapter"))
@@ -92,13 +93,13 @@ def crawl_report_job(report_rows: DataFrame, latest: DataFrame, prev: DataFrame,
     cur = latest.select("uri", F.col("text").alias("curr_text"))
     old = prev.select("uri", F.col("text").alias("prev_text"))
     ch = ok.where(F.col("update_type") == "change").join(cur, "uri").join(old, "uri")
-    ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", 50))
+    ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", SIGNIFICANCE_THRESHOLD))
     # paragraph redline per changed page: pair by position, mark, clean, join in order
-    keyed = ch.select(F.col("id").cast("long").alias("doc_id"), "prev_text", "curr_text")
+    keyed = ch.select(F.col("uri").alias("doc_id"), "prev_text", "curr_text")
     marked = redline.paragraph_markup(paragraphs.pair_in_row(keyed))
     cleaned = marked.withColumn("markup", clean_redline(F.col("markup")))
-    red = redline.document_redline(cleaned).withColumnRenamed("doc_id", "_rid")
-    changes = ch.join(red, F.col("id").cast("long") == F.col("_rid"), "left").drop("_rid")
+    red = redline.document_redline(cleaned).withColumnRenamed("doc_id", "uri")
+    changes = ch.join(red, "uri", "left")
 
     reported = report_rows.groupBy("update_type").agg(F.count(F.lit(1)).alias("n_reported"))
     processed = (adds.select("update_type").unionByName(ch.select("update_type"))
@@ -118,7 +119,8 @@ def updates_feed_job(feed_rows: DataFrame, pages: DataFrame, archive: DataFrame,
 
     ``feed_rows``: ``(ts, url, title)``, newest first in meaning (any order in
     storage); ``pages``: fetched pages ``(url, html)``; ``archive``:
-    yesterday's bodies ``(chapter, body)``. Steps: F7 ordered take-while on the
+    yesterday's bodies ``(manual, chapter, body)``, one per key (the least body
+    of several). A link listed twice is one row. Steps: F7 ordered take-while on the
     run date -> F8/D5 link kind and parts -> M9/D10 page body -> J12/F9
     classification against the archive -> for changes, the paragraph redline
     of the body text (D12 -> D9 -> D6) and the F3 flag -> D7/P6 update rows ->
@@ -131,17 +133,17 @@ def updates_feed_job(feed_rows: DataFrame, pages: DataFrame, archive: DataFrame,
 
     today = feed.link_parts(feed.take_while_today(feed_rows, run_date), "url", marker)
     body = pages.select("url", article_body(strip_navigation(F.col("html"))).alias("body"))
-    rows = today.join(body, "url")
-    arch = archive.select("chapter", F.col("body").alias("prev_body"))
-    classified = (rows.join(arch, "chapter", "left")
+    rows = today.dropDuplicates(["url"]).join(body.dropDuplicates(["url"]), "url")
+    arch = archive.groupBy("manual", "chapter").agg(F.min("body").alias("prev_body"))
+    classified = (rows.join(arch, ["manual", "chapter"], "left")
                   .withColumn("update_type", F.when(F.col("prev_body").isNotNull(), "change")
                               .when(contains_any(F.col("body"), WITHHELD_PHRASES), "deletion")
                               .otherwise("new")))
     text = lambda c: F.regexp_replace(html_to_text(c), r"\n+", "\n")
     ch = (feed.of_type(classified, "change")
           .withColumn("curr_text", text(F.col("body"))).withColumn("prev_text", text(F.col("prev_body")))
-          .withColumn("doc_id", F.xxhash64("url")))
-    ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", 50))
+          .withColumn("doc_id", F.col("url")))
+    ch = ch.withColumn("above_threshold", long_exceeds("prev_text", "curr_text", SIGNIFICANCE_THRESHOLD))
     marked = redline.paragraph_markup(paragraphs.pair_in_row(ch.select("doc_id", "prev_text", "curr_text")))
     red = redline.document_redline(marked.withColumn("markup", clean_redline(F.col("markup"))))
     changes = ch.join(red, "doc_id", "left")

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from palimpsest.operators import relevance, report, scoring, snapshot
 
 
-def document_info(side: DataFrame, keys: DataFrame) -> DataFrame:
-    """Source, chapter, title and link for the listed documents (additions or deletions)."""
-    rows = side.join(keys.select("doc_id"), "doc_id", "left_semi")
+def document_info(rows: DataFrame) -> DataFrame:
+    """Source, chapter, title and link of listed documents (additions or deletions, as J2 and J1 return them)."""
     link = F.concat(F.lit('<a href="chapters/'), F.col("chapter"), F.lit('.html" target="_blank">View</a>'))
     return rows.select("doc_id", F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"),
                        "title", link.alias("link"))
@@ -36,14 +35,37 @@ def change_table(metrics: DataFrame) -> DataFrame:
     return out
 
 
+def sections_of(prev: DataFrame, latest: DataFrame) -> DataFrame:
+    """K2 by one full outer join: the section follows from the side that is missing.
+
+    Each snapshot is read and exchanged once. Only documents that changed
+    carry their texts to the distance; the others carry empty ones.
+    """
+    side = lambda df, p: df.select("doc_id", *[F.col(c).alias(f"{p}_{c}") for c in ("chapter", "manual", "title", "text")])
+    section = (F.when(F.col("prev_text").isNull(), "additions").when(F.col("curr_text").isNull(), "deletions")
+               .when(F.col("prev_text") != F.col("curr_text"), "changes"))
+    j = side(prev, "prev").join(side(latest, "curr"), "doc_id", "full_outer").withColumn("section", section).where("section IS NOT NULL")
+    text = lambda c: F.when(F.col("section") == "changes", F.col(c)).otherwise(F.lit(""))
+    rows = j.select("doc_id", "section", *[F.when(F.col("section") == "additions", F.col(f"curr_{c}")).otherwise(F.col(f"prev_{c}")).alias(n)
+                                           for c, n in (("chapter", "chapter"), ("manual", "manual"), ("title", "prev_title"))],
+                    text("prev_text").alias("prev_text"), text("curr_text").alias("curr_text"))
+    scored = report.change_info(scoring.pair_metrics(rows, ("section",)))
+    changed = F.col("section") == "changes"
+    return (scored.where(~changed | scoring.significant("lev_distance", "para_change_count"))
+            .select("section", "source", "chapter_number", "title", F.when(changed, F.col("change_info")).alias("info"),
+                    F.when(changed, F.col("lev_distance")).alias("sort_key")))
+
+
 def build(prev: DataFrame, latest: DataFrame, teams: DataFrame | None = None,
           metrics: DataFrame | None = None) -> dict[str, DataFrame]:
     """All outputs of the job, lazily defined (``metrics`` may be precomputed)."""
-    if metrics is None:
+    joined = metrics is None
+    if joined:
         metrics = scoring.document_metrics(prev, latest)
     adds = snapshot.additions(prev, latest)
     dels = snapshot.deletions(prev, latest)
-    sections = report.report_sections(scoring.significant_changes(metrics), adds, dels)
+    sections = (sections_of(prev, latest) if joined
+                else report.report_sections(scoring.significant_changes(metrics), adds, dels))
     out = {"metrics": metrics, "changes": change_table(metrics), "additions": adds, "deletions": dels,
            "report": sections, "counts": report.section_counts(sections)}
     if teams is not None:

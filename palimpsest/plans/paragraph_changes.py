@@ -68,7 +68,7 @@ def chapter_summary(prev: DataFrame, latest: DataFrame, refs: DataFrame | None =
     plog, llog = logs(prev, latest)
     flagged = with_shift(changed(paired(plog, llog)), llog)
     out = scoring.paragraph_noise_cascade(flagged).select(
-        "doc_id", "chapter", F.col("curr_title").alias("title"), "k", "prev_para", "curr_para",
+        "doc_id", "chapter", F.col("prev_title").alias("title"), "k", "prev_para", "curr_para",
         "n_paras_with_changes", "char_count_diff", "lev_distance")
     if refs is not None:
         out = relevance.lookup_refs(out, refs)

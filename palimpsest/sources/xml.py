@@ -6,7 +6,7 @@ timestamps and flips ``document`` between struct and array by row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,9 @@ from palimpsest.functions.html import strip_tag
 XPATH_CHAPTER = "//*[name()='ci:content']"
 XPATH_HEADING = "//*[name()='docinfo:doc-heading']"
 XPATH_SOURCE = "//*[name()='docinfo:hierlev']//*[name()='docinfo:hierlev']//title"
-XPATH_PARAS = "//*[self::text or self::h]"
+# a <text> or <h> element with all that it holds; the self-closing form holds nothing
+ELEMENT = r"(?s)<(text|h)\b[^>]*?(?:/>|>(.*?)</\1>)"
+_WELL_FORMED = T.StructType([T.StructField("body", T.StringType()), T.StructField("_corrupt_record", T.StringType())])
 
 
 def _xml_escape(c):
@@ -43,18 +45,49 @@ def documents_to_xml(snapshot: DataFrame) -> DataFrame:
     return snapshot.select("doc_id", xml.alias("xml"))
 
 
+def element_value(inner):
+    """String value of an element's inside: tags dropped, entities decoded."""
+    out = F.regexp_replace(inner, r"(?s)<[^>]*>", "")
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return out
+
+
+def is_well_formed(xml) -> Column:
+    """False for text that isn't one XML document."""
+    parsed = F.from_xml(xml, _WELL_FORMED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.coalesce(parsed["_corrupt_record"].isNull() & xml.isNotNull() & (F.trim(xml) != ""), F.lit(False))
+
+
+def xml_elements(df: DataFrame, xml: str = "xml") -> DataFrame:
+    """``(..., pos, tag, text)`` of every ``<text>`` and ``<h>`` element in document order.
+
+    ``text`` is the element's whole string value, nested inline elements
+    included; an empty element is a row with empty text. Markup that isn't
+    well formed gives the elements that can be read.
+    """
+    keep = [c for c in df.columns if c != xml]
+    tags = F.regexp_extract_all(F.col(xml), F.lit(ELEMENT), F.lit(1))
+    inner = F.regexp_extract_all(F.col(xml), F.lit(ELEMENT), F.lit(2))
+    rows = F.arrays_zip(tags.alias("tag"), F.transform(inner, element_value).alias("text"))
+    return (df.select(*keep, F.posexplode(rows).alias("pos", "_e"))
+            .select(*keep, "pos", F.col("_e.tag").alias("tag"), F.col("_e.text").alias("text")))
+
+
 def parse_xml_documents(df: DataFrame, xml: str = "xml") -> DataFrame:
     """S3 + P1: chapter, title (chapter prefix removed), source and paragraphs.
 
-    Inline ``remotelink`` tags are stripped first (D12) so each paragraph is one
-    text node. Missing fields default to ``not found``.
+    Inline ``remotelink`` tags are stripped first (D12). Missing fields default
+    to ``not found``; so do all fields of a document that isn't well formed
+    (see :func:`is_well_formed`), which doesn't stop the job.
     """
-    x = strip_tag(F.col(xml), "remotelink")
+    # a malformed document is never handed to xpath, which would stop the job
+    x = F.when(is_well_formed(F.col(xml)), strip_tag(F.col(xml), "remotelink"))
     chapter = F.nullif(F.xpath_string(x, F.lit(XPATH_CHAPTER)), F.lit(""))
     heading = F.nullif(F.xpath_string(x, F.lit(XPATH_HEADING)), F.lit(""))
     title = F.replace(heading, F.concat(chapter, F.lit(" ")), F.lit(""))
     source = F.nullif(F.xpath_string(x, F.lit(XPATH_SOURCE)), F.lit(""))
-    paras = F.xpath(x, F.lit(XPATH_PARAS + "/text()"))
+    paras = F.transform(F.regexp_extract_all(x, F.lit(ELEMENT), F.lit(2)), element_value)
     keep = [c for c in df.columns if c != xml]
     return df.select(*keep,
                      F.coalesce(chapter, F.lit(NOT_FOUND)).alias("chapter"),
@@ -103,21 +136,17 @@ def parse_crawl_report_column(df: DataFrame, col: str = "report_xml") -> DataFra
 def explode_crawl_report(reports: DataFrame) -> DataFrame:
     """``(update_type, id, title, uri)`` rows, one per ``document``.
 
-    An empty section contributes no rows; each section is exploded on its own
-    and the three are unioned with a literal ``update_type`` (P5).
+    The sections become one array of typed rows (P5), exploded once, so that
+    the report is parsed once; an empty section contributes no rows.
     """
     keep = [c for c in reports.columns if c not in ("added", "changed", "removed", "_corrupt_record")]
-    parts = []
-    for section, update_type in SECTION_TYPES:
-        parts.append(reports.where(F.col("_corrupt_record").isNull()).select(
-            *keep, F.lit(update_type).alias("update_type"),
-            F.explode(F.coalesce(F.col(f"{section}.document"), F.array().cast(T.ArrayType(_DOC)))).alias("_d"))
-            .select(*keep, "update_type", F.col("_d._id").alias("id"), F.col("_d._title").alias("title"),
-                    F.col("_d._uri").alias("uri")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    none = F.array().cast(T.ArrayType(_DOC))
+
+    def rows(section: str, update_type: str):
+        return F.transform(F.coalesce(F.col(f"{section}.document"), none), lambda d: F.struct(
+            F.lit(update_type).alias("update_type"), d["_id"].alias("id"), d["_title"].alias("title"), d["_uri"].alias("uri")))
+    every = F.concat(*[rows(section, update_type) for section, update_type in SECTION_TYPES])
+    return reports.where(F.col("_corrupt_record").isNull()).select(*keep, F.inline(every))
 
 
 def split_bad_records(reports: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -95,15 +95,16 @@ def test_updates_feed_job(spark):
                  .unionByName(spark.createDataFrame([("2024-01-14 09:00:00", "https://x.example.com/en/1", "old")],
                                                     "ts string, url string, title string")
                               .select(F.to_timestamp("ts").alias("ts"), "url", "title")))
-    bodies = pages.select(url_part("url", 2).alias("chapter"),
+    bodies = pages.select(url_part("url", 1).alias("manual"), url_part("url", 2).alias("chapter"),
                           article_body(strip_navigation(F.col("html"))).alias("body"))
     # yesterday's archive: a few chapters, first paragraph of each body rewritten
     archive = (bodies.dropDuplicates(["chapter"]).orderBy("chapter").limit(5)
+               .unionByName(bodies.select(F.lit("another manual").alias("manual"), "chapter", "body"))
                .withColumn("body", F.regexp_replace("body", r"(?s)^(.*?)<p>", "<p>Yesterday's opening.</p>$1<p>")))
     out = updates_feed_job(feed_rows, pages, archive, "2024-01-15", marker=".example.")
     n_pages = pages.count()
     assert out["updates"].count() == n_pages                       # the older row is not read
-    archived = {r.chapter for r in archive.collect()}
+    archived = {r.chapter for r in archive.where("manual <> 'another manual'").collect()}
     changes = out["changes"].collect()
     assert {r.chapter for r in changes} == archived
     assert all(r.redline and ("<del>" in r.redline or "<ins>" in r.redline) for r in changes)

@@ -98,17 +98,34 @@ def test_alignment_vs_difflib(spark):
         sorted((r[1], r[2], r[5]) for r in rows if r[1] is not None)
 
 
-def test_clean_underlined():
-    assert R.clean_underlined_text("<u>a &lt;b&gt; <c></u> keep <x> <u>>z<</u>") == "<u>a b c</u> keep <x> <u>z</u>"
-
-
-def test_ref_lists_split_hot_pattern(spark):
-    from palimpsest.operators.relevance import ids_per_pattern
-    refs = spark.createDataFrame([("HOT", f"d{i}") for i in range(25)] + [("COLD", "x")], "pattern string, doc_ref string")
-    got = ids_per_pattern(refs, chunk=10).collect()
-    hot = [r for r in got if r.pattern == "HOT"]
-    assert len(hot) == 3 and sorted(x for r in hot for x in r.doc_refs) == sorted(f"d{i}" for i in range(25))
-    assert [(r.part, r.doc_refs) for r in got if r.pattern == "COLD"] == [(0, ["x"])]
+def test_clean_underlined(spark):
+    cases = {"<u>a &lt;b&gt; <c></u> keep <x> <u>>z<</u>": "<u>a b c</u> keep <x> <u>z</u>",
+             "<u>a <u>b</u> <c></u> <u>open <d>": "<u>a ub</u> <c></u> <u>open <d>", "plain <x>": "plain <x>", "": "", None: None}
+    rows = spark.createDataFrame([(k,) for k in cases], "m string").select("m", R.clean_underlined("m").alias("got")).collect()
+    assert {r.m: r.got for r in rows} == cases
+
+
+def test_hot_pattern_has_one_row_per_chapter(spark):
+    from palimpsest.operators.relevance import lookup_refs, refs_with_counts
+    refs = (spark.range(20001).selectExpr("'HOT' AS pattern", "concat('d', id) AS doc_ref")
+            .unionByName(spark.createDataFrame([("COLD", "x")], "pattern string, doc_ref string")))
+    got = {(r.pattern, r.n_refs): r.n for r in refs_with_counts(refs).groupBy("pattern", "n_refs").agg(F.count("*").alias("n")).collect()}
+    assert got == {("HOT", 20001): 20001, ("COLD", 1): 1}
+    rows = lookup_refs(spark.createDataFrame([("HOT",), ("COLD",), ("NONE",)], "chapter string"), refs).collect()
+    assert {r.chapter: len(r.doc_info.split(", ")) if r.doc_info else 0 for r in rows} == {"HOT": 20001, "COLD": 1, "NONE": 0}
+    assert len(rows) == 3
+
+
+def test_xml_elements_and_malformed_document(spark):
+    from palimpsest.sources import xml as X
+    rows = [(1, "<doc><h>Top</h><text>one <emph>two</emph> three &amp; four</text><text/><text a='b'>end</text></doc>"),
+            (2, "<doc><text>open"), (3, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, xml string")
+    got = [(r.doc_id, r.pos, r.tag, r.text) for r in X.xml_elements(docs).orderBy("doc_id", "pos").collect()]
+    assert got == [(1, 0, "h", "Top"), (1, 1, "text", "one two three & four"), (1, 2, "text", ""), (1, 3, "text", "end")]
+    parsed = {r.doc_id: (r.chapter, r.text) for r in X.parse_xml_documents(docs).collect()}
+    assert parsed[1] == ("not found", "Top\none two three & four\n\nend")
+    assert {parsed[k][0] for k in (2, 3, 4)} == {"not found"}
 
 
 def test_crawl_job_redline_step(spark):

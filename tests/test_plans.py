@@ -33,7 +33,9 @@ def shuffles(plan):
     ("threshold_flags", 2),
     ("aligned_paragraphs", 2),       # pairs built inside the joined document row
     ("paragraph_redline", 2),        # ... and the per-document redline reuses the join's hashing
-    ("term_hits", 1),                # only the matched pairs move, for the running total
+    ("report_sections", 2),          # one full outer join gives all three sections
+    ("addition_info", 2),            # the anti-join's rows, not joined again
+    ("crawl_report_rows", 2),        # digests meet once; reports are parsed and exploded in place
     ("shifted_paragraphs", 3),       # two sides + the text index; the inner pairing keeps doc_id hashing
     ("word_redline", 2),
 ])
@@ -53,6 +55,10 @@ def test_distance_udf_evaluated_once(static_plan):
     assert plan.count("_levenshtein_udf(") == 1
 
 
+def test_crawl_reports_are_parsed_once(static_plan):
+    assert static_plan("crawl_report_rows").count("Generate inline") == 1
+
+
 def test_topk_limit_before_shuffle(static_plan):
     plan = static_plan("newest_events")
     assert "WindowGroupLimit" in plan and "Partial" in plan
