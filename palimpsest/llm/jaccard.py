@@ -14,6 +14,7 @@ from palimpsest.llm import hashed
 from palimpsest.llm.common import Sieve, cut_lineage, min_labels, slices, with_workers
 
 GROUP = 64  # texts in a group of the matrix, about
+BUNDLE = 1 << 20  # bytes of tokens in a bundle of groups, about
 NO_ID = -(1 << 63)  # stands for a null id
 
 
@@ -44,13 +45,19 @@ def links(sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
     """Pairs (i, j) that link, of the first ``left`` sets with the others (``left`` 0: among all)."""
     n = np.array([len(s) for s in sets])
     every = np.concatenate(sets)
-    names, code = np.unique(every, return_inverse=True)
     of = np.repeat(np.arange(len(sets)), n)
     split = left or len(sets)
+    names, code = np.unique(every, return_inverse=True)
+    # only names that both sides hold can be shared: the others need no column
+    there = np.bincount(code[of >= left], minlength=len(names))
+    both = (np.bincount(code[of < left], minlength=len(names)) > 0) & (there > 0) if left else there > 1
+    column = np.cumsum(both) - 1
+    used = both[code]
+    of, code, width = of[used], column[code[used]], int(both.sum())
     shared = np.zeros((split, len(sets) - left), np.float32)
-    for lo in range(0, len(names), 1 << 15):
-        some = (code >= lo) & (code < lo + (1 << 15))
-        m = np.zeros((len(sets), min(1 << 15, len(names) - lo)), np.float32)
+    for lo in range(0, width, 1 << 13):
+        some = (code >= lo) & (code < lo + (1 << 13))
+        m = np.zeros((len(sets), min(1 << 13, width - lo)), np.float32)
         m[of[some], code[some] - lo] = 1
         shared += m[:split] @ m[left:].T
     union = n[:split, None] + n[None, left:] - shared
@@ -91,9 +98,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
        Each group is linked inside; where one hash value fills several groups,
        representatives of what linked meet again as long as that shrinks.
     3. The token-group matrix has, for each kept token, the groups that hold
-       it. Two groups that share one are a candidate, unless all holders are in
-       one component already. A text is compared with the other group's token
-       union first, and only groups with texts that can qualify are opened.
+       it, unless all holders are in one component already. Groups that hang
+       together by tokens are bundled up to about ``BUNDLE`` bytes; two bundles
+       that share a token are a candidate. A text is compared with the other
+       bundle's token union first, and only bundles with texts that can qualify
+       are opened.
     """
     spark = with_workers(docs.sparkSession)
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -180,21 +189,24 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
              .groupBy("token", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
     holds = cut_lineage(holds)
     mixed = (holds.groupBy("token").agg(F.min("g").alias("g0"), F.max("g").alias("g1"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-             .where("g0 < g1 AND lo < hi").select("token"))
-    matrix = holds.join(mixed, "token")
-    pairs = (matrix.alias("x").join(matrix.alias("y"), "token")
-             .where("x.g < y.g AND NOT (x.lo = x.hi AND y.lo = y.hi AND x.lo = y.lo)")
-             .select(F.col("x.g").alias("xg"), F.col("y.g").alias("yg")).distinct())
-    pairs = cut_lineage(pairs)
-    # candidate groups that hang together go on in bundles of about 2 * GROUP texts, so that each text travels
-    # once for each bundle that its own has to be held against, not once for each candidate
-    family = min_labels(spark, pairs.select(F.col("xg").alias("a"), F.col("yg").alias("b"))).withColumnRenamed("node", "g")
+             .where("g0 < g1 AND lo < hi").select("token", "g0"))
+    matrix = cut_lineage(holds.join(mixed, "token"))
+    # groups that hang together by shared tokens (each to the least one of its token) go on in bundles of about
+    # BUNDLE bytes, so that each text travels once for each bundle that its own has to be held against
+    family = min_labels(spark, matrix.where("g > g0").select(F.col("g").alias("a"), F.col("g0").alias("b"))).withColumnRenamed("node", "g")
     mine = member.select("c", "g").join(family, "g")
-    bundle = F.xxhash64("label", F.pmod(F.xxhash64("g"), F.ceil(F.col("texts") / (2 * GROUP))))
-    mine = cut_lineage(mine.join(mine.groupBy("label").agg(F.count("*").alias("texts")), "label").select("c", "g", bundle.alias("u")))
-    of = mine.select("g", "u").distinct()
-    held = (pairs.join(of.select(F.col("g").alias("xg"), F.col("u").alias("xu")), "xg").join(of.select(F.col("g").alias("yg"), F.col("u").alias("yu")), "yg")
-            .select(F.least("xu", "yu").alias("xu"), F.greatest("xu", "yu").alias("yu")).distinct())
+    weight = mine.join(sets.select("c", F.octet_length("tokens").alias("bytes")), "c").groupBy("label").agg(F.sum("bytes").alias("bytes"))
+    bundle = F.xxhash64("label", F.pmod(F.xxhash64("g"), F.ceil(F.col("bytes") / BUNDLE)))
+    mine = cut_lineage(mine.join(weight, "label").select("c", "g", bundle.alias("u")))
+    cells = cut_lineage(matrix.join(mine.select("g", "u").distinct(), "g").groupBy("token", "u")
+                        .agg(F.count("*").alias("groups"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    inner = cells.where("groups > 1 AND lo < hi").select(F.col("u").alias("xu"), F.col("u").alias("yu")).distinct()
+    # tokens that stand in the same bundles name the same pairs: one of them is enough
+    wide = (cells.groupBy("token").agg(F.count("*").alias("bundles"), F.bit_xor(F.xxhash64("u")).alias("which")).where("bundles > 1")
+            .groupBy("bundles", "which").agg(F.min("token").alias("token")).select("token"))
+    row = cells.join(wide, "token").select("token", "u")
+    held = cut_lineage(inner.union(row.alias("x").join(row.alias("y"), "token").where("x.u < y.u")
+                                   .select(F.col("x.u").alias("xu"), F.col("y.u").alias("yu")).distinct()))
     bundles = mine.join(sets.select("c", "tokens"), "c").groupBy("u").agg(F.collect_list(F.struct("c", "tokens")).alias("texts"))
     opened = (held.where("xu = yu").join(bundles.select(F.col("u").alias("xu"), F.col("texts").alias("x")), "xu")
               .select("x", F.lit(None).cast(bundles.schema["texts"].dataType).alias("y"))
