@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from palimpsest.session import cut_lineage, ship_package
 
 WORD = r"[^\x20\x09-\x0D]+"
+EDGES_A_TASK = 50_000  # edges that one task of a round of connected components gets at least
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +59,11 @@ def min_labels(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
     """
     e = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def parts(rows: int) -> int:
+        # small edge lists go on in few partitions: a round has several shuffles, each with files for each of them
+        return min(partitions_of(spark), 1 + rows // EDGES_A_TASK)
+
+    def star(e: DataFrame, large: bool, n: int) -> DataFrame:
         if large:
             both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
             low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -68,7 +73,7 @@ def min_labels(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
             low = down.groupBy("a").agg(F.min("b").alias("m"))
             out = (down.join(low, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("x"))
                    .select(F.col("x.b").alias("a"), F.col("x.m").alias("b")))
-        return out.where("a <> b").distinct()
+        return out.where("a <> b").coalesce(n).distinct().coalesce(n)
 
     def state(e: DataFrame) -> tuple:
         r = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -78,7 +83,8 @@ def min_labels(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
     for _ in range(max_rounds):
         if not last[0]:
             break
-        e = cut_lineage(star(star(e, True), False))
+        n = parts(last[0])
+        e = cut_lineage(star(star(e.coalesce(n), True, n), False, n))
         now = state(e)
         if now == last:
             break
