@@ -108,29 +108,30 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def digests(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
-            row, h, cuts = token_sets(b.column(1), k)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(cuts)), pa.array(set_digests(row, h, b.num_rows))], names=["id", "n", "c"])
-
-    def prefixes(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
         for b in slices(batches, 1):
             row, h, cuts = token_sets(b.column(1), k)
             n = np.diff(cuts)
             c = set_digests(row, h, b.num_rows)
-            # one row a class of the batch, the one with the smallest id
+            # one row a class of the batch, the one with the smallest id, names the smallest hashes
             order = np.lexsort((b.column(0).to_numpy(), c))
             order = order[n[order] > 0]
             once = np.ones(len(order), bool)
             once[1:] = c[order[1:]] != c[order[:-1]]
-            chosen = np.zeros(b.num_rows, bool)
-            chosen[order[once]] = True
-            most = np.minimum(n, (3 * (n - needed(n, percent) + 1) + 1) // 2)
-            take = chosen[row] & (np.arange(len(row)) - cuts[row] < most[row])
-            row, h = row[take], h[take].astype(np.int64)
+            most = np.zeros(b.num_rows, np.int64)
+            most[order[once]] = np.minimum(n, (3 * (n - needed(n, percent) + 1) + 1) // 2)[order[once]]
+            smallest = pa.array([h[a:a + m].tobytes() for a, m in zip(cuts, most)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(c), smallest], names=["id", "n", "c", "smallest"])
+
+    def prefixes(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
+        for b in slices(batches, 3):
+            data, offsets = hashed.bytes_of(b.column(3))
+            h = data.view(np.int64)
+            row = np.repeat(np.arange(b.num_rows), np.diff(offsets) // 8)
             if sieve:
                 may = sieve.may_hold(h)
                 row, h = row[may], h[may]
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c[row]), pa.array(n[row]), pa.array(b.column(0).to_numpy()[row])], names=["token", "c", "n", "id"])
+            of = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(h), b.column(2).take(of), b.column(1).take(of), b.column(0).take(of)], names=["token", "c", "n", "id"])
 
     def whole(batches: Iterator) -> Iterator:
         for b in slices(batches, 1):
@@ -140,12 +141,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             low = h[np.minimum(cuts[:-1], max(len(h) - 1, 0))].astype(np.int64) if len(h) else np.zeros(b.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(low), pa.array(sets, pa.binary())], names=["c", "low", "tokens"])
 
-    ids = cut_lineage(d.mapInArrow(digests, "id long, n long, c long"))
+    ids = cut_lineage(d.mapInArrow(digests, "id long, n long, c long, smallest binary"))  # read again below: texts are cut into shingles once
     ddl = "token long, c long, n long, id long"
-    shared = cut_lineage(d.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    shared = cut_lineage(ids.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
                          .where("lo < hi").select("token", "df"))
     some = Sieve(shared, F.col("token"))  # most tokens are of one class and need not be shuffled again
-    tokens = d.mapInArrow(lambda batches: prefixes(batches, some), ddl)
+    tokens = ids.mapInArrow(lambda batches: prefixes(batches, some), ddl)
     prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
     kept = (tokens.join(shared, "token").groupBy("c", "n")
             .agg(F.min("id").alias("id"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
@@ -236,7 +237,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
     edges = comps.select(F.col("node").alias("a"), F.col("label").alias("b")).union(opened.mapInArrow(across, "a long, b long"))
     labels = min_labels(spark, edges)
-    rows = (ids.join(labels.withColumnRenamed("node", "c"), "c", "left")
+    rows = (ids.drop("smallest").join(labels.withColumnRenamed("node", "c"), "c", "left")
             .withColumn("label", F.when(F.col("n") > 0, F.coalesce("label", "c"))))
     low = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("low"))
     real = lambda x: F.when(x != NO_ID, x)
