@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from palimpsest.session import cut_lineage, ship_package
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH = 4 << 20  # bytes of an Arrow batch to a Python worker, about (one row at least)
 EDGES_A_TASK = 50_000  # edges that one task of a round of connected components gets at least
 
 
@@ -19,8 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_workers(spark: SparkSession) -> SparkSession:
-    """Make the package importable in Python workers."""
+    """Make the package importable in Python workers, which get their rows in Arrow batches of about ``BATCH`` bytes.
+
+    Spark's own bound is 64 MB, held several times over (JVM, pipe, worker) by every chained step of every task.
+    """
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     return spark
 
 
