@@ -14,7 +14,8 @@ from palimpsest.llm import hashed
 from palimpsest.llm.common import Sieve, cut_lineage, min_labels, slices, with_workers
 
 GROUP = 64  # texts in a group of the matrix, about
-BUNDLE = 1 << 20  # bytes of tokens in a bundle of groups, about
+BUNDLE = 1 << 21  # bytes of tokens in a bundle of groups, about
+CELLS = 1 << 20  # pairs of texts that a task holds links of at once, about
 NO_ID = -(1 << 63)  # stands for a null id
 
 
@@ -41,8 +42,11 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return (percent * n + 99) // 100
 
 
-def links(sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
-    """Pairs (i, j) that link, of the first ``left`` sets with the others (``left`` 0: among all)."""
+def linked(sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
+    """Smallest member of each set's component, by links of the first ``left`` sets with the others (``left`` 0: among all).
+
+    Works in blocks of about ``CELLS`` pairs, whose links go on as a forest, however many there are.
+    """
     n = np.array([len(s) for s in sets])
     every = np.concatenate(sets)
     of = np.repeat(np.arange(len(sets)), n)
@@ -55,15 +59,22 @@ def links(sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
     used = both[code]
     of, code, width = of[used], column[code[used]], int(both.sum())
     shared = np.zeros((split, len(sets) - left), np.float32)
-    for lo in range(0, width, 1 << 13):
-        some = (code >= lo) & (code < lo + (1 << 13))
-        m = np.zeros((len(sets), min(1 << 13, width - lo)), np.float32)
+    step = max(256, 4 * CELLS // len(sets))
+    for lo in range(0, width, step):
+        some = (code >= lo) & (code < lo + step)
+        m = np.zeros((len(sets), min(step, width - lo)), np.float32)
         m[of[some], code[some] - lo] = 1
         shared += m[:split] @ m[left:].T
-    union = n[:split, None] + n[None, left:] - shared
-    i, j = np.nonzero(100 * shared >= percent * union)
-    pairs = np.stack((i, j + left), axis=1)
-    return pairs[pairs[:, 0] < pairs[:, 1]]
+    forest = []
+    rows = max(1, CELLS // (len(sets) - left))
+    for lo in range(0, split, rows):
+        common = shared[lo:lo + rows].astype(np.float64)
+        i, j = np.nonzero(100 * common >= percent * (n[lo:min(lo + rows, split), None] + n[None, left:] - common))
+        i, j = i + lo, j + left
+        root = roots(len(sets), np.stack((i, j), axis=1)[i < j])
+        child = np.flatnonzero(root != np.arange(len(sets)))
+        forest.append(np.stack((root[child], child), axis=1))
+    return roots(len(sets), np.concatenate(forest))
 
 
 def roots(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -141,18 +152,22 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             low = h[np.minimum(cuts[:-1], max(len(h) - 1, 0))].astype(np.int64) if len(h) else np.zeros(b.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(low), pa.array(sets, pa.binary())], names=["c", "low", "tokens"])
 
-    ids = cut_lineage(d.mapInArrow(digests, "id long, n long, c long, smallest binary"))  # read again below: texts are cut into shingles once
-    ddl = "token long, c long, n long, id long"
-    shared = cut_lineage(ids.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-                         .where("lo < hi").select("token", "df"))
-    some = Sieve(shared, F.col("token"))  # most tokens are of one class and need not be shuffled again
-    tokens = ids.mapInArrow(lambda batches: prefixes(batches, some), ddl)
-    prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
-    kept = (tokens.join(shared, "token").groupBy("c", "n")
-            .agg(F.min("id").alias("id"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
-            .withColumn("room", (prefix - (F.least(F.col("n"), F.floor((3 * prefix + 1) / 2)) - F.size("t"))).cast("int"))
-            .where("room > 0").select("c", "id", F.expr("transform(slice(t, 1, room), x -> x.token)").alias("kept")))
-    kept = cut_lineage(kept)
+    def rare_tokens() -> tuple[DataFrame, DataFrame]:
+        """``(ids, kept)``: each row's set size and class, and the tokens that each class keeps; what is made on the way can go."""
+        named = cut_lineage(d.mapInArrow(digests, "id long, n long, c long, smallest binary"))  # texts are cut into shingles once
+        ddl = "token long, c long, n long, id long"
+        shared = cut_lineage(named.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+                             .where("lo < hi").select("token", "df"))
+        some = Sieve(shared, F.col("token"))  # most tokens are of one class and need not be shuffled again
+        tokens = named.mapInArrow(lambda batches: prefixes(batches, some), ddl)
+        prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
+        kept = (tokens.join(shared, "token").groupBy("c", "n")
+                .agg(F.min("id").alias("id"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
+                .withColumn("room", (prefix - (F.least(F.col("n"), F.floor((3 * prefix + 1) / 2)) - F.size("t"))).cast("int"))
+                .where("room > 0").select("c", "id", F.expr("transform(slice(t, 1, room), x -> x.token)").alias("kept")))
+        return cut_lineage(named.drop("smallest")), cut_lineage(kept)
+
+    ids, kept = rare_tokens()
     ids_left = kept.select("id").distinct()
     of_them = Sieve(ids_left, F.xxhash64("id")).rows(d.withColumn("h", F.xxhash64("id")), "h").drop("h")
     texts = (of_them.join(ids_left, "id").select("id", "text").mapInArrow(whole, "c long, low long, tokens binary")
@@ -166,7 +181,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
         pdf = pdf.sort_values("c")
         at = [np.frombuffer(x, np.uint64) for x in pdf["tokens"]]
         c = pdf["c"].to_numpy()
-        return pd.DataFrame({"a": c, "b": c[roots(len(c), links(at, 0, percent))]})
+        return pd.DataFrame({"a": c, "b": c[linked(at, 0, percent)]})
 
     found = cut_lineage(placed.where("texts > 1").select("c", "g").join(sets.select("c", "tokens"), "c")
                         .groupBy("g").applyInPandas(inside, "a long, b long"))
@@ -230,14 +245,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
                     sides[mine] = [(c, s) for (c, s), n in zip(sides[mine], got) if n >= needed(len(s), percent)]
                 if all(sides):
                     both = [x for side in sides for x in side]
-                    root = roots(len(both), links([s for _, s in both], len(sides[0]) if len(sides) > 1 else 0, percent))
+                    root = linked([s for _, s in both], len(sides[0]) if len(sides) > 1 else 0, percent)
                     for i in np.flatnonzero(root != np.arange(len(both))):
                         a_out.append(both[i][0])
                         b_out.append(both[root[i]][0])
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
     edges = comps.select(F.col("node").alias("a"), F.col("label").alias("b")).union(opened.mapInArrow(across, "a long, b long"))
     labels = min_labels(spark, edges)
-    rows = (ids.drop("smallest").join(labels.withColumnRenamed("node", "c"), "c", "left")
+    rows = (ids.join(labels.withColumnRenamed("node", "c"), "c", "left")
             .withColumn("label", F.when(F.col("n") > 0, F.coalesce("label", "c"))))
     low = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("low"))
     real = lambda x: F.when(x != NO_ID, x)

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +201,24 @@ def test_jaccard_components(spark, docs, texts, k, percent, monkeypatch):
         assert sorted(r.doc_id for r in jaccard.one_per_component(docs).collect()) == sorted({r * 3 for r in root})
 
 
+@pytest.mark.parametrize("cells", [16, 64, 1 << 20])
+def test_links_in_blocks(cells, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELLS", cells)
+    rng = np.random.default_rng(1)
+    for turn in range(100):
+        m = int(rng.integers(2, 14))
+        left = int(rng.integers(0, m)) if turn % 2 else 0
+        sets = [np.unique(rng.integers(0, 9, rng.integers(3, 12))).astype(np.uint64) for _ in range(m)]
+        label = list(range(m))
+        for i in range(m):
+            for j in range(i + 1, m):
+                a, b = set(sets[i].tolist()), set(sets[j].tolist())
+                if (not left or i < left <= j) and 100 * len(a & b) >= 60 * len(a | b):
+                    low, high = sorted((label[i], label[j]))
+                    label = [low if x == high else x for x in label]
+        assert jaccard.linked(sets, left, 60).tolist() == label
+
+
 def test_language_from_pieces(spark):
     rng = random.Random(2)
     words = {"aa": ["the", "thing", "ing", "and"], "bb": ["der", "ung", "schein", "und"]}
