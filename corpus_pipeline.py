@@ -16,6 +16,8 @@ from palimpsest.llm import decontaminate, jaccard, mixing, suffix_dedup, toxicit
 from palimpsest.llm.common import table
 from palimpsest.session import ensure_checkpoint_dir
 
+REPEATED_WORDS = 51  # shortest run of words that counts as a repeat, whatever its bytes
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic."""
@@ -28,8 +30,8 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that stand anywhere else too; documents left empty go."""
-    return suffix_dedup.remove_repeats(docs, length=400)
+    """Texts without runs of more than 50 words, or strings of 400 bytes, that stand anywhere else too; documents left empty go."""
+    return suffix_dedup.remove_repeats(docs, length=400, words=REPEATED_WORDS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

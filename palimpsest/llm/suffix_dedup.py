@@ -35,8 +35,16 @@ def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
     return block * w + (np.where(to_right, right, left) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
+def _units(col: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text column, or with ``words`` the hashes of its words, and the rows' offsets into them."""
+    if not words:
+        return hashed.bytes_of(col)
+    w = hashed.Words(col, lower=False)
+    return w.hash, np.append(0, np.cumsum(w.counts()))
+
+
 class Spans:
-    """Anchors of a text column, for strings of ``length`` bytes.
+    """Anchors of a text column, for strings of ``length`` bytes (with ``words``: of so many words, and so on for all below).
 
     Each string of ``length`` bytes has an anchor, the ``core``-byte piece of
     it with the least hash: equal strings have equal anchors at equal offsets,
@@ -46,8 +54,8 @@ class Spans:
     strings together and of the anchor's place among them.
     """
 
-    def __init__(self, col: pa.Array, length: int, core: int):
-        self.data, self.offsets = hashed.bytes_of(col)
+    def __init__(self, col: pa.Array, length: int, core: int, words: bool = False):
+        self.data, self.offsets = _units(col, words)
         self.length, self.n = length, len(self.data)
         self.sums = hashed.prefix_sums(self.data)
         self.inverse = hashed.powers(hashed._INVERSE, self.n + 1)
@@ -72,7 +80,7 @@ class Spans:
         return hashed.mix((self.sums[start + size] - self.sums[start]) * self.inverse[start])
 
     def keys(self, ids: np.ndarray) -> np.ndarray:
-        """A key of each row, from its id and its bytes."""
+        """A key of each row, from its id and its bytes (not for words)."""
         size = np.diff(self.offsets)
         h = hashed.mix((self.sums[self.offsets[1:]] - self.sums[self.offsets[:-1]]) * self.inverse[self.offsets[:-1]] + size.astype(np.uint64))
         return hashed.mix(h + hashed.mix(ids.astype(np.uint64))).astype(np.int64)
@@ -82,16 +90,20 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def _keys(col: pa.Array, ids: pa.Array) -> np.ndarray:
+    s = Spans.__new__(Spans)
+    data, s.offsets = hashed.bytes_of(col)
+    s.sums, s.inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
+    return s.keys(ids.to_numpy())
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
     """``rows`` (``id``, ``text`` and others) with ``key`` in place of ``id``."""
     names = ["key", *rows.columns[1:]]
 
     def run(batches: Iterator) -> Iterator:
         for b in slices(batches, 1, SLICE):
-            s = Spans.__new__(Spans)
-            data, s.offsets = hashed.bytes_of(b.column(1))
-            s.sums, s.inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
-            yield pa.RecordBatch.from_arrays([_i64(s.keys(b.column(0).to_numpy())), *b.columns[1:]], names=names)
+            yield pa.RecordBatch.from_arrays([_i64(_keys(b.column(1), b.column(0))), *b.columns[1:]], names=names)
     return rows.mapInArrow(run, rows.withColumnRenamed("id", "key").schema)
 
 
@@ -99,9 +111,13 @@ def _i64(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.int64))
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id: str = "doc_id", text: str = "text",
+                   words: bool = False) -> DataFrame:
     """Byte ranges covered by strings of ``length`` bytes that start anywhere else too: ``(key, spans)``.
 
+    With ``words``, ``length`` and ``core`` count words (runs without ASCII white space, equal byte for byte; the
+    white space between may differ), and the ranges are of the text's words by number.
+
     ``key`` names a document (id and bytes, see ``Spans.keys``); ``spans`` are
     its ranges as structs of ``start`` and ``end``, sorted, possibly overlapping.
     Documents without any are left out.
@@ -119,7 +135,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
 
     def pieces(batches: Iterator) -> Iterator:
         for b in slices(batches, 1, SLICE):
-            s = Spans(b.column(1), length, core)
+            s = Spans(b.column(1), length, core, words)
             yield pa.RecordBatch.from_arrays([_i64(s.piece), _i64(s.whole)], names=["piece", "whole"])
 
     twice = cut_lineage(d.mapInArrow(pieces, "piece long, whole long").groupBy("piece")
@@ -129,8 +145,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
 
     def anchors(batches: Iterator) -> Iterator:
         for b in slices(batches, 1, SLICE):
-            s = Spans(b.column(1), length, core)
-            key = s.keys(b.column(0).to_numpy())
+            s = Spans(b.column(1), length, core, words)
+            key = _keys(b.column(1), b.column(0)) if words else s.keys(b.column(0).to_numpy())
             at = s.offsets[s.row]
             may = some.may_hold(s.piece.astype(np.int64))
             cols = [s.piece, s.whole, key[s.row], s.first - at, s.last - at]
@@ -149,7 +165,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
 
     def strings(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
         for b in slices(batches, 1, SLICE):
-            data, offsets = hashed.bytes_of(b.column(1))
+            data, offsets = _units(b.column(1), words)
             sums, inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
             ask = b.column(2)
             part = ask.flatten()
@@ -187,15 +203,21 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _with_spans(docs: DataFrame, length: int, core: int, doc_id: str, text: str) -> DataFrame:
-    """The rows of ``docs`` (as struct ``r``) with ``text`` and their ``spans`` (null where nothing repeats)."""
+def _with_spans(docs: DataFrame, length: int, core: int, doc_id: str, text: str, words: int = 0) -> DataFrame:
+    """The rows of ``docs`` (as struct ``r``) with ``text`` and their ``spans`` (null where nothing repeats).
+
+    With ``words``, ``runs`` are the ranges of words covered by repeats of so many.
+    """
     spans = cut_lineage(repeated_spans(docs, length, core, doc_id, text))
+    if words:
+        runs = cut_lineage(repeated_spans(docs, words, words // 2, doc_id, text, words=True))
+        spans = cut_lineage(spans.join(runs.withColumnRenamed("spans", "runs"), "key", "full_outer"))
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("r"))
     some = Sieve(spans, F.col("key"))  # documents without repeats are not shuffled
     cut, whole = (some.rows(_keyed(rows), "key", keep) for keep in (True, False))
-    out = cut.join(spans, "key", "left").select("r", "text", "spans")
-    return out.union(whole.select("r", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
+    out = cut.join(spans, "key", "left").select("r", "text", *spans.columns[1:])
+    return out.union(whole.select("r", "text", *[F.lit(None).cast(spans.schema[c].dataType).alias(c) for c in spans.columns[1:]]))
 
 
 def _runs(spans) -> list[tuple[int, int]]:
@@ -205,6 +227,16 @@ def _runs(spans) -> list[tuple[int, int]]:
     return merged(v.field(0).to_numpy(), v.field(1).to_numpy())
 
 
+def _word_runs(text, runs) -> list[tuple[int, int]]:
+    """Byte ranges of runs of words, each with the white space after it (and before it, where the text begins with it)."""
+    words = _runs(runs)
+    if not words:
+        return []
+    w = hashed.Words(pa.array([text.as_py()], pa.string()))
+    start = np.append(w.start, len(w.data))
+    return [(int(start[a]) if a else 0, int(start[z])) for a, z in words]
+
+
 def removal_report(docs: DataFrame, length: int = 400, core: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """What removing repeated strings leaves: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, a row per row of ``docs``.
 
@@ -232,19 +264,25 @@ def removal_report(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
     return rows.mapInArrow(report, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, core: int = 200) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, core: int = 200, words: int = 0) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text`` (same columns; ``n_chars``, where present, is counted anew).
 
-    A character that a cut runs through goes whole. Rows that lose all their text are dropped.
+    With ``words``, every run of so many words that stands anywhere else goes
+    too, however few its bytes, with the white space after it; both are judged
+    on the input. A character that a cut runs through goes whole. Rows that
+    lose all their text are dropped.
     """
-    rows = _with_spans(docs, length, core, "doc_id", "text")
+    rows = _with_spans(docs, length, core, "doc_id", "text", words)
 
     def cut(batches: Iterator) -> Iterator:
         for b in slices(batches, 1, SLICE):
             out, changed = [], []
-            for t, spans in zip(b.column(1), b.column(2)):
+            for t, spans, *more in zip(*b.columns[1:]):
                 raw, at, parts = bytes(t.as_buffer() or b""), 0, []
                 runs = _runs(spans)
+                if more and more[0].is_valid:
+                    ranges = sorted(runs + _word_runs(t, more[0]))
+                    runs = merged(*(np.array(x) for x in zip(*ranges)))
                 for a, z in runs:
                     parts.append(raw[at:a])
                     at = z

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from palimpsest.llm import (decontaminate, jaccard, langid, license_scan, linear, mixing, quality, simhash,
                             suffix_dedup, toxicity, url_filter)
 
@@ -177,6 +178,40 @@ def test_repeated_strings(spark, docs, texts, length, core):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(mask), spans, hashlib.sha256(kept).hexdigest()), i
 
 
+def without_runs(texts, n):
+    """Texts without the words covered by runs of ``n`` words that start anywhere else too, as lists of words."""
+    words = [WORD.findall(t or "") for t in texts]
+    count = collections.Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
+    for w in words:
+        gone = {j for i in range(len(w) - n + 1) if count[tuple(w[i:i + n])] > 1 for j in range(i, i + n)}
+        yield [x for j, x in enumerate(w) if j not in gone]
+
+
+def test_repeated_runs_of_words(spark, texts):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(rng.randint(1, 5)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    short, fifty, tiny = line(51), line(50), " ".join(rng.choice("abcdefgh") for _ in range(51))
+    assert max(len(short), len(tiny)) < 400
+    planted = [f"{line(40)} {p} {line(40)}" for p in (short, short, fifty, fifty, tiny, tiny)]
+    planted += [f"{line(30)}\n{short}", f"{short}\n\n{line(30)}", f" {short} ", short.replace(" ", "\n"), "é " + line(9), None]
+    rows = [(i if i % 3 else None, t, "en", "s") for i, t in enumerate(planted)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows).repartition(3), words=corpus_pipeline.REPEATED_WORDS).collect()
+    want = list(without_runs(planted, 51))
+    left = sorted(WORD.findall(r.text or "") for r in got)
+    assert left == sorted(w for w, t in zip(want, planted) if w or not t)
+    assert sum(fifty in r.text for r in got if r.text) == 2 and not any(short in r.text or tiny in r.text for r in got if r.text)
+    # strings of 400 bytes go as before, also where they have few words
+    long = "".join(rng.choice("abcdefgh") for _ in range(450))
+    got = suffix_dedup.remove_repeats(frame(spark, [(i, f"{i} {long} {i}{i}", None, None) for i in range(2)]), words=51).collect()
+    assert not any(long in r.text for r in got)
+    # texts with many repeats, whose copies overlap
+    few = [t for t in texts if len(t or "") < 5000]
+    got = suffix_dedup.remove_repeats(frame(spark, [(i, t, None, None) for i, t in enumerate(few)]).repartition(3), 1 << 20, 1 << 19, words=12).collect()
+    want = {i: w for i, w in enumerate(without_runs(few, 12))}
+    assert {r.doc_id: WORD.findall(r.text) for r in got} == {i: w for i, w in want.items() if w or not few[i]}
+
+
 def components(texts, k, percent):
     sets = []
     for t in texts:
