@@ -40,10 +40,15 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, with the words it takes of each (repeats counted) and its source's target."""
-    taken = (mixing.mix_sources(docs, weights=(3, 1, 2), share=1.5, most=2).where("taken > 0")
-             .select(F.col("doc_id").alias("_id"), "size", "source_size", "target", "taken", "mix_offset"))
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"])).drop("_id")
+    """The documents of the mix, with the words it takes of each (repeats counted) and its source's target.
+
+    Rows are told apart by id and a digest of all columns; of rows equal in all columns one gets the words of each.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    taken = (mixing.mix_sources(keyed, weights=(3, 1, 2), share=1.5, most=2, key="_row").where("taken > 0")
+             .select(F.col("doc_id").alias("_id"), F.col("_row").alias("_key"), "size", "source_size", "target", "taken", "mix_offset"))
+    once = keyed.dropDuplicates(["doc_id", "_row"])
+    return once.join(taken, once["doc_id"].eqNullSafe(taken["_id"]) & (once["_row"] == taken["_key"])).drop("_id", "_key", "_row")
 
 
 STAGES = [("toxicity", drop_toxic), ("near copies", one_of_near_copies), ("repeated strings", remove_repeats),

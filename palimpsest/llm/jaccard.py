@@ -7,11 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm import hashed
-from palimpsest.llm.common import Sieve, cut_lineage, min_labels, slices, with_workers
+from palimpsest.llm.common import WORD, Sieve, cut_lineage, min_labels, slices, with_workers
 
 GROUP = 64  # texts in a group of the matrix, about
 BUNDLE = 1 << 21  # bytes of tokens in a bundle of groups, about
@@ -115,8 +115,18 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
        bundle's token union first, and only bundles with texts that can qualify
        are opened.
     """
+    rows = _labelled(docs, k, percent, doc_id, text)
+    low = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("low"))
+    real = lambda x: F.when(x != NO_ID, x)
+    return (rows.join(low, "label", "left")
+            .select(real(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("low", "id")).alias("component_id")))
+
+
+def _labelled(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """``id, n, c, t, label`` for each row: its set's size and digest, its text's digest and its component (null for an empty set)."""
     spark = with_workers(docs.sparkSession)
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    d = d.withColumn("t", F.xxhash64("text"))
 
     def digests(batches: Iterator) -> Iterator:
         for b in slices(batches, 1):
@@ -131,11 +141,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             most = np.zeros(b.num_rows, np.int64)
             most[order[once]] = np.minimum(n, (3 * (n - needed(n, percent) + 1) + 1) // 2)[order[once]]
             smallest = pa.array([h[a:a + m].tobytes() for a, m in zip(cuts, most)], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(c), smallest], names=["id", "n", "c", "smallest"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(c), b.column(2), smallest], names=["id", "n", "c", "t", "smallest"])
 
     def prefixes(batches: Iterator, sieve: Sieve | None = None) -> Iterator:
-        for b in slices(batches, 3):
-            data, offsets = hashed.bytes_of(b.column(3))
+        for b in slices(batches, 4):
+            data, offsets = hashed.bytes_of(b.column(4))
             h = data.view(np.int64)
             row = np.repeat(np.arange(b.num_rows), np.diff(offsets) // 8)
             if sieve:
@@ -154,7 +164,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
 
     def rare_tokens() -> tuple[DataFrame, DataFrame]:
         """``(ids, kept)``: each row's set size and class, and the tokens that each class keeps; what is made on the way can go."""
-        named = cut_lineage(d.mapInArrow(digests, "id long, n long, c long, smallest binary"))  # texts are cut into shingles once
+        named = cut_lineage(d.mapInArrow(digests, "id long, n long, c long, t long, smallest binary"))  # texts are cut into shingles once
         ddl = "token long, c long, n long, id long"
         shared = cut_lineage(named.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
                              .where("lo < hi").select("token", "df"))
@@ -252,17 +262,25 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
     edges = comps.select(F.col("node").alias("a"), F.col("label").alias("b")).union(opened.mapInArrow(across, "a long, b long"))
     labels = min_labels(spark, edges)
-    rows = (ids.join(labels.withColumnRenamed("node", "c"), "c", "left")
-            .withColumn("label", F.when(F.col("n") > 0, F.coalesce("label", "c"))))
-    low = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("low"))
-    real = lambda x: F.when(x != NO_ID, x)
-    return (rows.join(low, "label", "left")
-            .select(real(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("low", "id")).alias("component_id")))
+    return (ids.join(labels.withColumnRenamed("node", "c"), "c", "left")
+            .select("id", "n", "c", "t", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("label")))
 
 
 def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows that repeat an id are one document."""
-    keep = (jaccard_components(docs, k, percent).where("doc_id <=> component_id")
-            .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct())
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return docs.withColumn("_id", own).join(keep, "_id", "left_semi").dropDuplicates(["_id"]).drop("_id").select(*docs.columns)
+    """One row of ``docs`` for each component, and all rows without words, which link with nothing.
+
+    It is the component's first row by id (null first), digest of the set of
+    shingles and digest of the text; rows equal in these are equal in text,
+    and the first by a digest of all columns stays. Rows of other components
+    stay whatever their ids are.
+    """
+    keep = (_labelled(docs, k, percent, "doc_id", "text").where("label IS NOT NULL")
+            .groupBy("label").agg(F.min(F.struct("id", "c", "t")).alias("first"))
+            .select(F.col("first.id").alias("_id"), F.col("first.t").alias("_t")))
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_t": F.xxhash64(F.coalesce("text", F.lit("")))})
+    same = Window.partitionBy("_id", "_t").orderBy("_all")
+    first = (keyed.join(keep, ["_id", "_t"], "left_semi").withColumn("_all", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+             .withColumn("_nth", F.row_number().over(same)).where("_nth = 1"))
+    wordless = docs.where(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return first.select(*columns).union(wordless.select(*columns))

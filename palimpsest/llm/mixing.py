@@ -38,7 +38,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, most: int = 2,
-                seed: str = "mix", doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+                seed: str = "mix", doc_id: str = "doc_id", text: str = "text", source: str = "source",
+                key: str | None = None) -> DataFrame:
     """Words each document gives to a mix of its sources: one row per row of ``docs``.
 
     Within a source documents queue in shuffled order (md5 of seed and id). A
@@ -51,14 +52,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, m
     Returns ``doc_id, source, size, source_size, target, taken, mix_offset``;
     ``mix_offset`` counts the words of the mix before the document's first
     pass (null where none is taken). Null text has size 0; documents of size 0
-    take nothing; repeated rows queue one by one; no rows give no rows.
+    take nothing; repeated rows queue one by one; no rows give no rows. A
+    column ``key`` (long) breaks ties in the queue and goes on to the result.
 
     Running totals are made in two steps (sums of buckets, then offsets inside
     each), with the square root of the document count as bucket count, so that
     a source with most of the rows is spread like any other.
     """
+    own = ["key"] if key else []
     rows = docs.select(
-        F.col(doc_id).alias("id"),
+        F.col(doc_id).alias("id"), *[F.col(key).alias(x) for x in own],
         F.coalesce(F.concat(F.lit("1"), F.col(source)), F.lit("2")).alias("skey"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary")).alias("shuf"))
@@ -72,7 +75,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, m
     targets = source_targets(sums.groupBy("skey").agg(F.sum("words").alias("source_size")), weights, share, most)
     offsets = offsets.join(targets, "skey").drop("words")
 
-    inside = W.partitionBy("skey", "bucket").orderBy("shuf", "id", "size")
+    inside = W.partitionBy("skey", "bucket").orderBy("shuf", "id", "size", *own)
     queue = (rows.join(offsets, ["skey", "bucket"])
              .withColumn("nth", F.row_number().over(inside))
              .withColumn("end", F.col("offset") + F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)))
@@ -93,11 +96,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, m
     mixed = (passes.join(spans, "span")
              .withColumn("ahead", F.col("earlier") + F.sum("served").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("served"))
              .withColumn("got", F.greatest(F.lit(0), F.least(F.col("served"), F.floor("budget") - F.col("ahead")))))
-    return (mixed.groupBy("skey", "bucket", "nth", "id", "size", "source_size", "target")
+    return (mixed.groupBy("skey", "bucket", "nth", "id", *own, "size", "source_size", "target")
             .agg(F.sum("got").cast("long").alias("taken"),
                  F.min(F.when(F.col("got") > 0, F.col("ahead"))).alias("mix_offset"))
             .select(F.col("id").alias("doc_id"), F.when(F.col("skey").startswith("1"), F.expr("substring(skey, 2)")).alias("source"),
-                    "size", "source_size", "target", "taken", "mix_offset"))
+                    "size", "source_size", "target", "taken", "mix_offset", *[F.col(x).alias(key) for x in own]))
 
 
 ORACLE_SQL = r"""

@@ -236,6 +236,30 @@ def test_jaccard_components(spark, docs, texts, k, percent, monkeypatch):
         assert sorted(r.doc_id for r in jaccard.one_per_component(docs).collect()) == sorted({r * 3 for r in root})
 
 
+def test_one_of_each_component_whatever_the_ids(spark):
+    rng = random.Random(9)
+    line = lambda n=40: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    copied, a, b = line(60), line(), line()
+    near = copied + " more"
+    rows = [(1, copied, "en", "s"), (2, near, "en", "s"), (2, a, "en", "s"), (2, b, "en", "s"), (2, b, "en", "s"), (2, b, "de", "s"),
+            *[(None, line(), "en", f"s{i % 2}") for i in range(6)], (None, near, "en", "s"), (7, "", "en", "s"), (8, " ", "en", "s")]
+    docs = frame(spark, rows)
+    kept = jaccard.one_per_component(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted((repr(r.doc_id), r.text) for r in kept.collect())
+    # the near copy with a null id comes first in its component
+    want = [(2, a), (2, b), *[r[:2] for r in rows[6:12]], (None, near), (7, ""), (8, " ")]
+    assert got == sorted((repr(i), t) for i, t in want)
+    again = sorted((repr(r.doc_id), r.text) for r in jaccard.one_per_component(docs.orderBy(F.desc("text")).repartition(2)).collect())
+    assert again == got
+    twice = kept.union(kept.where("doc_id = 2")).cache()  # equal rows too
+    out = corpus_pipeline.mix(spark, twice, "").collect()
+    plain = mixing.mix_sources(twice, weights=(3, 1, 2), share=1.5, most=2).where("taken > 0").collect()
+    assert sorted((repr(r.doc_id), r["size"], r.taken) for r in out) == sorted((repr(r.doc_id), r["size"], r.taken) for r in plain)
+    assert all(r["size"] == len(r.text.split()) for r in out)
+    assert {(repr(r.doc_id), r.text) for r in out if r.doc_id == 2} <= {(repr(i), t) for i, t in want}
+
+
 @pytest.mark.parametrize("cells", [16, 64, 1 << 20])
 def test_links_in_blocks(cells, monkeypatch):
     monkeypatch.setattr(jaccard, "CELLS", cells)
