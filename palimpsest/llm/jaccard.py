@@ -45,7 +45,7 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 def linked(sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
     """Smallest member of each set's component, by links of the first ``left`` sets with the others (``left`` 0: among all).
 
-    Works in blocks of about ``CELLS`` pairs, whose links go on as a forest, however many there are.
+    Works in blocks of about ``CELLS`` pairs, counts and links alike; links go on as one forest, however many there are.
     """
     n = np.array([len(s) for s in sets])
     every = np.concatenate(sets)
@@ -58,23 +58,40 @@ def linked(sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
     column = np.cumsum(both) - 1
     used = both[code]
     of, code, width = of[used], column[code[used]], int(both.sum())
-    shared = np.zeros((split, len(sets) - left), np.float32)
-    step = max(256, 4 * CELLS // len(sets))
-    for lo in range(0, width, step):
-        some = (code >= lo) & (code < lo + step)
-        m = np.zeros((len(sets), min(step, width - lo)), np.float32)
-        m[of[some], code[some] - lo] = 1
-        shared += m[:split] @ m[left:].T
-    forest = []
-    rows = max(1, CELLS // (len(sets) - left))
+    others = len(sets) - left
+    right = of >= left
+    of_right, code_right = of[right] - left, code[right]
+    step = max(256, 2 * CELLS // len(sets))
+    forest = np.empty((0, 2), np.int64)
+    rows = max(1, CELLS // others)
     for lo in range(0, split, rows):
-        common = shared[lo:lo + rows].astype(np.float64)
-        i, j = np.nonzero(100 * common >= percent * (n[lo:min(lo + rows, split), None] + n[None, left:] - common))
+        hi = min(lo + rows, split)
+        mine = slice(*np.searchsorted(of, (lo, hi)))
+        names, at = np.unique(code[mine], return_inverse=True)  # the columns that these rows hold
+        place = np.full(width, -1)
+        place[names] = np.arange(len(names))
+        at_right = place[code_right]
+        common = np.zeros((hi - lo, others), np.float32)
+        for c in range(0, len(names), step):
+            wide = min(step, len(names) - c)
+            here = (at >= c) & (at < c + step)
+            a = np.zeros((hi - lo, wide), np.float32)
+            a[of[mine][here] - lo, at[here] - c] = 1
+            b = a
+            if left or hi - lo < others:
+                there = (at_right >= c) & (at_right < c + step)
+                b = np.zeros((others, wide), np.float32)
+                b[of_right[there], at_right[there] - c] = 1
+            common += a @ b.T
+        common = common.astype(np.float64)
+        i, j = np.nonzero(100 * common >= percent * (n[lo:hi, None] + n[None, left:] - common))
         i, j = i + lo, j + left
-        root = roots(len(sets), np.stack((i, j), axis=1)[i < j])
-        child = np.flatnonzero(root != np.arange(len(sets)))
-        forest.append(np.stack((root[child], child), axis=1))
-    return roots(len(sets), np.concatenate(forest))
+        links = np.stack((i, j), axis=1)[i < j]
+        if len(links):
+            root = roots(len(sets), np.concatenate((forest, links)))
+            child = np.flatnonzero(root != np.arange(len(sets)))
+            forest = np.stack((root[child], child), axis=1)
+    return roots(len(sets), forest)
 
 
 def roots(n: int, pairs: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -278,6 +279,20 @@ def test_links_in_blocks(cells, monkeypatch):
         assert jaccard.linked(sets, left, 60).tolist() == label
 
 
+@pytest.mark.parametrize("left", [0, 1500])
+def test_links_of_many_short_texts_in_little_memory(left, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELLS", 1 << 16)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 40, 10)).astype(np.uint64) for _ in range(3000)]
+    sets[2000], sets[2900] = sets[7], sets[1400]
+    tracemalloc.start()
+    got = jaccard.linked(sets, left, 85)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.flatnonzero(got != np.arange(3000)).tolist() == [2000, 2900] and (got[2000], got[2900]) == (7, 1400)
+    assert peak < 1500 * 1500 * 4
+
+
 def test_language_from_pieces(spark):
     rng = random.Random(2)
     words = {"aa": ["the", "thing", "ing", "and"], "bb": ["der", "ung", "schein", "und"]}
