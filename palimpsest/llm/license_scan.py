@@ -24,6 +24,7 @@ OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY S
 CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
 CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
 SOFTWARE."""
+_MIT, _ISC = (" ".join(x.split()) for x in (_MIT, _ISC))
 KNOWN_LICENSES = (
     ("MIT", _MIT),
     ("MIT", "MIT License\n" + _MIT),
@@ -48,9 +49,32 @@ SPELLINGS = (
     ("per cent", "percent"), ("organisation", "organization"), ("whilst", "while"), ("favour", "favor"),
     ("fulfil ", "fulfill "), ("http://", "https://"),
 )
+# Words that follow "copyright" in sentences of licences, where it is no notice.
+SENTENCE = ("act", "acts", "and", "are", "as", "assignment", "claim", "claims", "disclaimer", "disclaimers", "doctrine", "doctrines", "for", "has",
+            "holder", "holders", "if", "in", "infringement", "interest", "interests", "is", "law", "laws", "legend", "legends", "licence", "licences",
+            "license", "licensed", "licenses", "management", "message", "notice", "notices", "of", "on", "or", "owner", "owners", "ownership",
+            "permission", "permissions", "protected", "protection", "right", "rights", "statement", "statements", "status", "term", "terms",
+            "that", "the", "to", "treaties", "treaty", "under", "which", "with")
 # --- end of fixed values ------------------------------------------------------
-# A copyright notice: comment signs, then "copyright" or its sign, then a year, (c), a sign or a holder.
-NOTICE = r"^[\x20\t/*#;%-]*(?:copyright|\(c\)|©)[\x20\t][^\n]*"
+
+
+def _other_than(words: Sequence[str], start: bool = True) -> str:
+    """A pattern that matches where a word begins that is none of ``words`` (RE2 has no look-ahead)."""
+    heads = sorted({w[0] for w in words if w})
+    rest = "".join(c for c in "abcdefghijklmnopqrstuvwxyz" if c not in heads)
+    if start or "" in words:  # another letter has to follow
+        ways = [f"[{rest}{rest.upper()}0-9\\x{{80}}-\\x{{10FFFF}}]"]
+    else:
+        ways = [f"[^{''.join(heads)}{''.join(heads).upper()}\\n]", "$"]
+    return "(?:" + "|".join(ways + [h + _other_than([w[1:] for w in words if w[:1] == h], False) for h in heads]) + ")"
+
+
+# A copyright notice: comment signs, then "copyright" and (c), a sign, a year or a holder; or a sign; or (c) and a year.
+# A holder is a word that doesn't go on with a sentence; after "the", only authors, contributors, a foundation or a project.
+_YEAR = r"(?:19|20)[0-9][0-9]"
+_THE = r"the[\x20\t]+(?:[^\x20\t\n]+[\x20\t]+){1,4}(?:authors|contributors|foundation|project)\b"
+NOTICE = (r"^[\x20\t/*#;%-]*(?:copyright[\x20\t]+(?:\(c\)|©|" + f"{_YEAR}|{_THE}|{_other_than(SENTENCE)})"
+          + r"|copyright(?:\(c\)|©)|©[\x20\t]|\(c\)[\x20\t]+" + _YEAR + r")[^\n]*")
 RESERVED = r"^[\x20\t/*#;%-]*all rights reserved\.?[\x20\t]*$"
 
 

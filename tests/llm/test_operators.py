@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import tracemalloc
 
 import numpy as np
@@ -119,6 +120,19 @@ def test_license_texts(spark):
     assert (out[3].license_lines, out[3].line_licenses, out[2].license_lines) == (2, "CC-BY-4.0|MIT", 1)
 
 
+def test_license_texts_at_any_width(spark):
+    texts = license_scan.KNOWN_LICENSES[:15]
+    rows = [(name, textwrap.fill(" ".join(t.split()), width)) for name, t in texts for width in (20, 40, *range(66, 81), 100, 10 ** 6)]
+    rows += [(name, f"{n}\n\n{textwrap.fill(t, 78)}") for name, t in texts[:1] for n in (
+        "Copyright (c) Some One", "# COPYRIGHT 2019-2021 Some One", "Copyright © 2020", "© Some One", "(c) 2020 Some One", "Copyright Joyent, Inc. and others",
+        "Copyright The Go Authors", "Copyright by Some One", "copyright Notable Ltd", "Copyright Hold", "Copyright Émile")]
+    out = license_scan.scan_licenses(frame(spark, [(i, t, None, None) for i, (_, t) in enumerate(rows)])).collect()
+    assert not [(rows[r.doc_id], r.license) for r in out if r.license != rows[r.doc_id][0]]
+    lines = ["copyright notice and so on", "Copyright holders be", "copyright holder", "(c) You must retain", "copyright license.", "copyright", "copyright the software, and"]
+    kept = spark.createDataFrame([(x,) for x in lines], "t string").select("t", license_scan.canonical(F.col("t")).alias("c")).collect()
+    assert all(r.c == " ".join(re.findall(r"\w+", r.t.lower())) for r in kept)
+
+
 def test_leaks(spark, docs, texts):
     items = [(1, "dala muri golo pake tiru semo. Nalo keru pido sami tole buna gade."), (2, "x"), (3, None), (4, "..."), (1, "other item of the same id but more words in it."),
              (5, " ".join(f"w{i}" for i in range(200)) + ". The answer is w3.")]
