@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
 CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
 SOFTWARE."""
 _MIT, _ISC = (" ".join(x.split()) for x in (_MIT, _ISC))
+# Whole texts as published, in files named by licence; on one line too, where notices inside them are no lines of their own.
+_WHOLE = sorted((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in files(__package__).joinpath("licenses").iterdir() if f.name.endswith(".txt"))
 KNOWN_LICENSES = (
     ("MIT", _MIT),
     ("MIT", "MIT License\n" + _MIT),
@@ -41,6 +44,8 @@ KNOWN_LICENSES = (
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
+    *_WHOLE,
+    *((name, " ".join(text.split())) for name, text in _WHOLE),
 )
 # Spellings that count as equal, applied to lower-case text in this order.
 SPELLINGS = (

@@ -133,6 +133,16 @@ def test_license_texts_at_any_width(spark):
     assert all(r.c == " ".join(re.findall(r"\w+", r.t.lower())) for r in kept)
 
 
+def test_whole_license_texts(spark):
+    whole = license_scan.KNOWN_LICENSES[15:]
+    assert {n for n, _ in whole} >= {"Apache-2.0", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "GFDL-1.3", "CC0-1.0"}
+    rows = [*whole, *((n, f"Copyright (c) 2021 Some One\r\n\r\n{t.upper()}".replace("\n", "\r\n")) for n, t in whole)]
+    rows += [(n, textwrap.fill(" ".join(t.split()), width)) for n, t in whole if n in ("Apache-2.0", "BSD-3-Clause", "CC0-1.0", "MPL-2.0") for width in (40, 72, 79)]
+    rows += [(None, t[:len(t) // 2]) for _, t in whole]
+    out = license_scan.scan_licenses(frame(spark, [(i, t, None, None) for i, (_, t) in enumerate(rows)])).collect()
+    assert not [(rows[r.doc_id][0], r.doc_id, r.license) for r in out if r.license != rows[r.doc_id][0]]
+
+
 def test_leaks(spark, docs, texts):
     items = [(1, "dala muri golo pake tiru semo. Nalo keru pido sami tole buna gade."), (2, "x"), (3, None), (4, "..."), (1, "other item of the same id but more words in it."),
              (5, " ".join(f"w{i}" for i in range(200)) + ". The answer is w3.")]
