@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, jaccard, langid, license_scan, mixing, quality, simhash, suffix_dedup, toxicity, url_filter
+from palimpsest.llm import (ball_hashing, decontaminate, jaccard, kmeans, langid, license_scan, mixing, quality, ranked_search, simhash,
+                            suffix_dedup, toxicity, url_filter)
 from palimpsest.llm.common import table
 
 
@@ -48,6 +49,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_url_filter, op3_license_scan, op4_decontaminate, op5_fingerprints, op6_quality, op7_suffix_dedup, op8_jaccard, op9_langid, op10_toxicity)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.cluster_vectors(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64)
+
+
+def op13_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_hashing.near_copies(table(spark, sf_dir, "documents"), radius=4, k=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_url_filter, op3_license_scan, op4_decontaminate, op5_fingerprints, op6_quality, op7_suffix_dedup, op8_jaccard, op9_langid, op10_toxicity,
+                                  op11_ranked_search, op12_centroid_clusters, op13_simhash_near_copies)}
 ORACLE_SQL = {"op1_source_mix": mixing.ORACLE_SQL, "op2_url_filter": url_filter.ORACLE_SQL,
-              "op3_license_scan": license_scan.ORACLE_SQL}
+              "op3_license_scan": license_scan.ORACLE_SQL, "op11_ranked_search": ranked_search.ORACLE_SQL,
+              "op12_centroid_clusters": kmeans.ORACLE_SQL}
