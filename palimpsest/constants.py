@@ -25,6 +25,5 @@ METRICS_DATE_FORMAT = "yyyy-MM-dd"
 # --- end of fixed values ----------------------------------------------------
 
 # Engine parameters (not reference values).
-# Largest dimension table (team list, prefix list, relevance list) that may be
-# broadcast; bigger ones are joined with a shuffle.
-DIMENSION_BROADCAST_MAX_ROWS = 1_000_000
+# Largest list (by the size of its files) that may be broadcast; bigger ones are joined as the run decides.
+DIMENSION_BROADCAST_MAX_BYTES = 10 << 20

@@ -38,11 +38,6 @@ def article_body(html) -> Column:
     return F.regexp_extract(_col(html), r"(?is)<article>(.*?)</article>", 1)
 
 
-def strip_tag(c, tag: str) -> Column:
-    """Remove a tag (open and close) but keep its text."""
-    return F.regexp_replace(_col(c), rf"</?{tag}\b[^>]*>", "")
-
-
 def unescape_entities(c) -> Column:
     out = _col(c)
     for ent, ch in ENTITY_RULES:
@@ -62,17 +57,6 @@ def element_texts(html, tag: str = "p") -> Column:
     return F.regexp_extract_all(_col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
 
 
-def heading_and_paragraphs(html) -> Column:
-    """D13 (Spark form): ``array<struct<tag, inner>>`` of p and h1–h6 in order.
-
-    Uses a back-reference so each element closes with its own tag.
-    """
-    pattern = r"(?is)<(p|h[1-6])\b[^>]*>(.*?)</\1>"
-    tags = F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(1))
-    inner = F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(2))
-    return F.arrays_zip(F.lower(tags).alias("tag"), inner.alias("inner"))
-
-
 def clean_redline(c) -> Column:
     """The ordered clean-up chain applied to redline markup."""
     return replace_chain(c, REDLINE_CLEAN_RULES)

@@ -7,8 +7,9 @@ Design notes (scale):
   no shuffle and no window sort.
 * Exploded paragraph tables are hash-partitioned on ``doc_id`` once. Joins
   on ``(doc_id, pos)`` / ``(doc_id, hash(text))`` and windows per document
-  reuse that partitioning (``requireAllClusterKeysForCoPartition=false``), so
-  a whole paragraph job costs one exchange per snapshot side.
+  reuse that partitioning (``requireAllClusterKeysForCoPartition=false``);
+  steps that need the text of the other side at another place, or a window per
+  chapter, add theirs (the counts are pinned in ``tests/test_plans.py``).
 * Work that compares the two snapshots joins on ``(doc_id, pos)`` or on
   ``(doc_id, hash(text))``. Repeated lines inside a document become one
   aggregated row before the join (map-side combine), so a paragraph repeated
@@ -68,8 +69,7 @@ def numbered_paragraphs(docs: DataFrame, keep=("chapter", "manual", "title"),
     kept = F.filter(tagged, lambda s: is_kept_paragraph(s["para"]))
     return (docs.select(DOC, *keep, F.posexplode(kept).alias("k", "_s"))
             .select(DOC, *keep, "k", F.col("_s.pos").alias("pos"), F.col("_s.para").alias("para"),
-                    F.concat_ws("_", F.col("chapter"), F.col("k").cast("string")).alias("key"))
-            .repartition(DOC))
+                    F.concat_ws("_", F.col("chapter"), F.col("k").cast("string")).alias("key")))
 
 
 def pair_paragraphs(pp: DataFrame, lp: DataFrame, how: str = "full_outer") -> DataFrame:
@@ -202,15 +202,14 @@ def deletion_runs(pp: DataFrame, lp: DataFrame) -> DataFrame:
                              lambda s: s["text"]).alias("texts")))
 
 
-def outer_merge_paragraphs(plog: DataFrame, llog: DataFrame, key: str = "key") -> DataFrame:
-    """J4 on the paragraph logs: full outer on ``key`` with a ``_merge`` indicator."""
-    p = plog.select(key, F.col("para").alias("prev_para"))
-    c = llog.select(key, F.col("para").alias("curr_para"))
-    merge = (F.when(F.col("prev_para").isNull(), "right_only")
-             .when(F.col("curr_para").isNull(), "left_only").otherwise("both"))
-    return p.join(c, key, "full_outer").withColumn("_merge", merge)
+def outer_merge_paragraphs(plog: DataFrame, llog: DataFrame) -> DataFrame:
+    """J4 on the paragraph logs: full outer on a paragraph's key (its document and number) with a ``_merge`` indicator."""
+    p = plog.select(DOC, "k", F.col("key").alias("_pk"), F.col("para").alias("prev_para"))
+    c = llog.select(DOC, "k", F.col("key").alias("_ck"), F.col("para").alias("curr_para"))
+    merge = (F.when(F.col("_pk").isNull(), "right_only").when(F.col("_ck").isNull(), "left_only").otherwise("both"))
+    return p.join(c, [DOC, "k"], "full_outer").select(F.coalesce("_pk", "_ck").alias("key"), "prev_para", "curr_para", merge.alias("_merge"))
 
 
-def remove_keys(side: DataFrame, found: DataFrame, key: str = "key") -> DataFrame:
-    """Drop from ``side`` the keys listed in ``found``."""
-    return side.join(found.select(key), key, "left_anti")
+def remove_keys(side: DataFrame, found: DataFrame) -> DataFrame:
+    """Drop from ``side`` the paragraph keys (document and number) listed in ``found``."""
+    return side.join(found.select(DOC, "k"), [DOC, "k"], "left_anti")

@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from palimpsest.functions.markup import defect, escape
+
 DOC = "doc_id"
 
 
 # --- D9 paragraph form (pure SQL) -------------------------------------------
 def paragraph_markup(pairs: DataFrame) -> DataFrame:
-    """Markup per paired paragraph: ``<del>old</del><ins>new</ins>`` for changes."""
-    p, c = F.col("prev_text"), F.col("curr_text")
+    """Markup per paired paragraph: ``<del>old</del><ins>new</ins>`` for changes, the texts escaped."""
+    p, c = escape("prev_text"), escape("curr_text")
     markup = (F.when(F.col("status") == "same", p)
               .when(F.col("status") == "inserted", F.concat(F.lit("<ins>"), c, F.lit("</ins>")))
               .when(F.col("status") == "deleted", F.concat(F.lit("<del>"), p, F.lit("</del>")))
@@ -30,6 +32,25 @@ def paragraph_markup(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("markup", markup)
 
 
+def repaired(rows: DataFrame, markup: str = "redline") -> DataFrame:
+    """``rows`` with their markup made readable where one wrapping does it.
+
+    ``outcome`` is ``ok`` (one well-formed element as it stands), ``wrapped``
+    (well formed once put in a ``<div>``) or ``dead``; ``defect`` is the
+    reason that is left (see :func:`palimpsest.functions.markup.defect`). Dead
+    rows keep their markup, for a table of their own. Only markup that isn't
+    well formed is read a second time.
+    """
+    bad = F.col("_defect").isNotNull()
+    wrapped = F.concat(F.lit("<div>"), F.coalesce(F.col(markup), F.lit("")), F.lit("</div>"))
+    tried = rows.withColumn("_defect", defect(F.col(markup))).withColumn("_wrapped", F.when(bad & (F.col("_defect") != "empty"), wrapped))
+    left = F.when(F.col("_wrapped").isNotNull(), defect(F.col("_wrapped"))).when(bad, F.col("_defect"))
+    outcome = F.when(~bad, "ok").when(F.col("defect").isNull(), "wrapped").otherwise("dead")
+    return (tried.withColumn("defect", left).withColumn("outcome", outcome)
+            .withColumn(markup, F.when(F.col("outcome") == "wrapped", F.col("_wrapped")).otherwise(F.col(markup)))
+            .drop("_defect", "_wrapped"))
+
+
 def document_redline(marked: DataFrame, markup: str = "markup") -> DataFrame:
     """Join a document's markup in position order into one text per document.
 

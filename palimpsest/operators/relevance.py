@@ -1,8 +1,8 @@
 """Relevance and team lookups: A1, A2, A4, J7, J9, J10, J11.
 
-Dimension tables (team lists, prefix lists, pattern lists) are broadcast only
-after their row count is checked against ``DIMENSION_BROADCAST_MAX_ROWS``;
-above it the same join runs as a shuffle join.
+Team lists are broadcast only where the size of their files is at most
+``DIMENSION_BROADCAST_MAX_BYTES``; pattern and prefix lists, which are made of
+growing tables, join as the run's measured sizes decide.
 """
 
 from __future__ import annotations
@@ -10,18 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import DIMENSION_BROADCAST_MAX_ROWS
+from palimpsest.constants import DIMENSION_BROADCAST_MAX_BYTES
 from palimpsest.functions.text import leading_prefix, list_to_text
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_bytes: int = DIMENSION_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast a list that provably holds at most ``max_bytes``, else leave the choice to the run.
 
-    The check is a ``limit(max_rows + 1).count()``: it stops reading after
-    ``max_rows + 1`` rows, so it is cheap even when the table is large.
+    The bound is the optimizer's: the size of the files or local rows that the
+    list is read from, known without running anything. Lists made of joins or
+    compressed tables have no such bound and come out unhinted; once their
+    exchange has run and measured small, adaptive execution broadcasts them.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -56,13 +58,10 @@ def lookup_refs(df: DataFrame, refs: DataFrame, key: str = "chapter", pattern: s
     """Attach ``', '``-joined referring documents per chapter ('' when none).
 
     One row per row of ``df`` whatever the number of references. The text is
-    one cell of the published report and holds every reference of its chapter,
-    so only references to chapters of ``df`` are gathered;
-    :func:`refs_with_counts` is the form without lists.
+    one cell of the published report and holds every reference of its chapter;
+    :func:`refs_with_counts` is the form without lists. ``df`` is read once.
     """
-    asked = df.select(F.col(key).alias(pattern)).distinct()
-    lists = (refs.join(asked, pattern, "left_semi").groupBy(F.col(pattern).alias(key))
-             .agg(list_to_text(F.sort_array(F.collect_list(doc))).alias("doc_info")))
+    lists = refs.groupBy(F.col(pattern).alias(key)).agg(list_to_text(F.sort_array(F.collect_list(doc))).alias("doc_info"))
     # No broadcast hint: a row count does not bound the bytes of these lists.
     # AQE still broadcasts them when the measured shuffle output is small.
     return (df.join(lists, key, "left")
@@ -73,7 +72,7 @@ def relevance_flag(df: DataFrame, patterns: DataFrame, key: str = "chapter",
                    pattern: str = "pattern", out: str = "relevant") -> DataFrame:
     """Boolean membership of ``key`` in the pattern list."""
     p = patterns.select(F.col(pattern).alias("_pat")).distinct().withColumn("_hit", F.lit(True))
-    j = df.join(bounded_broadcast(p), df[key] == p["_pat"], "left")
+    j = df.join(p, df[key] == p["_pat"], "left")
     return j.select(df["*"], F.coalesce(p["_hit"], F.lit(False)).alias(out))
 
 
@@ -81,7 +80,7 @@ def source_relevant(df: DataFrame, prefixes: DataFrame, key: str = "chapter",
                     prefix_col: str = "source") -> DataFrame:
     """Keep rows whose chapter prefix is in the prefix list."""
     p = prefixes.select(F.col(prefix_col).alias("_prefix")).distinct()
-    return df.join(bounded_broadcast(p), leading_prefix(key) == p["_prefix"], "left_semi")
+    return df.join(p, leading_prefix(key) == p["_prefix"], "left_semi")
 
 
 def team_rows(df: DataFrame, teams: DataFrame, source: str = "source") -> DataFrame:

@@ -1,8 +1,8 @@
 """Reports: sections (K2), section counts (A5), metrics log (K3), aligned
 per-document table (K4), sorted change list (O1), newest rows (S5/W7/O2).
 
-Ordering is expressed with sort keys, never with a global row number: a
-``row_number`` over an unpartitioned window would pull every row into one task.
+Order is a sort key or a rank from a range exchange (:func:`ranked`), never a
+``row_number`` over an unpartitioned window, which would pull every row into one task.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from palimpsest.constants import METRICS_DATE_FORMAT
+from palimpsest.session import cut_lineage
+
 
 def change_info(metrics: DataFrame) -> DataFrame:
     """P4 + P3: the human-readable change summary and view link per document."""
@@ -49,6 +51,46 @@ def ordered_report(rows: DataFrame) -> DataFrame:
     return rows.orderBy("section", F.desc_nulls_last("sort_key"), F.desc("chapter_number"))
 
 
+def ranked(df: DataFrame, *order, within: str | None = None, out: str = "rank") -> DataFrame:
+    """O1: ``df`` with its global rank (from 1, BIGINT) in ``order``; ``within`` adds ``{within}_rank``.
+
+    One range exchange sorts the rows over all tasks. A row's place inside its
+    range is the low part of ``monotonically_increasing_id`` and the range's
+    number the high part; ranges are counted, and the counts' running sum (one
+    row a range) is joined back, so no task sees more than its range. The
+    sorted rows are checkpointed first, because a range exchange samples its
+    input anew each time it runs. ``order`` must tell rows apart as far as
+    their ranks matter, and with ``within`` must begin with that column: its
+    groups are then runs of ranks, and their first ranks (one row a group) are
+    subtracted. ``within`` should have few values, such as report sections.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                       .withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = (rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+              .withColumn(out, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+              .drop("_part", "_before", "_at"))
+    if within is None:
+        return placed
+    first = placed.groupBy(F.col(within).alias("_group")).agg(F.min(out).alias("_first"))
+    return (placed.join(F.broadcast(first), placed[within].eqNullSafe(first["_group"]))
+            .withColumn(f"{within}_rank", F.col(out) - F.col("_first") + 1).drop("_group", "_first"))
+
+
+def ranked_changes(metrics: DataFrame) -> DataFrame:
+    """O1: the change list with its rank by distance, largest first; chapter and key break ties."""
+    return ranked(metrics, F.desc("lev_distance"), F.asc("chapter_number"), F.asc("doc_id"))
+
+
+def ranked_report(rows: DataFrame) -> DataFrame:
+    """O1 for the report (K2): rank over all sections, and within each as :func:`ordered_report` sorts it."""
+    return ranked(rows, F.asc("section"), F.desc_nulls_last("sort_key"), F.desc("chapter_number"), F.asc("source"), within="section")
+
+
 def section_counts(report: DataFrame, by_team: DataFrame | None = None) -> DataFrame:
     """A5: rows per section, plus an ``ALL`` total (rollup); per team when given.
 
@@ -61,18 +103,21 @@ def section_counts(report: DataFrame, by_team: DataFrame | None = None) -> DataF
     return g.select("team", F.coalesce("section", F.lit("ALL")).alias("section"), "n")
 
 
-def metrics_append(log: DataFrame, new: DataFrame) -> DataFrame:
-    """K3: append metric rows whose ``(date, details)`` is not yet logged and
-    whose metric is positive; newest date first.
+def fresh_metrics(log: DataFrame, new: DataFrame) -> DataFrame:
+    """K3: rows of ``new`` with a positive metric whose ``(date, details)`` is not in ``log``, one of each.
 
     Columns ``metric_type, details, metric, date`` (date as ``yyyy-MM-dd``
-    text). Anti-join then union: idempotent on reruns.
+    text). Of several new rows for one date and details the least stays.
     """
+    return (new.where(F.col("metric") > 0).groupBy("date", "details").agg(F.min(F.struct("metric_type", "metric")).alias("_m"))
+            .join(log.select("date", "details"), ["date", "details"], "left_anti")
+            .select("_m.metric_type", "details", "_m.metric", "date"))
+
+
+def metrics_append(log: DataFrame, new: DataFrame) -> DataFrame:
+    """K3: the log with the fresh rows of ``new`` (anti-join then union: idempotent on reruns); newest date first."""
     cols = ["metric_type", "details", "metric", "date"]
-    fresh = (new.where(F.col("metric") > 0).select(*cols)
-             .join(log.select("date", "details"), ["date", "details"], "left_anti")
-             .dropDuplicates(["date", "details"]))
-    return log.select(*cols).unionByName(fresh).orderBy(F.desc("date"), "details")
+    return log.select(*cols).unionByName(fresh_metrics(log, new)).orderBy(F.desc("date"), "details")
 
 
 def metrics_rows(summary: DataFrame, metric_type: str) -> DataFrame:

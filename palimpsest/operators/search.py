@@ -133,6 +133,5 @@ def read_archive(spark, root: str) -> DataFrame:
 
 def members_in_groups(members: DataFrame, groups: DataFrame, group_col: str = "grp") -> DataFrame:
     """Keep members whose group is in the lookup, before any parsing."""
-    from palimpsest.operators.relevance import bounded_broadcast
     g = groups.select(F.col(group_col).alias("_g")).distinct()
-    return members.join(bounded_broadcast(g), members[group_col] == g["_g"], "left_semi")
+    return members.join(g, members[group_col] == g["_g"], "left_semi")

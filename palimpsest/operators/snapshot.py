@@ -88,17 +88,6 @@ def content_changed(prev: DataFrame, latest: DataFrame, key: str = KEY) -> DataF
             .select(key, "prev_size", "curr_size"))
 
 
-def document_status(prev: DataFrame, latest: DataFrame, key: str = KEY) -> DataFrame:
-    """One row per document of either snapshot: added / deleted / changed / same."""
-    p = _fingerprint(prev, key, True).withColumnsRenamed({"size": "prev_size", "digest": "prev_digest"})
-    c = _fingerprint(latest, key, True).withColumnsRenamed({"size": "curr_size", "digest": "curr_digest"})
-    status = (F.when(F.col("prev_digest").isNull(), "added")
-              .when(F.col("curr_digest").isNull(), "deleted")
-              .when(F.col("prev_digest") != F.col("curr_digest"), "changed")
-              .otherwise("same"))
-    return p.join(c, key, "full_outer").select(key, status.alias("status"), "prev_size", "curr_size")
-
-
 def changed_pairs(prev: DataFrame, latest: DataFrame, key: str = KEY, mode: str = "content") -> DataFrame:
     """Common documents that changed, with both texts: the input of scoring.
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.constants import SIGNIFICANCE_THRESHOLD
 from palimpsest.functions import html as H
+from palimpsest.functions import markup
 from palimpsest.functions import text as X
 from palimpsest.operators import feed, paragraphs, redline, relevance, report, scoring, search, snapshot
 from palimpsest.plans import daily_jobs, document_changes, paragraph_changes, term_locations
@@ -91,26 +92,33 @@ def q_team_documents(spark, sf):
     return relevance.team_rows(docs, csv_lists.read_team_lists(spark)).select("team", "doc_id", "source")
 
 
+def _woven(p, i):
+    """How the test documents write a paragraph: headings, comments, CDATA, numeric entities, quoted ``>``, nested elements."""
+    esc = markup.escape(p)
+    inline = F.regexp_replace(esc, "^([A-Za-z])", '<emph k="a>b">$1</emph>')
+    numeric = F.replace(F.replace(esc, F.lit("o"), F.lit("&#111;")), F.lit("n"), F.lit("&#x6E;"))
+    cdata = F.replace(p, F.lit("]]>"), F.lit("]]]]><![CDATA[>"))
+    return (F.when(p == "", F.lit("<text/>"))
+            .when(i % 4 == 0, F.concat(F.lit('<!-- <text>not a row</text> --><h id="a>b">'), inline, F.lit("</h>")))
+            .when(i % 4 == 1, F.concat(F.lit("<text><![CDATA["), cdata, F.lit("]]></text>")))
+            .when(i % 4 == 2, F.concat(F.lit("<text n='1'>"), numeric, F.lit("</text>")))
+            .otherwise(F.concat(F.lit('<text><remotelink href="x">'), esc, F.lit("</remotelink><?skip <h>no</h>?></text>"))))
+
+
 @query("xml_document_fields", with_ctes(SNAPSHOT_CTES, """
 SELECT doc_id, chapter, title, manual, text FROM prev"""))
 def q_xml_document_fields(spark, sf):
-    """S3 + P1 + D12: snapshot rendered as chapter XML, parsed back with xpath."""
+    """S3 + P1 + D12: fields and text of chapter documents with every kind of markup (``_woven``)."""
     prev = _pair(spark, sf)[0]
-    return xml.parse_xml_documents(xml.documents_to_xml(prev)).select("doc_id", "chapter", "title", "manual", "text")
+    return xml.parse_xml_documents(xml.documents_to_xml(prev, _woven)).select("doc_id", "chapter", "title", "manual", "text")
 
 
 @query("xml_elements", with_ctes(SNAPSHOT_CTES, """
-SELECT doc_id, CAST(u.pos - 1 AS INTEGER) AS pos, 'text' AS tag, u.t AS text
+SELECT doc_id, CAST(u.pos - 1 AS INTEGER) AS pos, CASE WHEN u.t <> '' AND u.pos % 4 = 1 THEN 'h' ELSE 'text' END AS tag, u.t AS text
 FROM prev, unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(t, pos)"""))
 def q_xml_elements(spark, sf):
-    """Element rows of every chapter document, nested inline elements kept.
-
-    The first letter of each paragraph is wrapped in an inline element before
-    the documents are read back.
-    """
-    docs = xml.documents_to_xml(_pair(spark, sf)[0])
-    woven = F.regexp_replace("xml", r"<text>([A-Za-z])", "<text><emph>$1</emph>")
-    return xml.xml_elements(docs.select("doc_id", woven.alias("xml")))
+    """``h`` and ``text`` rows of chapter documents with every kind of markup (``_woven``)."""
+    return xml.xml_elements(xml.documents_to_xml(_pair(spark, sf)[0], _woven))
 
 
 _STATUS_SQL = """
@@ -492,7 +500,7 @@ def q_feed_date_gate(spark, sf):
     return feed.date_gate(ev, RUN_DATE)
 
 
-_PAIRED_LOG_SQL = """
+PAIRED_LOG_SQL = """
 paired AS (SELECT p.doc_id, p.k, p.key, p.chapter, p.chapter AS prev_chapter, l.chapter AS curr_chapter,
                   p.title AS prev_title, l.title AS curr_title,
                   regexp_replace(p.para, ' $', '') AS prev_para, regexp_replace(l.para, ' $', '') AS curr_para
@@ -506,17 +514,17 @@ flagged AS (SELECT c.*, EXISTS (SELECT 1 FROM llog l2 WHERE l2.doc_id = c.doc_id
             FROM changed_p c)"""
 
 
-@query("changed_paragraphs", with_ctes(LOG_CTES + "," + _PAIRED_LOG_SQL, """
+@query("changed_paragraphs", with_ctes(LOG_CTES + "," + PAIRED_LOG_SQL, """
 SELECT doc_id, k, key, prev_title, curr_title, prev_para, curr_para, shifted FROM flagged"""))
 def q_changed_paragraphs(spark, sf):
     """J4b + D3 + J5 + F11 + J8: changed paragraph pairs with the shift flag."""
     prev, latest = _pair(spark, sf)
-    plog, llog = paragraph_changes.logs(prev, latest)
+    plog, llog = paragraph_changes.logs(prev, latest, together=True)
     fl = paragraph_changes.with_shift(paragraph_changes.changed(paragraph_changes.paired(plog, llog)), llog)
     return fl.select("doc_id", "k", "key", "prev_title", "curr_title", "prev_para", "curr_para", "shifted")
 
 
-@query("unshifted_changes", with_ctes(LOG_CTES + "," + _PAIRED_LOG_SQL, """
+@query("unshifted_changes", with_ctes(LOG_CTES + "," + PAIRED_LOG_SQL, """
 SELECT doc_id, k, key, prev_para, curr_para,
        CAST(count(*) OVER (PARTITION BY chapter) AS BIGINT) AS n_paras_with_changes
 FROM flagged WHERE NOT shifted"""))
@@ -524,14 +532,14 @@ def q_unshifted_changes(spark, sf):
     """F13 + W1: unshifted changes with their per-chapter count (taken before F12)."""
     from pyspark.sql.window import Window
     prev, latest = _pair(spark, sf)
-    plog, llog = paragraph_changes.logs(prev, latest)
+    plog, llog = paragraph_changes.logs(prev, latest, together=True)
     fl = paragraph_changes.with_shift(paragraph_changes.changed(paragraph_changes.paired(plog, llog)), llog)
     return (fl.where(~F.col("shifted"))
             .withColumn("n_paras_with_changes", F.count(F.lit(1)).over(Window.partitionBy("chapter")))
             .select("doc_id", "k", "key", "prev_para", "curr_para", "n_paras_with_changes"))
 
 
-_CASCADE_SQL = f"""
+CASCADE_SQL = f"""
 counted AS (SELECT *, CAST(count(*) OVER (PARTITION BY chapter) AS BIGINT) AS n_paras_with_changes
             FROM flagged WHERE NOT shifted),
 scored AS (SELECT *, CAST(abs(length(prev_para) - length(curr_para)) AS BIGINT) AS char_count_diff,
@@ -542,7 +550,7 @@ firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chapter ORDE
            WHERE rn = 1)"""
 
 
-@query("chapter_changes", with_ctes(LOG_CTES + "," + _PAIRED_LOG_SQL + "," + _CASCADE_SQL, """
+@query("chapter_changes", with_ctes(LOG_CTES + "," + PAIRED_LOG_SQL + "," + CASCADE_SQL, """
 SELECT doc_id, chapter, prev_title AS title, k, prev_para, curr_para, n_paras_with_changes,
        char_count_diff, lev_distance FROM firsts"""))
 def q_chapter_changes(spark, sf):
@@ -551,14 +559,14 @@ def q_chapter_changes(spark, sf):
     return paragraph_changes.chapter_summary(prev, latest)
 
 
-@query("levchar_flags", with_ctes(LOG_CTES + "," + _PAIRED_LOG_SQL + "," + _CASCADE_SQL, """
+@query("levchar_flags", with_ctes(LOG_CTES + "," + PAIRED_LOG_SQL + "," + CASCADE_SQL, """
 SELECT doc_id, k, char_count_diff, lev_distance,
        CASE WHEN char_count_diff < 10 THEN lev_distance > char_count_diff + 10 ELSE true END AS levchar
 FROM scored"""))
 def q_levchar_flags(spark, sf):
     """F12 flag on every unshifted changed paragraph."""
     prev, latest = _pair(spark, sf)
-    plog, llog = paragraph_changes.logs(prev, latest)
+    plog, llog = paragraph_changes.logs(prev, latest, together=True)
     fl = paragraph_changes.with_shift(paragraph_changes.changed(paragraph_changes.paired(plog, llog)), llog)
     return (fl.where(~F.col("shifted"))
             .select("doc_id", "k", X.length_diff("prev_para", "curr_para").cast("long").alias("char_count_diff"),
@@ -745,7 +753,7 @@ def q_rows_per_pattern(spark, sf):
 
 
 @query("chapter_changes_with_refs", with_ctes(
-    LOG_CTES + "," + _PAIRED_LOG_SQL + "," + _CASCADE_SQL + "," + _REFS_SQL, """
+    LOG_CTES + "," + PAIRED_LOG_SQL + "," + CASCADE_SQL + "," + _REFS_SQL, """
 SELECT f.doc_id, f.chapter, f.n_paras_with_changes, coalesce(r.doc_info, '') AS doc_info
 FROM firsts f LEFT JOIN (SELECT pattern, array_to_string(list_sort(list(doc_ref)), ', ') AS doc_info
                          FROM refs GROUP BY pattern) r ON f.chapter = r.pattern"""))
@@ -860,6 +868,27 @@ def q_sorted_changes(spark, sf):
         "doc_id", "chapter_number", "lev_distance")
 
 
+@query("ranked_changes", with_ctes(SNAPSHOT_CTES + "," + _METRICS_SQL, """
+SELECT row_number() OVER (ORDER BY lev_distance DESC, chapter_number, doc_id) AS rank, doc_id, chapter_number, lev_distance
+FROM metrics"""))
+def q_ranked_changes(spark, sf):
+    """O1: every changed document with its rank by distance."""
+    prev, latest = _pair(spark, sf)
+    return report.ranked_changes(scoring.document_metrics(prev, latest)).select(
+        "rank", "doc_id", "chapter_number", "lev_distance")
+
+
+@query("ranked_report", with_ctes(SNAPSHOT_CTES + "," + _METRICS_SQL + "," + _SECTIONS_SQL, """
+SELECT row_number() OVER (ORDER BY section, sort_key DESC NULLS LAST, chapter_number DESC, source) AS rank,
+       row_number() OVER (PARTITION BY section ORDER BY sort_key DESC NULLS LAST, chapter_number DESC, source) AS section_rank,
+       section, source, chapter_number, title, info
+FROM sections"""))
+def q_ranked_report(spark, sf):
+    """K2 + O1: the report's rows with their rank over all sections and within each."""
+    return report.ranked_report(_sections(spark, sf)).select(
+        "rank", "section_rank", "section", "source", "chapter_number", "title", "info")
+
+
 @query("changes_union", with_ctes(SNAPSHOT_CTES, """
 SELECT doc_id, chapter, 'deletion' AS update_type FROM prev WHERE doc_id NOT IN (SELECT doc_id FROM latest)
 UNION ALL
@@ -1049,15 +1078,17 @@ def q_feed_dates(spark, sf):
     return ev.select("event_id", feed.feed_date(scraped).alias("published"))
 
 
-@query("paragraph_redline", with_ctes(PARAGRAPH_CTES, """
-, marked AS (SELECT doc_id, pos, CASE WHEN status = 'same' THEN prev_text
-                      WHEN status = 'inserted' THEN '<ins>' || curr_text || '</ins>'
-                      WHEN status = 'deleted' THEN '<del>' || prev_text || '</del>'
-                      ELSE '<del>' || prev_text || '</del><ins>' || curr_text || '</ins>' END AS markup
-            FROM pairs
-            WHERE doc_id IN (SELECT p.doc_id FROM prev p JOIN latest l ON p.doc_id = l.doc_id WHERE p.text <> l.text))
-SELECT doc_id, string_agg(markup, chr(10) ORDER BY pos) AS redline FROM marked GROUP BY doc_id""".replace(
-    "\n, marked", ",\nmarked")))
+ESCAPED_SQL = """
+escaped AS (SELECT doc_id, pos, status, replace(replace(replace(prev_text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS p,
+                   replace(replace(replace(curr_text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS c
+            FROM pairs WHERE doc_id IN (SELECT p.doc_id FROM prev p JOIN latest l ON p.doc_id = l.doc_id WHERE p.text <> l.text)),
+redlines AS (SELECT doc_id, string_agg(CASE WHEN status = 'same' THEN p WHEN status = 'inserted' THEN '<ins>' || c || '</ins>'
+                      WHEN status = 'deleted' THEN '<del>' || p || '</del>'
+                      ELSE '<del>' || p || '</del><ins>' || c || '</ins>' END, chr(10) ORDER BY pos) AS redline
+             FROM escaped GROUP BY doc_id)"""
+
+
+@query("paragraph_redline", with_ctes(PARAGRAPH_CTES + "," + ESCAPED_SQL, "SELECT doc_id, redline FROM redlines"))
 def q_paragraph_redline(spark, sf):
     """D9 paragraph form: per changed document, ``<del>``/``<ins>`` markup joined in order."""
     prev, latest = _pair(spark, sf)
@@ -1104,7 +1135,7 @@ def q_page_text(spark, sf):
 
 @query("paragraph_alignment", None)
 def q_paragraph_alignment(spark, sf):
-    """LCS alignment of changed documents (Arrow UDF on the joined pair); tested against difflib."""
+    """Alignment of changed documents by matching blocks (Arrow UDF on the joined pair); tested against difflib."""
     prev, latest = _pair(spark, sf)
     return redline.align_documents(snapshot.changed_pairs(prev, latest))
 
@@ -1148,17 +1179,17 @@ def q_term_hits_kgram(spark, sf):
     return search.term_hits_kgram(docs, terms)
 
 
-@query("term_tokens", """
+@query("term_tokens", r"""
 WITH terms AS (SELECT min(item_id) AS term_idx, token AS term FROM (
-                 SELECT item_id, unnest(regexp_extract_all(text, '[A-Za-z]+', 0)) AS token FROM benchmark) GROUP BY token),
-toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+', 0)) AS token FROM documents)
+                 SELECT item_id, unnest(regexp_extract_all(text, '\p{L}+', 0)) AS token FROM benchmark) GROUP BY token),
+toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\p{L}+', 0)) AS token FROM documents)
 SELECT toks.doc_id, terms.term_idx, toks.token AS term FROM toks JOIN terms ON toks.token = terms.term""")
 def q_term_tokens(spark, sf):
     """All tokens of the benchmark items that are a whole token of a document, as an equi-join on the token."""
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     bench = read_table(spark, sf, "benchmark", ["item_id", "text"])
-    terms = search.tokens_from_items(bench, "[A-Za-z]+")
-    return search.term_tokens(docs, terms, token_pattern="[A-Za-z]+")
+    terms = search.tokens_from_items(bench, r"\p{L}+")
+    return search.term_tokens(docs, terms, token_pattern=r"\p{L}+")
 
 
 @query("term_locations", """
@@ -1208,3 +1239,7 @@ def q_daily_type_counts(spark, sf):
     """T3 in batch: rows per type per day."""
     ev = read_table(spark, sf, "events", ["ts", "event_type"])
     return change_feed.daily_counts_batch(ev, "event_type")
+
+
+# The jobs, streams and published tables register themselves in the same registry.
+from palimpsest.plans import catalog_jobs  # noqa: E402,F401

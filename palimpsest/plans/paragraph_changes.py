@@ -21,9 +21,15 @@ def trim_space(c):
     return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r" \z", "")
 
 
-def logs(prev: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """F4 + W3 on both snapshots: ``(doc_id, chapter, manual, title, k, pos, para, key)``."""
-    return paragraphs.numbered_paragraphs(prev), paragraphs.numbered_paragraphs(latest)
+def logs(prev: DataFrame, latest: DataFrame, together: bool = False) -> tuple[DataFrame, DataFrame]:
+    """F4 + W3 on both snapshots: ``(doc_id, chapter, manual, title, k, pos, para, key)``.
+
+    Numbering happens inside the document's row, without an exchange. With
+    ``together`` both logs are dealt by ``doc_id`` once, which then serves the
+    pairing, the shift test and the windows of the comparison.
+    """
+    both = paragraphs.numbered_paragraphs(prev), paragraphs.numbered_paragraphs(latest)
+    return tuple(log.repartition("doc_id") for log in both) if together else both
 
 
 def new_paragraphs(plog: DataFrame, llog: DataFrame) -> DataFrame:
@@ -59,17 +65,19 @@ def with_shift(changed_pairs: DataFrame, llog: DataFrame) -> DataFrame:
     return paragraphs.mark_found_elsewhere(pairs, target, "prev_para", "shifted").drop("pos")
 
 
-def chapter_summary(prev: DataFrame, latest: DataFrame, refs: DataFrame | None = None) -> DataFrame:
-    """The job's main output: first remaining change per chapter with its counts.
+def summary_of_logs(plog: DataFrame, llog: DataFrame, refs: DataFrame | None = None) -> DataFrame:
+    """The job's main output from two logs: first remaining change per chapter with its counts.
 
-    F13 -> W1 -> D2/D1/F12 -> W2, then J7 (referring documents) when ``refs``
-    is given.
+    J4b -> F11 -> J8 -> F13 -> W1 -> D2/D1/F12 -> W2, then J7 (referring
+    documents) when ``refs`` is given.
     """
-    plog, llog = logs(prev, latest)
     flagged = with_shift(changed(paired(plog, llog)), llog)
     out = scoring.paragraph_noise_cascade(flagged).select(
         "doc_id", "chapter", F.col("prev_title").alias("title"), "k", "prev_para", "curr_para",
         "n_paras_with_changes", "char_count_diff", "lev_distance")
-    if refs is not None:
-        out = relevance.lookup_refs(out, refs)
-    return out
+    return out if refs is None else relevance.lookup_refs(out, refs)
+
+
+def chapter_summary(prev: DataFrame, latest: DataFrame, refs: DataFrame | None = None) -> DataFrame:
+    """:func:`summary_of_logs` on two snapshots."""
+    return summary_of_logs(*logs(prev, latest), refs)

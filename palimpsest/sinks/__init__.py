@@ -1,6 +1,7 @@
 """Sinks: CSV report tables (K1), aligned per-document tables (K4), metrics log (K3).
 
-Each writes once per job (the reference rewrote whole files per row).
+Each writes once per job. Tables that are written batch by batch, and reports
+that replace each other, go through :class:`palimpsest.sinks.ledger.LedgerTable`.
 """
 
 from __future__ import annotations
@@ -8,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators.report import metrics_append
+from palimpsest.operators.report import fresh_metrics
+from palimpsest.sinks.ledger import LedgerTable
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -34,23 +36,25 @@ def append_metrics(log: DataFrame, new: DataFrame, path: str) -> DataFrame:
 
     Returns the rows written. ``log`` is the current content of ``path``.
     """
-    cols = ["metric_type", "details", "metric", "date"]
-    merged = metrics_append(log, new)
-    fresh = merged.join(log.select("date", "details"), ["date", "details"], "left_anti").select(*cols)
+    fresh = fresh_metrics(log, new)
     fresh.write.mode("append").option("header", True).csv(path)
     return fresh
 
 
-def metrics_batch_writer(log_path: str, read_log):
-    """T4: ``foreachBatch`` function appending each micro-batch's fresh metrics.
+METRICS = "metric_type string, details string, metric long, date string"
 
-    ``read_log(spark)`` returns the current log; a replayed batch finds its
-    rows already logged and writes nothing, so reprocessing after a failure is
-    harmless.
+
+def metrics_batch_writer(table: LedgerTable, query: str):
+    """T4: ``foreachBatch`` function that logs each micro-batch's fresh metrics exactly once.
+
+    ``table`` has the columns of ``METRICS``. A batch that the ledger names is
+    skipped; one that failed half-way is written anew (see
+    :mod:`palimpsest.sinks.ledger`). Rows that an earlier batch or query
+    logged for the same date and details are not logged again (K3).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        log = read_log(spark)
-        rows = batch.select("metric_type", "details", F.col("metric").cast("long"), "date")
-        append_metrics(log, rows, log_path)
+        if not table.has(spark, query, batch_id):
+            rows = batch.select("metric_type", "details", F.col("metric").cast("long"), "date")
+            table.write(fresh_metrics(table.read(spark), rows), query, batch_id)
     return write

@@ -7,10 +7,13 @@ reader; quoted values may contain commas.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.session import ensure_checkpoint_dir
+
 TEAM_DIR = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "teams")
 
 
@@ -20,16 +23,33 @@ def read_list(spark: SparkSession, path: str, column: str = "Source") -> DataFra
             .option("encoding", "UTF-8").schema(f"`{column}` string").csv(path))
 
 
+_LANDED: dict[str, str] = {}
+
+
+def shared_team_lists(spark: SparkSession) -> dict[str, str]:
+    """The lists that ship with the package, as files in the shared folder of checkpoints (written once an application).
+
+    The package lies on the driver's disk only; what executors read must not.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _LANDED:
+        folder = f"{ensure_checkpoint_dir(spark)}/teams-{uuid.uuid4().hex}"
+        for f in sorted(os.listdir(TEAM_DIR)):
+            if f.endswith(".csv"):
+                with open(os.path.join(TEAM_DIR, f), encoding="utf-8") as lines:
+                    spark.createDataFrame([(lines.read().rstrip("\n"),)], "value string").coalesce(1).write.text(f"{folder}/{f[:-4]}")
+        _LANDED[app] = folder
+    return {f[:-4]: f"{_LANDED[app]}/{f[:-4]}" for f in sorted(os.listdir(TEAM_DIR)) if f.endswith(".csv")}
+
+
 def read_team_lists(spark: SparkSession, paths: dict[str, str] | None = None) -> DataFrame:
     """``(team, source)`` from one CSV per team (``Source`` column).
 
-    On a cluster the files must sit on shared storage; the defaults ship with
-    the package for tests and the registered queries.
+    ``paths`` must sit on shared storage; without them the lists that ship
+    with the package serve (:func:`shared_team_lists`).
     """
-    if paths is None:
-        paths = {f[:-4]: os.path.join(TEAM_DIR, f) for f in sorted(os.listdir(TEAM_DIR)) if f.endswith(".csv")}
     out = None
-    for team, path in sorted(paths.items()):
+    for team, path in sorted((paths or shared_team_lists(spark)).items()):
         df = read_list(spark, path).select(F.lit(team).alias("team"), F.col("Source").alias("source"))
         out = df if out is None else out.unionByName(df)
     return out

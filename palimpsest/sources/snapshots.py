@@ -123,3 +123,18 @@ def newest_files(spark: SparkSession, path: str, glob: str = "*", k: int = 1) ->
     """
     listing = list_snapshot_dir(spark, path, glob)
     return listing.orderBy(F.desc("mtime"), F.asc("col")).limit(k)
+
+
+def newest_logs(spark: SparkSession, path: str, prefix: str, k: int = 2) -> list[str]:
+    """Paths of the ``k`` newest log folders ``{prefix}yyyyMMdd`` under ``path``, newest first.
+
+    Newest by the date in the name, then by the newest file inside. Only file
+    metadata is listed, and ``k`` paths reach the driver; a read of them scans
+    no other folder.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    folder = F.regexp_extract("path", rf"^(.*/{prefix}([0-9]{{8}}))/", 1)
+    day = F.regexp_extract("path", rf"^(.*/{prefix}([0-9]{{8}}))/", 2)
+    dated = files.select(folder.alias("folder"), day.alias("day"), "modificationTime").where("day <> ''")
+    newest = dated.groupBy("folder", "day").agg(F.max("modificationTime").alias("at")).orderBy(F.desc("day"), F.desc("at"), "folder").limit(k)
+    return [r["folder"] for r in newest.collect()]

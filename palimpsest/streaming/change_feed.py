@@ -6,8 +6,8 @@
   bounded by the watermark.
 * T3 daily counts: tumbling one-day windows per update type, late rows
   accepted up to the watermark, emitted in append mode.
-* T4 metrics sink: ``foreachBatch`` with an anti-join against the log, so a
-  replayed micro-batch writes nothing twice.
+* T4 metrics sink: ``foreachBatch`` into a table with a commit ledger, so a
+  replayed micro-batch writes nothing twice and a half-written one doesn't count.
 
 Checkpoints go to the shared ``spark.checkpoint.dir`` (or a path the caller
 names), never to a machine-local folder on a cluster.
@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.constants import METRICS_DATE_FORMAT
+from palimpsest.functions.markup import defect
 from palimpsest.session import ensure_checkpoint_dir
-from palimpsest.sources.xml import CRAWL_REPORT_SCHEMA, explode_crawl_report
+from palimpsest.sinks.ledger import LedgerTable
+from palimpsest.sources.xml import CRAWL_REPORT_SCHEMA, REPORT_OPTIONS, explode_crawl_report, report_documents
 
 
 def crawl_report_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -34,10 +36,50 @@ def crawl_report_stream(spark: SparkSession, path: str, max_files: int = 1) -> D
     return explode_crawl_report(raw)
 
 
-def event_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
-    """Stream of feed rows (parquet files with an explicit schema)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("recursiveFileLookup", True).parquet(path))
+def report_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of crawl reports as text, one a line (``report_xml``), from files in the folder ``path``."""
+    raw = spark.readStream.option("recursiveFileLookup", True)
+    if max_files:
+        raw = raw.option("maxFilesPerTrigger", max_files)
+    return raw.text(path).withColumnRenamed("value", "report_xml")
+
+
+PARSED_REPORT = "kind string, update_type string, id string, title string, uri string, reason string, report_xml string"
+
+
+def parsed_reports(reports: DataFrame, col: str = "report_xml") -> DataFrame:
+    """rows of good reports (``kind`` good) and one row for each that can't be read (``kind`` bad, with its text and the reason).
+
+    A report is parsed once and gives both kinds, so nothing vanishes: the
+    reason is the markup's defect, or ``no documents``.
+    """
+    sound = reports.withColumn("_reason", defect(F.col(col)))
+    parsed = sound.withColumn("_r", F.from_xml(F.when(F.col("_reason").isNull(), F.col(col)), CRAWL_REPORT_SCHEMA, REPORT_OPTIONS))
+    rows = parsed.withColumn("_rows", report_documents("_r"))
+    documents = F.col("_rows")
+    reason = F.coalesce("_reason", F.when(F.size(documents) == 0, "no documents"))
+    text = lambda n: F.lit(None).cast("string").alias(n)
+    bad = F.array(F.struct(F.lit("bad").alias("kind"), *[text(n) for n in ("update_type", "id", "title", "uri")],
+                           reason.alias("reason"), F.col(col).alias("report_xml")))
+    good = F.transform(documents, lambda d: F.struct(F.lit("good").alias("kind"), *[d[n].alias(n) for n in ("update_type", "id", "title", "uri")],
+                                                   text("reason"), text("report_xml")))
+    return rows.select(F.inline(F.when(reason.isNotNull(), bad).otherwise(good)))
+
+
+def report_batch_writer(table: LedgerTable, query: str):
+    """``foreachBatch`` function that parses each micro-batch once and keeps good and bad rows, exactly once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not table.has(batch.sparkSession, query, batch_id):
+            table.write(parsed_reports(batch), query, batch_id)
+    return write
+
+
+def event_stream(spark: SparkSession, path: str, schema, max_files: int | None = 1) -> DataFrame:
+    """Stream of feed rows (parquet files with an explicit schema); without ``max_files`` all that is there is one batch."""
+    raw = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    if max_files:
+        raw = raw.option("maxFilesPerTrigger", max_files)
+    return raw.parquet(path)
 
 
 def _event_time(stream: DataFrame, ts: str) -> DataFrame:
@@ -79,16 +121,21 @@ def checkpoint_location(spark: SparkSession, name: str, base: str | None = None)
 
 
 def run_available(query_df: DataFrame, name: str, sink_fn=None, output_mode: str = "append",
-                  checkpoint: str | None = None):
+                  checkpoint: str | None = None, out: str | None = None):
     """Drive a streaming frame over everything available, then stop.
 
-    With ``sink_fn`` the stream goes to ``foreachBatch(sink_fn)``; otherwise to
-    an in-memory table named ``name`` (tests).
+    With ``sink_fn`` the stream goes to ``foreachBatch(sink_fn)``, with
+    ``out`` to Parquet files in that folder, whose log of batches makes each
+    count once; otherwise to an in-memory table named ``name`` (tests). Run
+    again with the same checkpoint it goes on where it stopped.
     """
     spark = query_df.sparkSession
     ckpt = checkpoint or checkpoint_location(spark, name)
     w = query_df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt)
-    w = w.foreachBatch(sink_fn) if sink_fn else w.format("memory").queryName(name)
+    if sink_fn:
+        w = w.foreachBatch(sink_fn)
+    else:
+        w = w.format("parquet").option("path", out) if out else w.format("memory").queryName(name)
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q

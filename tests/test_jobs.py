@@ -100,7 +100,8 @@ def test_updates_feed_job(spark):
     # yesterday's archive: a few chapters, first paragraph of each body rewritten
     archive = (bodies.dropDuplicates(["chapter"]).orderBy("chapter").limit(5)
                .unionByName(bodies.select(F.lit("another manual").alias("manual"), "chapter", "body"))
-               .withColumn("body", F.regexp_replace("body", r"(?s)^(.*?)<p>", "<p>Yesterday's opening.</p>$1<p>")))
+               .withColumn("body", F.regexp_replace("body", r"(?s)^(.*?)<p>", "<p>Yesterday's opening.</p>$1<p>"))
+               .withColumn("version_key", F.concat("chapter", F.lit("-20240114"))))
     out = updates_feed_job(feed_rows, pages, archive, "2024-01-15", marker=".example.")
     n_pages = pages.count()
     assert out["updates"].count() == n_pages                       # the older row is not read
@@ -111,3 +112,56 @@ def test_updates_feed_job(spark):
     assert out["new"].count() + out["deletions"].count() + len(changes) == n_pages
     m = out["metrics"].collect()
     assert [r.details for r in m] == [f"Updates: {n_pages}"]
+    record = out["updates"].collect()
+    assert all(r.above_threshold for r in record if r.update_type != "change") and {r.title for r in record} == {"t"}
+    assert out["dead"].count() == 0
+
+
+def test_newest_versions(spark):
+    from palimpsest.plans.daily_jobs import newest_versions
+    rows = [("m", "c1", "c1-20240110", "old"), ("m", "c1", "c1-20240113", "new"), ("m", "c1", "c1-20240113", "newer"),
+            ("m", "c1", "c1-20240115", "of the day"), ("m", "c2", "c2-20240116", "later"), ("m", "c3", "c3", "no date"),
+            ("m", "c4", None, "no key"), ("n", "c1", "c1-20231231", None)]
+    got = newest_versions(spark.createDataFrame(rows, "manual string, chapter string, version_key string, body string"), "2024-01-15").collect()
+    assert sorted((r.manual, r.chapter, r.prev_body, str(r.prev_version)) for r in got) == [
+        ("m", "c1", "newer", "2024-01-13"), ("n", "c1", None, "2023-12-31")]
+
+
+def test_report_of_day_gates(spark):
+    from palimpsest.plans.daily_jobs import report_of_day
+    rows = spark.sql("SELECT date'2024-01-14' AS report_date, 1 AS x UNION ALL SELECT date'2024-01-15', 2")
+    assert [r.x for r in report_of_day(rows, "2024-01-15").collect()] == [2]
+    assert report_of_day(rows, "2024-01-16").count() == 0 and report_of_day(rows, "2024-01-14").count() == 0
+
+
+def test_global_rank(spark):
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") % 3).cast("string").alias("g"), (F.hash("id") % 50).alias("v"), "id")
+    got = report.ranked(df, F.asc("g"), F.desc("v"), F.asc("id"), within="g").collect()
+    want = sorted(got, key=lambda r: (r.g, -r.v, r.id))
+    assert [r["rank"] for r in want] == list(range(1, 5001))
+    seen = {}
+    for r in want:
+        seen[r.g] = seen.get(r.g, 0) + 1
+        assert r.g_rank == seen[r.g]
+    assert report.ranked(df.where("id < 0"), F.asc("id")).count() == 0
+
+
+def test_rank_has_one_range_exchange_and_no_single_task(spark):
+    import re
+    df = spark.range(1000).select((F.col("id") % 10).alias("v"), "id")
+    plans = []
+    real = report.cut_lineage
+
+    def seen(x):
+        plans.append(x._jdf.queryExecution().executedPlan().toString())
+        return real(x)
+    report.cut_lineage = seen
+    try:
+        out = report.ranked(df, F.asc("v"), F.asc("id"))
+    finally:
+        report.cut_lineage = real
+    assert len(re.findall(r"Exchange rangepartitioning", plans[0])) == 1 and "SinglePartition" not in plans[0]
+    # afterwards only the counts of ranges, one row each, meet in one place
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange hashpartitioning(v" not in plan
+    assert out.agg(F.max("rank")).first()[0] == 1000

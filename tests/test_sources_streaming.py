@@ -3,9 +3,12 @@ streaming jobs T1–T4 driven with ``availableNow`` over split files."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from palimpsest.sinks import METRICS, metrics_batch_writer
+from palimpsest.sinks.ledger import LedgerTable
 from palimpsest.sources import csv_lists, xml
 from palimpsest.sources.snapshots import list_snapshot_dir, read_snapshot_dir, snapshot_pair
 from palimpsest.streaming import change_feed
@@ -104,16 +107,56 @@ def test_streaming_dedup_and_metrics_sink(spark, workdir):
     want = ev.select("user_id", "event_type", F.to_date("ts")).distinct().count()
     assert n == want
 
-    log_path = os.path.join(workdir, "metrics")
-    spark.createDataFrame([], csv_lists.METRICS_SCHEMA).write.option("header", True).csv(log_path)
-    reader = lambda s: csv_lists.read_metrics_log(s, log_path)
-    sink = __import__("palimpsest.sinks", fromlist=["x"]).metrics_batch_writer(log_path, reader)
+    table = LedgerTable(os.path.join(workdir, "metrics"), METRICS)
+    sink = metrics_batch_writer(table, "daily")
     rows = change_feed.metrics_from_counts(
         change_feed.daily_counts_batch(ev, "event_type"), "event_type", "daily count")
+    assert table.read(spark).count() == 0
     sink(rows, 0)
     sink(rows, 0)                      # replayed batch: nothing new is written
-    logged = reader(spark)
-    assert logged.count() == rows.count()
+    sink(rows, 1)                      # the same rows in another batch are logged already
+    assert table.read(spark).count() == rows.count()
+    assert {(r["query"], r["batch"]) for r in table.committed(spark).collect()} == {("daily", 0), ("daily", 1)}
+
+
+def test_half_written_batch_does_not_count(spark, workdir):
+    table = LedgerTable(os.path.join(workdir, "half"), "v string")
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v string")
+    assert table.write(rows("a"), "q", 0)
+    table.write_rows(rows("lost", "lost too"), "q", 1)          # the job died before the commit
+    assert [r.v for r in table.read(spark).collect()] == ["a"]
+    assert table.write(rows("b"), "q", 1) and not table.write(rows("c"), "q", 1)
+    assert sorted(r.v for r in table.read(spark).collect()) == ["a", "b"]
+
+
+def test_failed_publish_leaves_the_old_report(spark, workdir):
+    table = LedgerTable(os.path.join(workdir, "published"), "v string")
+    assert table.read_newest(spark, "report").count() == 0
+    assert table.publish(spark.createDataFrame([("old",)], "v string"), "report") == 1
+    broken = spark.range(3).select(F.when(F.col("id") < 2, "new").otherwise(F.raise_error(F.lit("lost"))).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        table.publish(broken, "report")
+    assert [r.v for r in table.read_newest(spark, "report").collect()] == ["old"]
+    assert table.publish(spark.createDataFrame([("new",)], "v string"), "report") == 2
+    assert [r.v for r in table.read_newest(spark, "report").collect()] == ["new"]
+
+
+def test_parsed_reports_keep_bad_ones(spark):
+    texts = [REPORT, "<report><added>", "<report/>", None, "", "<report>a & b</report>", REPORT + REPORT]
+    got = change_feed.parsed_reports(spark.createDataFrame([(t,) for t in texts], "report_xml string")).collect()
+    assert sum(r.kind == "good" for r in got) == 3
+    assert sorted(r.reason for r in got if r.kind == "bad") == sorted(
+        ["unbalanced tags", "no documents", "empty", "empty", "bare ampersand", "several roots"])
+
+
+def test_newest_logs_prune_the_scan(spark, workdir):
+    from palimpsest.sources.snapshots import newest_logs
+    for day in ("20240103", "20240101", "20240105", "20240102", "20240104"):
+        spark.createDataFrame([(day,)], "d string").write.parquet(os.path.join(workdir, f"log-{day}"))
+    paths = newest_logs(spark, workdir, "log-", 2)
+    assert [p[-8:] for p in paths] == ["20240105", "20240104"]
+    scanned = spark.read.parquet(*paths).inputFiles()
+    assert scanned and all("20240105" in f or "20240104" in f for f in scanned)
 
 
 def test_crawl_report_stream(spark, workdir):
