@@ -103,6 +103,25 @@ def section_counts(report: DataFrame, by_team: DataFrame | None = None) -> DataF
     return g.select("team", F.coalesce("section", F.lit("ALL")).alias("section"), "n")
 
 
+SECTIONS = ["changes", "additions", "deletions"]
+
+
+def section_matrix(by_team: DataFrame, sections: list[str] = SECTIONS) -> DataFrame:
+    """A5 in wide form: a row per team and one for ``ALL``, a column per section and ``total``, 0 where there is none.
+
+    One ``cube`` counts team x section with both totals (``grouping`` tells a
+    total from a null value, which reads ``unknown``), and a pivot over the
+    fixed ``sections`` turns its few rows into the matrix. Rows of other
+    sections count in the totals only.
+    """
+    label = lambda c: F.when(F.grouping(c) == 1, "ALL").otherwise(F.coalesce(F.col(c), F.lit("unknown")))
+    counts = by_team.cube("team", "section").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_level"),
+                                                 label("team").alias("_team"), label("section").alias("_section"))
+    wide = (counts.groupBy(F.col("_team").alias("team"), (F.col("_level") >= 2).alias("_all"))
+            .pivot("_section", [*sections, "ALL"]).agg(F.max("n")))
+    return wide.select("team", *[F.coalesce(s, F.lit(0)).alias(s) for s in sections], F.coalesce("ALL", F.lit(0)).alias("total"))
+
+
 def fresh_metrics(log: DataFrame, new: DataFrame) -> DataFrame:
     """K3: rows of ``new`` with a positive metric whose ``(date, details)`` is not in ``log``, one of each.
 

@@ -8,7 +8,7 @@ document position, so an equi-join on the gram finds every candidate document,
 where the occurrences are then counted in the text. Terms shorter than the
 class minimum go to a class with a smaller k. In every class k <= s, so that a
 text is cut into its pieces in one pass. A gram may stand in very many
-documents (boilerplate); its rows are dealt over ``SALTS`` keys.
+documents (boilerplate); its rows are dealt over several keys (:func:`salts`).
 
 The result is ``(doc_id, term_idx, term, n_hits)`` where ``n_hits`` counts
 non-overlapping, left-to-right literal occurrences; W4 adds the running total.
@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DOC = "doc_id"
-HIT_SCHEMA = "doc_id long, term_idx long, n_hits long"
-SALTS = 16  # tasks that one gram or token is dealt over
+HIT_SCHEMA = "doc_id long, term_idx long, term string, n_hits long"
 
 
 def terms_from_items(items: DataFrame) -> DataFrame:
@@ -37,11 +36,20 @@ def tokens_from_items(items: DataFrame, token_pattern: str) -> DataFrame:
             .groupBy("term").agg(F.min("item_id").alias("term_idx")))
 
 
-def _salted_join(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """Inner equi-join of document rows with a term list; a hot key of the rows meets the list in ``SALTS`` tasks."""
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(DOC), F.lit(SALTS)).cast("int"))
-    copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(copies, [key, "_salt"]).drop("_salt")
+def salts(df: DataFrame) -> int:
+    """Tasks that one gram or token is dealt over: grows with the job's shuffle partitions, 16 at least."""
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 64)
+
+
+def _salted_join(rows: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join of document rows with a term list; a hot key of the rows meets the list in several tasks (:func:`salts`).
+
+    What is left of the skew is split by adaptive execution, as in any inner join.
+    """
+    n = salts(rows)
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(DOC), F.lit(n)).cast("int"))
+    copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return dealt.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 # k-gram classes: (min term length, gram length k, stride s) with k + s - 1 <= min length.
@@ -56,33 +64,37 @@ def _gram_class(length_col):
 
 
 def term_hits_kgram(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """J14 + A6 by an exact k-gram equi-join (no broadcast, no nested loop)."""
-    t = terms.select("term_idx", "term", F.length("term").alias("tlen")).withColumn(
-        "cls", _gram_class(F.col("tlen")))
+    """J14 + A6 by an exact k-gram equi-join (no broadcast, no nested loop): ``(doc_id, term_idx, term, n_hits)``.
+
+    A document's text is read once for the grams of all length classes that
+    occur, and once more where it has a candidate.
+    """
+    t = terms.select("term_idx", "term").withColumn("cls", _gram_class(F.length("term")))
     d = docs.select(DOC, "text")
     # Which length classes occur (at most len(_GRAM_CLASSES) values): a class
     # without terms must not make every document emit its grams.
     present = sorted(r["cls"] for r in t.select("cls").distinct().collect())
-    parts = []
-    for i in present:
-        lo, k, s = _GRAM_CLASSES[i]
-        # term side: grams at offsets 0..s-1
-        tg = (t.where(F.col("cls") == i)
-              .select("term_idx", "term", F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("off"))
-              .select("term_idx", "term", F.substring("term", F.col("off") + 1, F.lit(k)).alias("gram")).distinct())
-        # document side: the distinct grams at positions 0, s, 2s, ..., cut in one pass
-        pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{{k}}}.{{0,{s - k}}}"), F.lit(0))
-        dg = d.select(DOC, F.explode(F.array_distinct(F.transform(pieces, lambda p: F.left(p, F.lit(k))))).alias("gram"))
-        parts.append(_salted_join(dg, tg, "gram").select(DOC, "term_idx", "term"))
-    if not parts:
+    if not present:
         return docs.sparkSession.createDataFrame([], HIT_SCHEMA)
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+
+    def gram(text, at, k: int, cls: int):
+        return F.struct(F.lit(cls).alias("cls"), F.substring(text, at, F.lit(k)).alias("gram"))
+    # term side: grams at offsets 0..s-1 of the term's class; only its own class counts
+    def offsets(i: int):
+        _, k, s = _GRAM_CLASSES[i]
+        return F.when(F.col("cls") == i, F.transform(F.sequence(F.lit(1), F.lit(s)), lambda at: gram(F.col("term"), at, k, i)))
+    tg = t.select("term_idx", "term", F.inline(F.array_distinct(F.coalesce(*[offsets(i) for i in present]))))
+
+    # document side: the distinct grams at positions 0, s, 2s, ..., cut in one pass a class
+    def sampled(i: int):
+        _, k, s = _GRAM_CLASSES[i]
+        pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{{k}}}.{{0,{s - k}}}"), F.lit(0))
+        return F.array_distinct(F.transform(pieces, lambda p: gram(p, F.lit(1), k, i)))
+    dg = d.select(DOC, F.inline(F.concat(*[sampled(i) for i in present])))
+    cand = _salted_join(dg, tg, ["cls", "gram"]).select(DOC, "term_idx", "term").distinct()
     # occurrences counted as the literal replacement finds them: left to right, not overlapping
     n_hits = ((F.length("text") - F.length(F.replace("text", F.col("term"), F.lit("")))) / F.length("term")).cast("long")
-    return (cand.distinct().join(d, DOC).where(F.contains("text", F.col("term")))
-            .select(DOC, "term_idx", n_hits.alias("n_hits")))
+    return cand.join(d, DOC).where(F.contains("text", F.col("term"))).select(DOC, "term_idx", "term", n_hits.alias("n_hits"))
 
 
 def term_hits(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -91,21 +103,20 @@ def term_hits(docs: DataFrame, terms: DataFrame) -> DataFrame:
     ``running_hits`` is the cumulative hit count over the document's matched
     terms in term-list order (window over the matched pairs only).
     """
-    named = term_hits_kgram(docs, terms).join(terms.select("term_idx", "term"), "term_idx")
     w = Window.partitionBy(DOC).orderBy("term_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return named.select(DOC, "term_idx", "term", "n_hits",
-                        F.sum("n_hits").over(w).cast("long").alias("running_hits"))
+    return term_hits_kgram(docs, terms).select(DOC, "term_idx", "term", "n_hits",
+                                               F.sum("n_hits").over(w).cast("long").alias("running_hits"))
 
 
 def term_tokens(docs: DataFrame, terms: DataFrame, token_pattern: str = r"[A-Z]+[0-9]+") -> DataFrame:
     """Terms that equal a whole token of the text, as an equi-join.
 
     Each document contributes its distinct tokens once; a token that stands in
-    very many documents is dealt over ``SALTS`` tasks.
+    very many documents is dealt over several tasks.
     """
     toks = docs.select(DOC, F.explode(F.array_distinct(
         F.regexp_extract_all("text", F.lit(token_pattern), F.lit(0)))).alias("token"))
-    return _salted_join(toks, terms.select("term_idx", F.col("term").alias("token")), "token").select(
+    return _salted_join(toks, terms.select("term_idx", F.col("term").alias("token")), ["token"]).select(
         DOC, "term_idx", F.col("token").alias("term"))
 
 

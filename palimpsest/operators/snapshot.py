@@ -62,8 +62,8 @@ def outer_merge(prev: DataFrame, latest: DataFrame, key: str = KEY) -> DataFrame
                     .otherwise("both").alias("_merge")))
 
 
-def _fingerprint(df: DataFrame, key: str, with_hash: bool) -> DataFrame:
-    cols = [key, F.octet_length("text").alias("size")]
+def _fingerprint(df: DataFrame, key: str, with_hash: bool, keep: tuple[str, ...] = ()) -> DataFrame:
+    cols = [key, *keep, F.octet_length("text").alias("size")]
     if with_hash:
         cols.append(F.sha2("text", 256).alias("digest"))
     return df.select(*cols)
@@ -76,16 +76,16 @@ def size_changed(prev: DataFrame, latest: DataFrame, key: str = KEY) -> DataFram
     return p.join(c, key).where(F.col("prev_size") != F.col("curr_size"))
 
 
-def content_changed(prev: DataFrame, latest: DataFrame, key: str = KEY) -> DataFrame:
-    """Common documents whose content differs (catches same-size edits).
+def content_changed(prev: DataFrame, latest: DataFrame, key: str = KEY, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Common documents whose content differs (catches same-size edits), with columns ``keep`` of the previous snapshot.
 
     SHA-256 digests are compared, so equal digests mean equal text for every
     practical purpose while only 64 hex characters per document are shuffled.
     """
-    p = _fingerprint(prev, key, True).withColumnsRenamed({"size": "prev_size", "digest": "prev_digest"})
+    p = _fingerprint(prev, key, True, keep).withColumnsRenamed({"size": "prev_size", "digest": "prev_digest"})
     c = _fingerprint(latest, key, True).withColumnsRenamed({"size": "curr_size", "digest": "curr_digest"})
     return (p.join(c, key).where(F.col("prev_digest") != F.col("curr_digest"))
-            .select(key, "prev_size", "curr_size"))
+            .select(key, *keep, "prev_size", "curr_size"))
 
 
 def changed_pairs(prev: DataFrame, latest: DataFrame, key: str = KEY, mode: str = "content") -> DataFrame:

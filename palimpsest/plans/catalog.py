@@ -785,7 +785,7 @@ def q_source_relevant_changes(spark, sf):
         labels.where("toxic = 1").select(F.concat(F.lit("L"), F.col("doc_id").cast("string")).alias("doc_ref")),
         "doc_ref", "left_semi")
     prefixes = relevance.distinct_prefixes(flagged, "pattern")
-    changed = snapshot.content_changed(prev, latest).join(prev.select("doc_id", "chapter"), "doc_id")
+    changed = snapshot.content_changed(prev, latest, keep=("chapter",))
     return relevance.source_relevant(changed.select("doc_id", "chapter"), prefixes)
 
 
@@ -859,6 +859,16 @@ def q_team_section_counts(spark, sf):
     return report.section_counts(sections, by_team)
 
 
+@query("team_section_matrix", with_ctes(
+    SNAPSHOT_CTES + "," + _METRICS_SQL + "," + _SECTIONS_SQL + "," + _TEAM_VALUES, """
+SELECT coalesce(team, 'ALL') AS team, count(*) FILTER (WHERE section = 'changes') AS changes,
+       count(*) FILTER (WHERE section = 'additions') AS additions, count(*) FILTER (WHERE section = 'deletions') AS deletions, count(*) AS total
+FROM sections s JOIN teams t ON s.source = t.source GROUP BY ROLLUP (team)"""))
+def q_team_section_matrix(spark, sf):
+    """A5 wide: team x section counts with an ALL row and a total column."""
+    return report.section_matrix(relevance.team_rows(_sections(spark, sf), csv_lists.read_team_lists(spark)))
+
+
 @query("sorted_changes", with_ctes(SNAPSHOT_CTES + "," + _METRICS_SQL, """
 SELECT doc_id, chapter_number, lev_distance FROM metrics ORDER BY lev_distance DESC, chapter_number"""))
 def q_sorted_changes(spark, sf):
@@ -1176,7 +1186,7 @@ def q_term_hits_kgram(spark, sf):
     """J14 + A6: hits only, without the running total."""
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     terms = search.terms_from_items(read_table(spark, sf, "benchmark", ["item_id", "text"]))
-    return search.term_hits_kgram(docs, terms)
+    return search.term_hits_kgram(docs, terms).drop("term")
 
 
 @query("term_tokens", r"""

@@ -69,8 +69,9 @@ def summary_of_logs(plog: DataFrame, llog: DataFrame, refs: DataFrame | None = N
     """The job's main output from two logs: first remaining change per chapter with its counts.
 
     J4b -> F11 -> J8 -> F13 -> W1 -> D2/D1/F12 -> W2, then J7 (referring
-    documents) when ``refs`` is given.
+    documents) when ``refs`` is given. Both logs are dealt by ``doc_id`` once.
     """
+    plog, llog = plog.repartition("doc_id"), llog.repartition("doc_id")
     flagged = with_shift(changed(paired(plog, llog)), llog)
     out = scoring.paragraph_noise_cascade(flagged).select(
         "doc_id", "chapter", F.col("prev_title").alias("title"), "k", "prev_para", "curr_para",

@@ -160,3 +160,11 @@ def test_hot_repeated_line_and_hot_manual(spark):
     teams = spark.createDataFrame([("t1", "hot"), ("t2", "hot"), ("t1", "cold")], "team string, source string")
     by_team = relevance.team_rows(prev.withColumnRenamed("manual", "source"), teams)
     assert by_team.count() == 39 * 2 + 1
+
+
+def test_section_matrix_tells_totals_from_nulls(spark):
+    from palimpsest.operators.report import section_matrix
+    rows = [("a", "changes")] * 3 + [("a", "deletions"), ("b", "other"), (None, "additions"), ("ALL", "changes")]
+    got = section_matrix(spark.createDataFrame(rows, "team string, section string"))
+    assert got.columns == ["team", "changes", "additions", "deletions", "total"]
+    assert sorted(map(tuple, got.collect())) == [("ALL", 1, 0, 0, 1), ("ALL", 4, 1, 1, 7), ("a", 3, 0, 1, 4), ("b", 0, 0, 0, 1), ("unknown", 0, 1, 0, 1)]

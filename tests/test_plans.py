@@ -38,6 +38,14 @@ def shuffles(plan):
     ("crawl_report_rows", 2),        # digests meet once; reports are parsed and exploded in place
     ("shifted_paragraphs", 3),       # two sides + the text index; the inner pairing keeps doc_id hashing
     ("word_redline", 2),
+    ("paragraph_log", 0),            # a projection
+    ("new_paragraphs", 2), ("deleted_paragraph_keys", 2), ("paragraph_merge", 2),
+    ("chapter_changes", 4),          # two logs, the text index, the first row of a chapter
+    ("changes_from_logs", 4),
+    ("chapter_changes_with_refs", 8),  # and two for the references' own join, one for their lists, one to attach them
+    ("term_hits", 5),                # grams, term grams, candidates, their texts (2)
+    ("repaired_redlines", 2),
+    ("xml_elements", 0), ("xml_document_fields", 0), ("debracketed_bodies", 0),
 ])
 def test_exchange_counts(static_plan, name, expected):
     plan = static_plan(name)
@@ -64,6 +72,10 @@ def test_topk_limit_before_shuffle(static_plan):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_feed_job_reads_the_distance_once(static_plan):
+    assert static_plan("feed_updates").count("_exceeds_udf(") == 1
+
+
 def test_team_list_broadcast_is_size_checked(static_plan):
     plan = static_plan("team_documents")
     assert "BroadcastExchange" in plan and shuffles(plan) == 0
