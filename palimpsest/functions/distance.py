@@ -227,28 +227,3 @@ def long_edit_distance(a, b) -> Column:
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
     return _levenshtein_udf(a, b)
-
-
-@F.pandas_udf(T.LongType())
-def _pairwise_sum_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for xs, ys in zip(a, b):
-        if xs is None or ys is None:
-            out.append(None)
-            continue
-        out.append(sum(fast_levenshtein(x or "", y or "") for x, y in zip(xs, ys)))
-    return pd.Series(out, dtype="Int64")
-
-
-_pairwise_sum_udf = _pairwise_sum_udf.asNondeterministic()
-
-
-def pairwise_distance_sum(a, b) -> Column:
-    """Sum of exact distances of aligned elements of two equal-length string arrays.
-
-    The pairing itself is done by the caller in Spark (e.g. ``arrays_zip``);
-    this only evaluates the distances, one Arrow batch of rows at a time.
-    """
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return _pairwise_sum_udf(a, b)

@@ -1,9 +1,10 @@
 """Snapshot comparison: list diff, remainders, size / content change tests.
 
-All joins are on the document key only, over narrow projections: the text is
-never shuffled to decide *whether* a document changed; only the fingerprint
-and size travel. Scale: each side is hash-partitioned on ``doc_id`` once; the
-key is unique per snapshot so there is no skew on it.
+All joins are on the document key. Whether a document changed is decided on
+narrow rows: only its size and digest travel. :func:`changed_pairs`, whose
+rows go on to scoring, shuffles both texts, once. Each side is
+hash-partitioned on ``doc_id`` once; the key is unique per snapshot so there
+is no skew on it.
 """
 
 from __future__ import annotations

@@ -711,7 +711,7 @@ def q_deleted_paragraphs(spark, sf):
 # =============================================================================
 # Relevance: A1, A2, A4, J7, J9, J10, J11
 # =============================================================================
-_REFS_SQL = """
+REFS_SQL = """
 refs AS (SELECT concat(upper(d.lang), CAST(d.doc_id AS VARCHAR)) AS pattern,
                 'L' || CAST(l.doc_id AS VARCHAR) AS doc_ref
          FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
@@ -726,26 +726,26 @@ def _refs(spark, sf):
         F.concat(F.lit("L"), F.col("doc_id").cast("string")).alias("doc_ref"))
 
 
-@query("distinct_patterns", with_ctes(_REFS_SQL, "SELECT DISTINCT pattern FROM refs"))
+@query("distinct_patterns", with_ctes(REFS_SQL, "SELECT DISTINCT pattern FROM refs"))
 def q_distinct_patterns(spark, sf):
     """A1: distinct patterns."""
     return relevance.distinct_values(_refs(spark, sf), "pattern")
 
 
-@query("source_prefixes", with_ctes(_REFS_SQL, "SELECT DISTINCT regexp_extract(pattern, '^[^0-9]+', 0) AS source FROM refs"))
+@query("source_prefixes", with_ctes(REFS_SQL, "SELECT DISTINCT regexp_extract(pattern, '^[^0-9]+', 0) AS source FROM refs"))
 def q_source_prefixes(spark, sf):
     """A1 + D5: distinct source prefixes."""
     return relevance.distinct_prefixes(_refs(spark, sf), "pattern")
 
 
-@query("refs_per_pattern", with_ctes(_REFS_SQL, """
+@query("refs_per_pattern", with_ctes(REFS_SQL, """
 SELECT pattern, doc_ref, count(*) OVER (PARTITION BY pattern) AS n_refs FROM refs"""))
 def q_refs_per_pattern(spark, sf):
     """A2: referring documents per pattern in long form, with the pattern's count."""
     return relevance.refs_with_counts(_refs(spark, sf))
 
 
-@query("rows_per_pattern", with_ctes(_REFS_SQL, """
+@query("rows_per_pattern", with_ctes(REFS_SQL, """
 SELECT pattern, count(*) AS n_refs FROM refs GROUP BY pattern"""))
 def q_rows_per_pattern(spark, sf):
     """A4."""
@@ -753,7 +753,7 @@ def q_rows_per_pattern(spark, sf):
 
 
 @query("chapter_changes_with_refs", with_ctes(
-    LOG_CTES + "," + PAIRED_LOG_SQL + "," + CASCADE_SQL + "," + _REFS_SQL, """
+    LOG_CTES + "," + PAIRED_LOG_SQL + "," + CASCADE_SQL + "," + REFS_SQL, """
 SELECT f.doc_id, f.chapter, f.n_paras_with_changes, coalesce(r.doc_info, '') AS doc_info
 FROM firsts f LEFT JOIN (SELECT pattern, array_to_string(list_sort(list(doc_ref)), ', ') AS doc_info
                          FROM refs GROUP BY pattern) r ON f.chapter = r.pattern"""))
@@ -764,7 +764,7 @@ def q_chapter_changes_with_refs(spark, sf):
     return out.select("doc_id", "chapter", "n_paras_with_changes", "doc_info")
 
 
-@query("relevance_flags", with_ctes(SNAPSHOT_CTES + "," + _REFS_SQL, """
+@query("relevance_flags", with_ctes(SNAPSHOT_CTES + "," + REFS_SQL, """
 SELECT doc_id, chapter, chapter IN (SELECT pattern FROM refs) AS relevant FROM latest"""))
 def q_relevance_flags(spark, sf):
     """Is the chapter in the pattern list?"""
@@ -772,7 +772,7 @@ def q_relevance_flags(spark, sf):
     return relevance.relevance_flag(latest.select("doc_id", "chapter"), _refs(spark, sf))
 
 
-@query("source_relevant_changes", with_ctes(SNAPSHOT_CTES + "," + _REFS_SQL, """
+@query("source_relevant_changes", with_ctes(SNAPSHOT_CTES + "," + REFS_SQL, """
 SELECT p.doc_id, p.chapter FROM prev p JOIN latest l ON p.doc_id = l.doc_id
 WHERE p.text <> l.text AND regexp_extract(p.chapter, '^[^0-9]+', 0) IN (
   SELECT DISTINCT regexp_extract(r.pattern, '^[^0-9]+', 0) FROM refs r JOIN labels lb

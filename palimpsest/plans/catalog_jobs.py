@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import SIGNIFICANCE_THRESHOLD
+from palimpsest.constants import SIGNIFICANCE_THRESHOLD, WITHHELD_PHRASES
 from palimpsest.functions import html as H
 from palimpsest.functions import markup
-from palimpsest.operators import paragraphs, redline, snapshot
-from palimpsest.plans import daily_jobs, paragraph_changes
-from palimpsest.plans.catalog import (CASCADE_SQL, ESCAPED_SQL, PAIRED_LOG_SQL, RUN_DATE, _pair, _status, _STATUS_SQL,
-                                      q_changes_union, query)
+from palimpsest.functions.text import contains_any
+from palimpsest.operators import feed, paragraphs, redline, relevance, search, snapshot
+from palimpsest.plans import daily_jobs, document_changes, paragraph_changes, term_locations
+from palimpsest.plans.catalog import (CASCADE_SQL, ESCAPED_SQL, PAIRED_LOG_SQL, REFS_SQL, RUN_DATE, _pair, _refs, _status,
+                                      _STATUS_SQL, q_changes_union, query)
 from palimpsest.plans.oracle import LOG_CTES, PARAGRAPH_CTES, SNAPSHOT_CTES, lev, with_ctes
 from palimpsest.session import ensure_checkpoint_dir
 from palimpsest.sinks import METRICS, metrics_batch_writer
@@ -215,6 +216,106 @@ def q_changes_from_logs(spark, sf):
     return paragraph_changes.summary_of_logs(spark.read.parquet(older), spark.read.parquet(newest))
 
 
+# =============================================================================
+# Published lists: K2, P3, P7, O1, W2, J7, S6
+# =============================================================================
+@query("listed_documents", with_ctes(SNAPSHOT_CTES + """,
+listed AS (SELECT 'additions' AS section, manual AS source, chapter AS chapter_number, title FROM latest WHERE doc_id NOT IN (SELECT doc_id FROM prev)
+           UNION ALL SELECT 'deletions', manual, chapter, title FROM prev WHERE doc_id NOT IN (SELECT doc_id FROM latest))""", """
+SELECT section, row_number() OVER (PARTITION BY section ORDER BY chapter_number DESC) AS section_rank, source, chapter_number, title,
+       replace(replace('<a href="chapters/' || chapter_number || '.html" target="_blank">View</a>', '—', ' '), '’', '''') AS html,
+       '<a href="chapters/' || chapter_number || '.docx" target="_blank">Download</a>' AS tracked_changes
+FROM listed"""))
+def q_listed_documents(spark, sf):
+    """P7 + P3 + O1: the published lists of added and deleted documents, with links and rank."""
+    prev, latest = _pair(spark, sf)
+    rows = document_changes.listed(snapshot.additions(prev, latest), snapshot.deletions(prev, latest))
+    return rows.select("section", "section_rank", "source", "chapter_number", "title", "html", "tracked_changes")
+
+
+@query("chapter_change_list", with_ctes(LOG_CTES + "," + PAIRED_LOG_SQL + "," + CASCADE_SQL + "," + REFS_SQL, """
+SELECT row_number() OVER (ORDER BY f.n_paras_with_changes DESC, f.chapter) AS rank, f.chapter, replace(f.prev_title, 'Previous', '') AS title,
+       coalesce(r.found_in, '') AS found_in, f.n_paras_with_changes, 'Click to view' AS link_to_changes
+FROM firsts f LEFT JOIN (SELECT pattern, array_to_string(list_sort(list(doc_ref)), ', ') AS found_in FROM refs GROUP BY pattern) r ON f.chapter = r.pattern"""))
+def q_chapter_change_list(spark, sf):
+    """W2 + J7 + O1: the published chapter list of the paragraph comparison, by number of changed paragraphs."""
+    prev, latest = _pair(spark, sf)
+    return paragraph_changes.chapter_list(paragraph_changes.chapter_summary(prev, latest, _refs(spark, sf)))
+
+
+@query("deletions_found_in", with_ctes(LOG_CTES + "," + REFS_SQL, """
+SELECT p.key, p.doc_id, p.k, coalesce(r.found_in, '') AS found_in
+FROM plog p LEFT JOIN (SELECT pattern, array_to_string(list_sort(list(doc_ref)), ', ') AS found_in FROM refs GROUP BY pattern) r ON p.chapter = r.pattern
+WHERE p.key NOT IN (SELECT key FROM llog)"""))
+def q_deletions_found_in(spark, sf):
+    """J4b + J7: deleted paragraphs with the documents that refer to their chapter."""
+    plog, llog = paragraph_changes.logs(*_pair(spark, sf))
+    deleted = paragraph_changes.deleted_paragraphs(plog, llog)
+    found = relevance.lookup_refs(deleted.select("key", "doc_id", "k", "chapter"), _refs(spark, sf))
+    return found.select("key", "doc_id", "k", F.col("doc_info").alias("found_in"))
+
+
+@query("term_location_records", """
+WITH terms AS (SELECT item_id AS term_idx, text AS term FROM benchmark WHERE length(text) > 0),
+m AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN source || '/' || CAST(doc_id AS VARCHAR) || '.xml'
+                          ELSE source || '/' || upper(lang) || '_ch_' || CAST(doc_id AS VARCHAR) || '.xml' END AS member,
+             CASE WHEN doc_id % 5 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS title, text FROM documents),
+x AS (SELECT *, coalesce(title, '') || chr(10) || text AS whole FROM m),
+g AS (SELECT DISTINCT d.source AS grp FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE l.quality = 1),
+hits AS (SELECT x.*, t.term_idx, t.term, CAST((length(whole) - length(replace(whole, t.term, ''))) // length(t.term) AS BIGINT) AS n
+         FROM x JOIN terms t ON contains(whole, t.term) WHERE regexp_extract(member, '([^/]*)/([^./]*\\.xml)', 1) IN (SELECT grp FROM g))
+SELECT coalesce(nullif(regexp_extract(member, '_([0-9]*)\\.xml', 1), ''), 'not found') AS doc_ref, coalesce(nullif(title, ''), 'not found') AS doc_title,
+       coalesce(nullif(regexp_extract(regexp_extract(member, '([^/]*)/([^./]*\\.xml)', 2), '^([^0-9_]+)_[^0-9]+_', 1), ''), 'not found') AS area,
+       coalesce(nullif(regexp_extract(member, '([^/]*)/([^./]*\\.xml)', 2), ''), 'not found') AS filename, term AS pattern,
+       CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY term_idx ROWS UNBOUNDED PRECEDING) AS BIGINT) AS count
+FROM hits""")
+def q_term_location_records(spark, sf):
+    """S6 + J13 + J14 + W4 + P1: the published term records of XML archive members, title read from the markup, ``not found`` where a part is missing."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "source", "lang", "text"])
+    labels = read_table(spark, sf, "labels", ["doc_id", "quality"])
+    groups = labels.where("quality = 1").join(docs.select("doc_id", "source"), "doc_id").select(F.col("source").alias("grp"))
+    number = F.col("doc_id").cast("string")
+    name = F.when(F.col("doc_id") % 7 == 3, number).otherwise(F.concat(F.upper("lang"), F.lit("_ch_"), number))
+    title = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("<kh:document-title>"), markup.escape(F.substring_index("text", "\n", 1)), F.lit("</kh:document-title>")))
+    members = docs.select("doc_id", F.concat("source", F.lit("/"), name, F.lit(".xml")).alias("member"),
+                          F.concat(F.lit("<doc><!-- kept -->"), F.coalesce(title, F.lit("")), F.lit("\n<body k='>'>"), markup.escape("text"), F.lit("</body></doc>")).alias("xml"))
+    terms = search.terms_from_items(read_table(spark, sf, "benchmark", ["item_id", "text"]))
+    return term_locations.records(members, groups, terms)
+
+
+# =============================================================================
+# Branches that the tables alone don't reach: F9, F10, D11
+# =============================================================================
+@query("feed_date_gates", f"""
+SELECT CAST(max(ts) AS DATE) AS newest_date, DATE '{RUN_DATE}' AS run_date, 'stale' AS status FROM events HAVING CAST(max(ts) AS DATE) <> DATE '{RUN_DATE}'
+UNION ALL SELECT CAST(max(ts) AS DATE), CAST(max(ts) AS DATE), 'ok' FROM events""")
+def q_feed_date_gates(spark, sf):
+    """the gate on a run date that is stale and on the feed's own newest date."""
+    ev = read_table(spark, sf, "events", ["ts"])
+    return feed.date_gate(ev, RUN_DATE).unionByName(feed.date_gate(ev, ev.agg(F.to_date(F.max("ts"))).scalar()))
+
+
+@query("withheld_planted_pages", """
+SELECT page_id, page_id % 5 IN (1, 2) OR contains(html, 'content has been withheld because of exemptions in the Freedom of Information Act')
+                OR contains(html, 'Page Archived') AS withheld FROM pages""")
+def q_withheld_planted_pages(spark, sf):
+    """pages with one of the two phrases planted by rule, or neither."""
+    phrase = F.when(F.col("page_id") % 5 == 1, F.lit(WITHHELD_PHRASES[0])).when(F.col("page_id") % 5 == 2, F.lit(WITHHELD_PHRASES[1])).otherwise(F.lit(""))
+    pages = read_pages(spark, sf).withColumn("html", F.concat("html", phrase))
+    return pages.select("page_id", contains_any("html", WITHHELD_PHRASES).alias("withheld"))
+
+
+@query("underlined_titles", with_ctes(SNAPSHOT_CTES, """
+SELECT doc_id, '<p>' || title || '</p><u>' || replace(replace(replace(replace(title || ' <x> &lt;y&gt; ', '&lt;', ''), '&gt;', ''), '<', ''), '>', '')
+               || '</u> between <b>1 < 2</b><u>' || chapter || ' ab</u>' AS cleaned
+FROM latest"""))
+def q_underlined_titles(spark, sf):
+    """Brackets planted inside and outside ``<u>`` elements; only those inside go."""
+    latest = _pair(spark, sf)[1]
+    marked = F.concat(F.lit("<p>"), "title", F.lit("</p><u>"), "title", F.lit(" <x> &lt;y&gt; </u> between <b>1 < 2</b><u>"), "chapter", F.lit(" a&gt;b</u>"))
+    return latest.select("doc_id", redline.clean_underlined(marked).alias("cleaned"))
+
+
 # =============================================================================
 # Streaming jobs, run as streams: T1-T4 over files that land in two lots
 # =============================================================================

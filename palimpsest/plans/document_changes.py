@@ -21,6 +21,20 @@ def document_info(rows: DataFrame) -> DataFrame:
                        "title", link.alias("link"))
 
 
+def listed(additions: DataFrame, deletions: DataFrame) -> DataFrame:
+    """P7 + P3 + O1: both lists as published: ``section, section_rank, source, chapter_number, title, html, tracked_changes``.
+
+    Ranked by chapter, last first, within each list.
+    """
+    def table(rows: DataFrame, section: str) -> DataFrame:
+        link = lambda suffix, label: F.concat(F.lit('<a href="chapters/'), F.col("chapter"), F.lit(f'{suffix}" target="_blank">{label}</a>'))
+        return rows.select(F.lit(section).alias("section"), F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"), "title",
+                           F.replace(F.replace(link(".html", "View"), F.lit("—"), F.lit(" ")), F.lit("’"), F.lit("'")).alias("html"),
+                           link(".docx", "Download").alias("tracked_changes"))
+    both = table(additions, "additions").unionByName(table(deletions, "deletions"))
+    return report.ranked(both, F.asc("section"), F.desc("chapter_number"), F.asc("source"), within="section")
+
+
 def change_table(metrics: DataFrame) -> DataFrame:
     """F2 -> P4 -> P3 -> P2: the published change list (sorted by distance)."""
     sig = scoring.significant_changes(metrics)

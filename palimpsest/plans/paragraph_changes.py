@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import any_changed
-from palimpsest.operators import paragraphs, relevance, scoring
+from palimpsest.operators import paragraphs, relevance, report, scoring
 
 
 def trim_space(c):
@@ -82,3 +82,13 @@ def summary_of_logs(plog: DataFrame, llog: DataFrame, refs: DataFrame | None = N
 def chapter_summary(prev: DataFrame, latest: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """:func:`summary_of_logs` on two snapshots."""
     return summary_of_logs(*logs(prev, latest), refs)
+
+
+def chapter_list(summary: DataFrame) -> DataFrame:
+    """W2 + O1: the published list of changed chapters, ranked by their number of changed paragraphs (chapter breaks ties).
+
+    ``summary``: :func:`chapter_summary` with referring documents.
+    """
+    ranked = report.ranked(summary, F.desc("n_paras_with_changes"), F.asc("chapter"), F.asc("doc_id"))
+    return ranked.select("rank", "chapter", F.replace("title", F.lit("Previous"), F.lit("")).alias("title"), F.col("doc_info").alias("found_in"),
+                         "n_paras_with_changes", F.lit("Click to view").alias("link_to_changes"))

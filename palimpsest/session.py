@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 # SQL settings every job relies on; all can be set on a running session, and
@@ -83,7 +84,7 @@ def ship_package(spark: SparkSession) -> None:
     try:
         sc = spark.sparkContext
         app = sc.applicationId
-    except Exception:  # Spark Connect: no SparkContext on the client
+    except (AttributeError, PySparkAttributeError):  # Spark Connect: no SparkContext on the client
         sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
@@ -93,7 +94,7 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:
-                if f.endswith((".py", ".csv")):
+                if f.endswith((".py", ".csv", ".txt")):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     if sc is not None:
@@ -131,3 +132,9 @@ def cut_lineage(df):
     """Materialise ``df`` to the shared checkpoint directory (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job wrote for itself, wherever its file system is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

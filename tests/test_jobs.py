@@ -165,3 +165,23 @@ def test_rank_has_one_range_exchange_and_no_single_task(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "Exchange hashpartitioning(v" not in plan
     assert out.agg(F.max("rank")).first()[0] == 1000
+
+
+def test_chapter_list_is_ranked(spark):
+    from palimpsest.plans.paragraph_changes import chapter_list
+    rows = [(1, "B1", "Previous title", "L1, L2", 3), (2, "A1", "t", "", 3), (3, "C1", "u", "", 9)]
+    got = chapter_list(spark.createDataFrame(rows, "doc_id long, chapter string, title string, doc_info string, n_paras_with_changes long"))
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [
+        (1, "C1", "u", "", 9, "Click to view"), (2, "A1", "t", "", 3, "Click to view"), (3, "B1", " title", "L1, L2", 3, "Click to view")]
+
+
+def test_term_records_defaults(spark):
+    from palimpsest.plans.term_locations import records
+    members = spark.createDataFrame([(1, "g/EN_ch_1.xml", "<d><kh:document-title>A &amp; B</kh:document-title><b>red <i>and</i> blue red</b></d>"),
+                                     (2, "g/odd.xml", "<d>red"), (3, "h/EN_ch_3.xml", "<d>red</d>"), (4, "g/EN_ch_4.txt", "red")],
+                                    "doc_id long, member string, xml string")
+    groups = spark.createDataFrame([("g",)], "grp string")
+    terms = spark.createDataFrame([(1, "red"), (2, "red and")], "term_idx long, term string")
+    got = sorted(tuple(r) for r in records(members, groups, terms).collect())
+    assert got == [("1", "A & B", "EN", "EN_ch_1.xml", "red", 2), ("1", "A & B", "EN", "EN_ch_1.xml", "red and", 3),
+                   ("not found", "not found", "not found", "odd.xml", "red", 1)]
