@@ -16,97 +16,153 @@ from palimpsest.llm.linear import score_column
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 MAX_TRAIN = 2_000  # documents of each language used for the fit
-LONGEST_PIECE = 12  # bytes
-LONGEST_WORD = 24  # bytes; longer words are scored in parts of so many
+SHORT = 24  # bytes of a word whose probability surely fits a double: its sum is made without logarithms
+CELLS = 1 << 20  # numbers of lattices worked on at once, about
 
 
 def read_pieces(path: str = VOCABULARY) -> list[bytes]:
-    """Pieces of a ranked byte-level vocabulary file, up to ``LONGEST_PIECE`` bytes, and all single bytes."""
+    """All pieces of a ranked byte-level vocabulary file, and all single bytes."""
     with open(path, "rb") as f:  # on the driver only; tasks get the pieces by broadcast
         pieces = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
-    return sorted({p for p in pieces if 0 < len(p) <= LONGEST_PIECE} | {bytes([b]) for b in range(256)})
+    return sorted({p for p in pieces if p} | {bytes([b]) for b in range(256)})
 
 
-def piece_keys(pieces: list[bytes]) -> np.ndarray:
-    """A 64-bit key for each piece: the polynomial of its bytes, and its length."""
-    data = np.frombuffer(b"".join(pieces), np.uint8)
-    ends = np.cumsum([len(p) for p in pieces])
-    starts = ends - [len(p) for p in pieces]
-    s, inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
-    return hashed.mix((s[ends] - s[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+class Pieces:
+    """Finds pieces by their hash: the polynomial of the bytes, and the length.
+
+    Hashes are sorted; their upper bits name the few places where one can stand.
+    """
+
+    BITS = 20
+
+    def __init__(self, pieces: list[bytes]):
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum([len(p) for p in pieces])
+        starts = ends - [len(p) for p in pieces]
+        s, inverse = hashed.prefix_sums(data), hashed.powers(hashed._INVERSE, len(data) + 1)
+        keys = hashed.mix((s[ends] - s[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        self.order = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.order]
+        self.longest = max(len(p) for p in pieces)
+        upper = (self.keys >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.start = np.searchsorted(upper, np.arange((1 << self.BITS) + 1)).astype(np.int32)
+        self.most = int(np.diff(self.start).max())
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """The piece of each hash, -1 where there is none."""
+        at = self.start[(h >> np.uint64(64 - self.BITS)).astype(np.int64)]
+        out = np.full(h.shape, -1, np.int32)
+        for _ in range(self.most):
+            place = np.minimum(at, len(self.keys) - 1)
+            hit = self.keys[place] == h
+            out[hit] = self.order[place[hit]]
+            at = at + 1
+        return out
+
+
+class Lattice:
+    """All pieces inside words of one length, the rows of the byte matrix ``m``."""
+
+    def __init__(self, m: np.ndarray, pieces: Pieces):
+        self.size, self.n = m.shape
+        self.pieces = pieces
+        p = hashed.powers(hashed._BASE, self.n + 1)
+        self.inverse = hashed.powers(hashed._INVERSE, self.n + 1)
+        self.sums = np.zeros((self.size, self.n + 1), np.uint64)
+        np.cumsum((m.astype(np.uint64) + np.uint64(1)) * p[:self.n], axis=1, out=self.sums[:, 1:], dtype=np.uint64)
+
+    def spans(self, i: np.ndarray | int, j: np.ndarray | int) -> np.ndarray:
+        """Numbers of the pieces from bytes ``i`` to ``j`` (one of them an array), a row a word."""
+        i, j = np.atleast_1d(i), np.atleast_1d(j)
+        return self.pieces.numbers(hashed.mix((self.sums[:, j] - self.sums[:, i]) * self.inverse[i] + (j - i).astype(np.uint64)))
+
+    def ending(self, j: int) -> tuple[np.ndarray, np.ndarray]:
+        i = np.arange(max(0, j - self.pieces.longest), j)
+        return i, self.spans(i, j)
+
+    def starting(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        j = np.arange(i + 1, min(self.n, i + self.pieces.longest) + 1)
+        return j, self.spans(i, j)
+
+
+def log_sum(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials over the second axis."""
+    top = x.max(axis=1)
+    return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+
+
+def forward(lat: Lattice, logp: np.ndarray) -> np.ndarray:
+    """``[j]``: log of the sum, over all segmentations of a word's first j bytes, of the products of piece probabilities.
+
+    ``logp`` has a row per piece and minus infinity as its last row. Works in
+    logarithms, so words of any length keep their value.
+    """
+    out = np.zeros((lat.n + 1, lat.size, logp.shape[1]))
+    for j in range(1, lat.n + 1):
+        i, piece = lat.ending(j)
+        out[j] = log_sum(out[i].transpose(1, 0, 2) + logp[piece])
+    return out
+
+
+def last_forward(lat: Lattice, logp: np.ndarray) -> np.ndarray:
+    """The last row of :func:`forward`; keeps no more rows than the longest piece is long."""
+    window = np.zeros((1, lat.size, logp.shape[1]))
+    for j in range(1, lat.n + 1):
+        _, piece = lat.ending(j)
+        now = log_sum(window.transpose(1, 0, 2) + logp[piece])
+        window = np.concatenate((window[max(0, j + 1 - lat.pieces.longest) - max(0, j - lat.pieces.longest):], now[None]))
+    return window[-1]
+
+
+def short_forward(lat: Lattice, prob: np.ndarray) -> np.ndarray:
+    """The same sum for words of at most ``SHORT`` bytes, which no product takes out of a double's range: exact without logarithms."""
+    out = np.ones((lat.n + 1, lat.size, prob.shape[1]))
+    for j in range(1, lat.n + 1):
+        i, piece = lat.ending(j)
+        out[j] = (out[i].transpose(1, 0, 2) * prob[piece]).sum(axis=1)
+    return np.log(out[-1])
+
+
+def expected_counts(lat: Lattice, logp: np.ndarray, weight: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total`` how often each piece is expected in the words, by language, each word counting ``weight`` times."""
+    alpha = forward(lat, logp)
+    beta = np.zeros_like(alpha)
+    for i in range(lat.n - 1, -1, -1):
+        j, piece = lat.starting(i)
+        x = beta[j].transpose(1, 0, 2) + logp[piece]
+        beta[i] = log_sum(x)
+        np.add.at(total, piece, np.exp(x + (alpha[i] - alpha[-1])[:, None]) * weight[:, None])
 
 
 def distinct_words(w: hashed.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and length of one occurrence of each distinct word part, and for all parts (row, distinct number)."""
-    length = w.end - w.start
-    parts = (length - 1) // LONGEST_WORD + 1
-    of = np.repeat(np.arange(len(length)), parts)
-    k = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = w.start[of] + k * LONGEST_WORD
-    length = np.minimum(LONGEST_WORD, w.end[of] - start)
-    s, inverse = hashed.prefix_sums(w.data), hashed.powers(hashed._INVERSE, len(w.data) + 1)
-    key = hashed.mix((s[start + length] - s[start]) * inverse[start] + (length.astype(np.uint64) << np.uint64(1)) + (k == 0))
-    _, first, number = np.unique(key, return_index=True, return_inverse=True)
-    return np.stack((start[first], length[first], k[first] == 0)), w.row[of], number
-
-
-def by_length(w: hashed.Words, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct word parts of one length: their numbers and bytes as a matrix; a word's first part has a space before it."""
-    start, length, first = at
-    total = length + first
-    for n in np.unique(total):
-        who = np.flatnonzero(total == n)
-        for lo in range(0, len(who), 20_000):
-            some = who[lo:lo + 20_000]
-            m = w.data[np.clip(start[some, None] - first[some, None] + np.arange(n), 0, None)].copy()
-            m[first[some] == 1, 0] = 32
+    """Start and length of one occurrence of each distinct word, and the distinct number of every word."""
+    _, first, number = np.unique(w.hash, return_index=True, return_inverse=True)
+    return w.start[first], (w.end - w.start)[first], number
+
+
+def by_length(w: hashed.Words, start: np.ndarray, length: np.ndarray, longest: int, langs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct words of one length, about ``CELLS`` numbers of their lattices at a time: their places and bytes, a space before each word."""
+    for n in np.unique(length):
+        who = np.flatnonzero(length == n)
+        step = max(1, CELLS // (int(n + 1) * langs * min(int(n + 1), longest)))
+        for lo in range(0, len(who), step):
+            some = who[lo:lo + step]
+            m = np.full((len(some), n + 1), 32, np.uint8)
+            m[:, 1:] = w.data[start[some, None] + np.arange(n)]
             yield some, m
 
 
-def lattice(m: np.ndarray, keys: np.ndarray, order: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-    """For each span (i, j) of the words in ``m`` the number of the piece that it is, or -1."""
-    n = m.shape[1]
-    p, inverse = hashed.powers(hashed._BASE, n + 1), hashed.powers(hashed._INVERSE, n + 1)
-    s = np.zeros((len(m), n + 1), np.uint64)
-    np.cumsum((m.astype(np.uint64) + np.uint64(1)) * p[:n], axis=1, out=s[:, 1:], dtype=np.uint64)
-    spans = {}
-    for i in range(n):
-        for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-            h = hashed.mix((s[:, j] - s[:, i]) * inverse[i] + np.uint64(j - i))
-            at = np.searchsorted(keys, h).clip(max=len(keys) - 1)
-            spans[i, j] = np.where(keys[at] == h, order[at], -1)
-    return spans
-
-
-def forward(spans: dict, n: int, prob: np.ndarray, size: int) -> list[np.ndarray]:
-    """Sums over all segmentations of each prefix of the products of piece probabilities; prob has -1 as a last row of 0."""
-    alpha = [np.ones((size, prob.shape[1]))]
-    for j in range(1, n + 1):
-        a = np.zeros_like(alpha[0])
-        for i in range(max(0, j - LONGEST_PIECE), j):
-            a += alpha[i] * prob[spans[i, j]]
-        alpha.append(a)
-    return alpha
-
-
-def backward(spans: dict, n: int, prob: np.ndarray, size: int) -> list[np.ndarray]:
-    beta = [np.ones((size, prob.shape[1]))] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        b = np.zeros_like(beta[n])
-        for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-            b += prob[spans[i, j]] * beta[j]
-        beta[i] = b
-    return beta
-
-
-def word_logs(w: hashed.Words, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-probability by language of each distinct word part; row and number of every part."""
-    at, row, number = distinct_words(w)
-    logs = np.zeros((at.shape[1], model["prob"].shape[1]))
-    for some, m in by_length(w, at):
-        spans = lattice(m, model["keys"], model["order"])
-        logs[some] = np.log(forward(spans, m.shape[1], model["prob"], len(m))[-1])
-    return logs, row, number
+def word_logs(w: hashed.Words, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability by language of each distinct word, and the distinct number of every word."""
+    start, length, number = distinct_words(w)
+    langs = model["prob"].shape[1]
+    logs = np.zeros((len(start), langs))
+    with np.errstate(divide="ignore"):
+        logp = np.log(model["prob"])
+    for some, m in by_length(w, start, length, model["pieces"].longest, langs):
+        lat = Lattice(m, model["pieces"])
+        logs[some] = short_forward(lat, model["prob"]) if lat.n <= SHORT else last_forward(lat, logp)
+    return logs, number
 
 
 def sample_words(docs: DataFrame, lang: str, bound: int) -> tuple:
@@ -118,8 +174,8 @@ def sample_words(docs: DataFrame, lang: str, bound: int) -> tuple:
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < chance[F.col(lang)])
 
     def run(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1, 8 << 20):
-            w = hashed.Words(b.column(1))
+        for b in slices(batches, 1):
+            w = hashed.Words(b.column(1), lower=False)
             langs = b.column(0).dictionary_encode()
             code = langs.indices.to_numpy(zero_copy_only=False)[w.row]
             for c in np.unique(code):
@@ -137,17 +193,16 @@ def train(docs: DataFrame, bound: int = MAX_TRAIN, vocabulary: str = VOCABULARY,
 
     Learns from rows with text and a language that are not held out, at most
     about ``bound`` a language (chosen by a hash of the id). Tasks gather
-    expected counts; the driver gets one number a language and piece. Counts
-    are smoothed towards those of all languages together and a small floor.
+    expected counts over whole words, letter case kept and with all pieces of
+    the vocabulary; the driver gets one number a language and piece. Counts are
+    smoothed towards those of all languages together and a small floor.
     """
     spark = with_workers(docs.sparkSession)
     known = docs.select("doc_id", F.col(text).alias("text"), F.col(lang).alias(lang)).where(
         F.col("text").isNotNull() & F.col(lang).isNotNull() & ~is_held_out(F.col("doc_id")))
     pieces = read_pieces(vocabulary)
-    keys = piece_keys(pieces)
-    order = np.argsort(keys)
     words, langs = sample_words(known, lang, bound)
-    model = {"keys": keys[order], "order": order, "langs": langs}
+    model = {"pieces": Pieces(pieces), "langs": langs}
     length = np.array([len(p) for p in pieces])
     flat = 0.02 ** length  # start: short pieces likely, each byte costs as much
     prob = np.tile((flat / flat.sum())[:, None], (1, len(langs)))
@@ -160,22 +215,17 @@ def train(docs: DataFrame, bound: int = MAX_TRAIN, vocabulary: str = VOCABULARY,
         def expect(batches: Iterator, shared=shared) -> Iterator:
             m = shared.value
             code = {x: i for i, x in enumerate(m["langs"])}
-            for b in batches:
-                if not b.num_rows:
-                    continue
+            with np.errstate(divide="ignore"):
+                logp = np.log(m["prob"])
+            for b in slices(batches, 1):
                 total = np.zeros((len(m["prob"]), len(code)))
                 w = hashed.Words(b.column(1), np.zeros(256, bool), lower=False)
-                at, row, number = distinct_words(w)
-                weight = np.zeros((at.shape[1], len(code)))
+                start, length, number = distinct_words(w)
+                weight = np.zeros((len(start), len(code)))
                 which = np.array([code[x] for x in b.column(0).to_pylist()])
-                np.add.at(weight, (number, which[row]), b.column(2).to_numpy()[row])
-                for some, mat in by_length(w, at):
-                    n = mat.shape[1]
-                    spans = lattice(mat, m["keys"], m["order"])
-                    alpha, beta = forward(spans, n, m["prob"], len(mat)), backward(spans, n, m["prob"], len(mat))
-                    scale = weight[some] / alpha[-1]
-                    for (i, j), piece in spans.items():
-                        np.add.at(total, piece, alpha[i] * m["prob"][piece] * beta[j] * scale)
+                np.add.at(weight, (number, which[w.row]), b.column(2).to_numpy()[w.row])
+                for some, mat in by_length(w, start, length, m["pieces"].longest, len(code)):
+                    expected_counts(Lattice(mat, m["pieces"]), logp, weight[some], total)
                 total[-1] = 0
                 p, c = np.nonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(total[p, c])], names=["p", "c", "n"])
@@ -207,14 +257,14 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     def run(col: pa.Array) -> list:
         if not langs:
             return [pa.array(["und"] * len(col)), np.zeros(len(col))]
-        w = hashed.Words(col)
-        logs, row, number = word_logs(w, shared.value)
-        total = np.stack([np.bincount(row, logs[number, k], minlength=len(col)) for k in range(len(langs))], axis=1)
+        w = hashed.Words(col, lower=False)
+        logs, number = word_logs(w, shared.value)
+        total = np.stack([np.bincount(w.row, logs[number, k], minlength=len(col)) for k in range(len(langs))], axis=1)
         best = total.argmax(axis=1)
         share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         return [pa.array(np.array(langs, object)[best], pa.string()), share]
     out = score_column(docs.select("doc_id", text, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters")),
-                       ["doc_id", "_letters"], text, "lang_pred string, score double", run, max_bytes=8 << 20)
+                       ["doc_id", "_letters"], text, "lang_pred string, score double", run)
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"),
                       F.when(F.col("_letters"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
                       F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"))

@@ -2,17 +2,19 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import textwrap
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from palimpsest.llm import (decontaminate, jaccard, langid, license_scan, linear, mixing, quality, simhash,
+from palimpsest.llm import (decontaminate, hashed, jaccard, langid, license_scan, linear, mixing, quality, simhash,
                             suffix_dedup, toxicity, url_filter)
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -329,20 +331,51 @@ def test_language_from_pieces(spark):
     assert langid.identify_documents(frame(spark, rows).where("doc_id < 0")).count() == 0
 
 
-def test_forward_sums_all_segmentations():
-    import numpy as np
-    import pyarrow as pa
-
-    from palimpsest.llm import hashed
-    pieces = sorted({b" a", b"ab", b"b", b"abc"} | {bytes([x]) for x in range(256)})
+@pytest.fixture()
+def small_vocabulary():
+    pieces = sorted({b" a", b"ab", b"b", b"abc", b"Ab", b"abcababcababcababcab", b" abcabab"} | {bytes([x]) for x in range(256)})
     prob = np.linspace(0.001, 0.004, len(pieces))
-    keys = langid.piece_keys(pieces)
-    order = np.argsort(keys)
-    logs, _, number = langid.word_logs(hashed.Words(pa.array(["abcab"])), {"keys": keys[order], "order": order, "prob": np.append(prob, 0)[:, None]})
-
-    def total(s):
-        return 1.0 if not s else sum(prob[pieces.index(s[:j])] * total(s[j:]) for j in range(1, len(s) + 1) if s[:j] in pieces)
-    assert abs(np.exp(logs[number[0], 0]) / total(b" abcab") - 1) < 1e-9
+    return pieces, prob, {"pieces": langid.Pieces(pieces), "langs": ["x"], "prob": np.append(prob, 0)[:, None]}
+
+
+def all_segmentations(s, pieces, prob):
+    """Log of the sum over all segmentations, and the expected count of each piece, with fractions of any size."""
+    from fractions import Fraction
+    place = {p: Fraction(float(prob[i])) for i, p in enumerate(pieces)}
+    spans = [(i, j) for i in range(len(s)) for j in range(i + 1, len(s) + 1) if s[i:j] in place]
+    ahead, behind = [Fraction(0)] * len(s) + [Fraction(1)], [Fraction(1)] + [Fraction(0)] * len(s)
+    for i, j in sorted(spans, key=lambda x: x[1]):
+        behind[j] += behind[i] * place[s[i:j]]
+    for i, j in sorted(spans, reverse=True):
+        ahead[i] += place[s[i:j]] * ahead[j]
+    count = collections.Counter()
+    for i, j in spans:
+        count[s[i:j]] += behind[i] * place[s[i:j]] * ahead[j] / ahead[0]
+    top = behind[-1]
+    return math.log(top.numerator) - math.log(top.denominator), {k: float(v) for k, v in count.items()}
+
+
+@pytest.mark.parametrize("word", ["abcab", "Abab", "abc" + "abcab" * 7, "abcab" * 60, "漢字abcab", "x"])
+def test_forward_sums_all_segmentations(small_vocabulary, word):
+    pieces, prob, model = small_vocabulary
+    logs, number = langid.word_logs(hashed.Words(pa.array([f"{word} {word}"]), lower=False), model)
+    want, count = all_segmentations(b" " + word.encode(), pieces, prob)
+    assert number.tolist() == [0, 0] and abs(logs[0, 0] / want - 1) < 1e-9
+    total = np.zeros((len(pieces) + 1, 1))
+    with np.errstate(divide="ignore"):
+        langid.expected_counts(langid.Lattice(np.frombuffer(b" " + word.encode(), np.uint8)[None], model["pieces"]), np.log(model["prob"]),
+                               np.array([[2.0]]), total)
+    got = {pieces[i]: total[i, 0] for i in np.flatnonzero(total[:-1, 0])}
+    assert got.keys() == count.keys() and all(abs(got[k] / (2 * count[k]) - 1) < 1e-6 for k in got)
+
+
+def test_case_and_long_pieces_count(small_vocabulary):
+    pieces, _, model = small_vocabulary
+    number = {p: i for i, p in enumerate(pieces)}
+    data = np.frombuffer(b"xAbabcababcababcababcab", np.uint8)
+    lat = langid.Lattice(data[None], model["pieces"])
+    assert lat.spans(1, 3)[0, 0] == number[b"Ab"] and lat.spans(3, 23)[0, 0] == number[b"abcababcababcababcab"] and lat.spans(0, 2)[0, 0] == -1
+    assert len(langid.read_pieces()) > 50_000 and langid.Pieces(langid.read_pieces()).longest == 33
 
 
 def labelled(spark):
