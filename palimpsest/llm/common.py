@@ -29,6 +29,14 @@ def with_workers(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (letter case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z only; other letters stay."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

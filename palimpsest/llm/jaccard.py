@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm import hashed
-from palimpsest.llm.common import WORD, Sieve, cut_lineage, min_labels, slices, with_workers
+from palimpsest.llm.common import WORD, Sieve, cut_lineage, free_name, min_labels, slices, with_workers
 
 GROUP = 64  # texts in a group of the matrix, about
 BUNDLE = 1 << 21  # bytes of tokens in a bundle of groups, about
@@ -291,13 +291,14 @@ def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     and the first by a digest of all columns stays. Rows of other components
     stay whatever their ids are.
     """
+    own, t, every, nth = (free_name(docs, n) for n in ("_id", "_t", "_all", "_nth"))
     keep = (_labelled(docs, k, percent, "doc_id", "text").where("label IS NOT NULL")
             .groupBy("label").agg(F.min(F.struct("id", "c", "t")).alias("first"))
-            .select(F.col("first.id").alias("_id"), F.col("first.t").alias("_t")))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_t": F.xxhash64(F.coalesce("text", F.lit("")))})
-    same = Window.partitionBy("_id", "_t").orderBy("_all")
-    first = (keyed.join(keep, ["_id", "_t"], "left_semi").withColumn("_all", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-             .withColumn("_nth", F.row_number().over(same)).where("_nth = 1"))
-    wordless = docs.where(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
+            .select(F.col("first.id").alias(own), F.col("first.t").alias(t)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumns({own: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), t: F.xxhash64(F.coalesce("text", F.lit("")))})
+    same = Window.partitionBy(own, t).orderBy(every)
+    first = (keyed.join(keep, [own, t], "left_semi").withColumn(every, F.xxhash64(*columns))
+             .withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1))
+    wordless = docs.where(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
     return first.select(*columns).union(wordless.select(*columns))

@@ -42,12 +42,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, m
                 key: str | None = None) -> DataFrame:
     """Words each document gives to a mix of its sources: one row per row of ``docs``.
 
-    Within a source documents queue in shuffled order (md5 of seed and id). A
+    Within a source documents queue in shuffled order (md5 of seed, id and a
+    digest of the text, so that rows that share an id spread too). A
     document's virtual finish time is the source's words up to its end over
     the source's target; a further pass through the source adds its size.
     All passes are ordered by finish time over all sources, and the mix is cut
     where the running total meets the budget. A pass that would go beyond its
-    source's target is cut there, so each source meets its target to a word.
+    source's target, rounded up, is cut there, and the budget is rounded down,
+    so the sources' taken words miss their targets by about the number of
+    sources at most.
 
     Returns ``doc_id, source, size, source_size, target, taken, mix_offset``;
     ``mix_offset`` counts the words of the mix before the document's first
@@ -57,14 +60,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], share: float = 1.5, m
 
     Running totals are made in two steps (sums of buckets, then offsets inside
     each), with the square root of the document count as bucket count, so that
-    a source with most of the rows is spread like any other.
+    a source with most of the rows is spread like any other; so is a null or
+    repeated id. Only rows equal in source, id and text share a place.
     """
     own = ["key"] if key else []
     rows = docs.select(
         F.col(doc_id).alias("id"), *[F.col(key).alias(x) for x in own],
         F.coalesce(F.concat(F.lit("1"), F.col(source)), F.lit("2")).alias("skey"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary")).alias("shuf"))
+        F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"),
+                       F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).cast("binary")).alias("shuf"))
     nb = max(1, math.isqrt(docs.count()))
     rows = cut_lineage(rows.withColumn(
         "bucket", F.floor(F.conv(F.substring("shuf", 1, 8), 16, 10).cast("long") * nb / F.lit(2 ** 32)).cast("int")))
@@ -107,7 +112,7 @@ ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce('1' || source, '2') AS skey,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS shuf
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS shuf
   FROM documents),
 s AS (SELECT skey, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY skey),
 r AS (SELECT *, row_number() OVER (ORDER BY skey) AS rank FROM s),

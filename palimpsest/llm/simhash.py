@@ -108,6 +108,8 @@ def fingerprint_documents(docs: DataFrame, radius: int = 3, every: int = 100, do
     an id have the same next document; if the next id itself repeats, the
     smallest of the beginnings and fingerprints counts. A lone document is its own next.
     """
+    # rows that share an id join its next document's beginning on one key: such a join is split even where that costs a further exchange
+    docs.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     follow = next_ids(d.groupBy("id").agg(F.max(F.floor(F.length("text") / 4)).alias("most")))
     heads = (d.join(follow.select(F.col("id").alias("of"), F.col("next_id").alias("id"), "most"), "id")
