@@ -14,6 +14,12 @@ WITHHELD_PHRASES = [
     "content has been withheld because of exemptions in the Freedom of Information Act",
     "Page Archived",
 ]
+# Published markup: links to a document's pages, the change summary, a link's label.
+CHAPTER_FOLDER = "chapters/"
+VIEW_LINK = ('<a href="', '" target="_blank">View</a>')
+DOWNLOAD_LINK = ('<a href="', '" target="_blank">Download</a>')
+CHANGE_INFO = "Lev Distance: %d<br />CharCountDiff: %d<br />Changed paras: %d out of %d"
+CLICK_TO_VIEW = "Click to view"
 # Placeholders used when a field is missing.
 NOT_FOUND = "not found"
 NOT_AVAILABLE = "NA"

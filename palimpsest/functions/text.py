@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from palimpsest.constants import (
+    CHAPTER_FOLDER,
     LEVCHAR_LENGTH_LIMIT,
     LEVCHAR_MARGIN,
     NOISE_MARKERS,
@@ -148,3 +149,13 @@ def list_to_text(c, sep: str = ", ") -> Column:
 def content_hash(c) -> Column:
     """64-bit content fingerprint used as a narrow join / comparison key."""
     return F.xxhash64(_col(c))
+
+
+def link_to(target, around: tuple[str, str]) -> Column:
+    """A published link to ``target``, between the two fixed parts ``around``."""
+    return F.concat(F.lit(around[0]), _col(target), F.lit(around[1]))
+
+
+def chapter_link(chapter, suffix: str, around: tuple[str, str]) -> Column:
+    """A published link to one of a chapter's files."""
+    return link_to(F.concat(F.lit(CHAPTER_FOLDER), _col(chapter), F.lit(suffix)), around)

@@ -11,16 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from palimpsest.constants import METRICS_DATE_FORMAT
+from palimpsest.constants import CHANGE_INFO, METRICS_DATE_FORMAT, VIEW_LINK
+from palimpsest.functions.text import chapter_link
 from palimpsest.session import cut_lineage
 
 
 def change_info(metrics: DataFrame) -> DataFrame:
     """P4 + P3: the human-readable change summary and view link per document."""
-    info = F.format_string("Lev Distance: %d<br />CharCountDiff: %d<br />Changed paras: %d out of %d",
-                           "lev_distance", "char_count_diff", "para_change_count", "para_count")
-    link = F.concat(F.lit('<a href="chapters/'), F.col("chapter_number"), F.lit('.html" target="_blank">View</a>'))
-    return metrics.withColumn("change_info", info).withColumn("html", link)
+    info = F.format_string(CHANGE_INFO, "lev_distance", "char_count_diff", "para_change_count", "para_count")
+    return metrics.withColumn("change_info", info).withColumn("html", chapter_link("chapter_number", ".html", VIEW_LINK))
 
 
 def sorted_changes(metrics: DataFrame) -> DataFrame:

@@ -17,10 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.constants import REPORT_DATE_FORMAT, SIGNIFICANCE_THRESHOLD, VERSION_DATE_FORMAT, WITHHELD_PHRASES
+from palimpsest.constants import REPORT_DATE_FORMAT, SIGNIFICANCE_THRESHOLD, VERSION_DATE_FORMAT, VIEW_LINK, WITHHELD_PHRASES
 from palimpsest.functions.html import article_body, clean_redline, strip_navigation
 from palimpsest.functions.markup import close_void, strip_stray_brackets
-from palimpsest.functions.text import contains_any, exceeds_distance, title_case_words
+from palimpsest.functions.text import contains_any, exceeds_distance, link_to, title_case_words
 from palimpsest.operators import feed
 
 
@@ -50,11 +50,6 @@ def update_table(classified: DataFrame, run_date: str) -> DataFrame:
         F.date_format(day, REPORT_DATE_FORMAT).alias("report_date"))
 
 
-def view_link(target) -> Column:
-    """A link that opens ``target`` in a new window."""
-    return F.concat(F.lit('<a href="'), target, F.lit('" target="_blank">View</a>'))
-
-
 def update_record(rows: DataFrame, run_date: str) -> DataFrame:
     """The whole published record of an update.
 
@@ -65,8 +60,8 @@ def update_record(rows: DataFrame, run_date: str) -> DataFrame:
     key = F.concat_ws("-", F.col("chapter"), F.date_format(day, VERSION_DATE_FORMAT))
     return rows.select(
         title_case_words("manual").alias("manual"), F.upper("chapter").alias("chapter"), "title", "update_type",
-        view_link(F.col("url")).alias("source_link"),
-        view_link(F.concat("manual", F.lit("/"), key, F.lit(".html"))).alias("archive_link"),
+        link_to("url", VIEW_LINK).alias("source_link"),
+        link_to(F.concat("manual", F.lit("/"), key, F.lit(".html")), VIEW_LINK).alias("archive_link"),
         "above_threshold", key.alias("version_key"), F.date_format(day, REPORT_DATE_FORMAT).alias("report_date"))
 
 

@@ -11,14 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.constants import DOWNLOAD_LINK, VIEW_LINK
+from palimpsest.functions.text import chapter_link
 from palimpsest.operators import relevance, report, scoring, snapshot
 
 
 def document_info(rows: DataFrame) -> DataFrame:
     """Source, chapter, title and link of listed documents (additions or deletions, as J2 and J1 return them)."""
-    link = F.concat(F.lit('<a href="chapters/'), F.col("chapter"), F.lit('.html" target="_blank">View</a>'))
     return rows.select("doc_id", F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"),
-                       "title", link.alias("link"))
+                       "title", chapter_link("chapter", ".html", VIEW_LINK).alias("link"))
 
 
 def listed(additions: DataFrame, deletions: DataFrame) -> DataFrame:
@@ -27,10 +28,10 @@ def listed(additions: DataFrame, deletions: DataFrame) -> DataFrame:
     Ranked by chapter, last first, within each list.
     """
     def table(rows: DataFrame, section: str) -> DataFrame:
-        link = lambda suffix, label: F.concat(F.lit('<a href="chapters/'), F.col("chapter"), F.lit(f'{suffix}" target="_blank">{label}</a>'))
+        view = chapter_link("chapter", ".html", VIEW_LINK)
         return rows.select(F.lit(section).alias("section"), F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"), "title",
-                           F.replace(F.replace(link(".html", "View"), F.lit("—"), F.lit(" ")), F.lit("’"), F.lit("'")).alias("html"),
-                           link(".docx", "Download").alias("tracked_changes"))
+                           F.replace(F.replace(view, F.lit("—"), F.lit(" ")), F.lit("’"), F.lit("'")).alias("html"),
+                           chapter_link("chapter", ".docx", DOWNLOAD_LINK).alias("tracked_changes"))
     both = table(additions, "additions").unionByName(table(deletions, "deletions"))
     return report.ranked(both, F.asc("section"), F.desc("chapter_number"), F.asc("source"), within="section")
 
@@ -39,13 +40,11 @@ def change_table(metrics: DataFrame) -> DataFrame:
     """F2 -> P4 -> P3 -> P2: the published change list (sorted by distance)."""
     sig = scoring.significant_changes(metrics)
     info = report.change_info(sig)
-    tracked = F.concat(F.lit('<a href="chapters/'), F.col("chapter_number"),
-                       F.lit('-comp.docx" target="_blank">Download</a>'))
     out = info.select(
         "doc_id", "source", "chapter_number", "title",
         F.col("lev_distance").cast("int").alias("lev_distance"),
         F.col("change_info"), F.replace(F.replace("html", F.lit("—"), F.lit(" ")), F.lit("’"), F.lit("'")).alias("html"),
-        tracked.alias("tracked_changes"))
+        chapter_link("chapter_number", "-comp.docx", DOWNLOAD_LINK).alias("tracked_changes"))
     return out
 
 

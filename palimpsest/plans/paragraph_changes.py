@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.constants import CLICK_TO_VIEW
 from palimpsest.functions.text import any_changed
 from palimpsest.operators import paragraphs, relevance, report, scoring
 
@@ -91,4 +92,4 @@ def chapter_list(summary: DataFrame) -> DataFrame:
     """
     ranked = report.ranked(summary, F.desc("n_paras_with_changes"), F.asc("chapter"), F.asc("doc_id"))
     return ranked.select("rank", "chapter", F.replace("title", F.lit("Previous"), F.lit("")).alias("title"), F.col("doc_info").alias("found_in"),
-                         "n_paras_with_changes", F.lit("Click to view").alias("link_to_changes"))
+                         "n_paras_with_changes", F.lit(CLICK_TO_VIEW).alias("link_to_changes"))
