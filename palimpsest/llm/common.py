@@ -109,8 +109,26 @@ def min_labels(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
     return down.union(roots)
 
 
-def slices(batches: Iterator, text: int, max_bytes: int = 4 << 20) -> Iterator:
-    """Arrow batches cut into runs of rows whose text column holds about ``max_bytes`` (one row at least)."""
+def give_back() -> None:
+    """Hand memory that this worker no longer uses back to the system, where the C library can do that.
+
+    Workers wait for further tasks, of other stages too, with what they have
+    allocated; several of them share an executor's memory.
+    """
+    import ctypes
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def slices(batches: Iterator, text: int, max_bytes: int = 1 << 20) -> Iterator:
+    """Arrow batches cut into runs of rows whose text column holds about ``max_bytes`` (one row at least).
+
+    numpy needs some 30 to 60 times as much for hashes of bytes and words; at
+    the end of the task it goes back to the system.
+    """
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -124,6 +142,7 @@ def slices(batches: Iterator, text: int, max_bytes: int = 4 << 20) -> Iterator:
             hi = max(lo + 1, int(np.searchsorted(size, base + max_bytes, side="right")))
             yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo) for c in batch.columns], schema=batch.schema)
             lo = hi
+    give_back()
 
 
 def schema_of(ddl: str) -> T.StructType:

@@ -39,11 +39,11 @@ def presence_hashes(col: pa.Array, swap: dict[int, int] | None = None) -> tuple[
     return np.concatenate(rows).astype(np.int64), (np.concatenate(out) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
-def word_presence(col: pa.Array, swap: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, feature, 1)``, sorted, for each distinct feature of a row."""
+def word_presence(col: pa.Array, swap: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, None]:
+    """``(row, feature, None)``, sorted, for each distinct feature of a row; its value is 1."""
     row, f = presence_hashes(col, swap)
     pairs = np.unique(row << WORD_BITS | f)
-    return pairs >> WORD_BITS, pairs & ((1 << WORD_BITS) - 1), np.ones(len(pairs))
+    return pairs >> WORD_BITS, pairs & ((1 << WORD_BITS) - 1), None
 
 
 def word_rates(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,8 +75,9 @@ def word_rates(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def collect_examples(texts: DataFrame, features: Callable, swap: dict[int, int] | None = None) -> tuple:
     """Feature vectors of a bounded set of labelled texts (columns ``y``, ``text``), made in tasks.
 
-    Returns ``y`` and per example ``(features, values)``, and for examples
-    that hold a term of ``swap`` the features with the terms swapped.
+    Returns ``y`` and per example ``(features, values)``, values being None
+    where all are 1, and for examples that hold a term of ``swap`` the features
+    with the terms swapped.
     """
     def run(batches: Iterator) -> Iterator:
         for b in slices(batches, 1):
@@ -93,12 +94,12 @@ def collect_examples(texts: DataFrame, features: Callable, swap: dict[int, int]
                         other[i] = x.astype(np.int32).tobytes()
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([f[a:z].astype(np.int32).tobytes() for a, z in zip(cut, cut[1:])], pa.binary()),
-                pa.array([v[a:z].astype(np.float32).tobytes() for a, z in zip(cut, cut[1:])], pa.binary()),
+                pa.array([None if v is None else v[a:z].astype(np.float32).tobytes() for a, z in zip(cut, cut[1:])], pa.binary()),
                 pa.array(other, pa.binary())], names=["y", "f", "v", "other"])
     rows = texts.select(F.col("y").cast("double"), "text").mapInArrow(run, "y double, f binary, v binary, other binary").collect()
-    rows.sort(key=lambda r: (r["f"], r["v"], r["y"]))  # the fit doesn't depend on the order of tasks
+    rows.sort(key=lambda r: (r["f"], r["v"] or b"", r["y"]))  # the fit doesn't depend on the order of tasks
     return (np.array([r["y"] for r in rows]), [np.frombuffer(r["f"], np.int32) for r in rows],
-            [np.frombuffer(r["v"], np.float32) for r in rows],
+            [None if r["v"] is None else np.frombuffer(r["v"], np.float32) for r in rows],
             [None if r["other"] is None else np.frombuffer(r["other"], np.int32) for r in rows])
 
 
@@ -132,19 +133,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, doc_id: str,
     """About ``bound`` labelled documents at most: ``(y, text)``, chosen by a hash of the id.
 
     ``labels`` has columns ``doc_id`` and ``y``. The chosen ids, bounded by
-    ``bound``, are broadcast; texts are not shuffled.
+    ``bound``, are broadcast. Rows that share an id are one example: of its
+    texts, null being empty, that with the least digest; so however often an
+    id repeats, ``bound`` holds for examples. Rows without an id are none.
     """
     n = labels.count()
     picked = labels
     if n > bound:
         picked = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * bound / n))
     picked = picked.select(F.col("doc_id").alias("_id"), "y").distinct()
-    return (docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-            .join(F.broadcast(picked), "_id").select("y", "text"))
+    rows = (docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+            .join(F.broadcast(picked), "_id"))
+    return rows.groupBy("_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("d"), "text"))["text"].alias("text")).select("y", "text")
 
 
 def score_column(docs: DataFrame, cols: list[str], text: str, ddl: str, score: Callable,
-                 max_bytes: int = 4 << 20) -> DataFrame:
+                 max_bytes: int = 1 << 20) -> DataFrame:
     """``cols`` of ``docs`` and what ``score`` makes of the text column, batch by batch."""
     names = [x.split()[0] for x in ddl.split(",")]
     out = docs.select(*cols).schema
