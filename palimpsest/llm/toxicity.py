@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm import hashed, linear
-from palimpsest.llm.common import is_held_out, slices, with_workers
+from palimpsest.llm.common import give_back, is_held_out, slices, with_workers
 
 # --- fixed values: identity terms, each list of one kind; a term is swapped for the next of its list -----
 IDENTITY_TERMS = (
@@ -31,14 +31,29 @@ def swaps(terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> dict[int, int]:
 
 def telling(y: np.ndarray, f: list[np.ndarray], least: float) -> np.ndarray:
     """Features whose presence goes with the label: chi-square (1 degree of freedom) of ``least`` or more, ascending."""
-    size = 1 << linear.WORD_BITS
+    counts = np.zeros((2, 1 << linear.WORD_BITS), np.int32)  # texts that hold a feature, by label
+    for label, features in zip(y, f):
+        counts[int(label), features] += 1  # a text names each of its features once
+    there = np.flatnonzero(counts.any(axis=0))
+    a, seen = counts[1, there].astype(float), counts[:, there].sum(axis=0).astype(float)
     n, n1 = len(y), y.sum()
-    ones, zeros = ([f[i] for i in np.flatnonzero(y == v)] for v in (1, 0))
-    a = np.bincount(np.concatenate([*ones, np.empty(0, np.int64)]).astype(np.int64), minlength=size).astype(float)
-    seen = a + np.bincount(np.concatenate([*zeros, np.empty(0, np.int64)]).astype(np.int64), minlength=size)
     spread = seen * (n - seen) * n1 * (n - n1)
     chi = n * np.maximum(np.abs(a * n - seen * n1) - n / 2, 0) ** 2 / np.maximum(spread, 1)
-    return np.flatnonzero(chi >= least)
+    return there[chi >= least]
+
+
+def gradient_of(x: linear.Sparse, y: np.ndarray, own: linear.Sparse | None, swapped: linear.Sparse | None, size: int,
+                penalty: float, ridge: float) -> Callable:
+    """Gradient, by weights and intercept, of the mean over texts of: log loss, ``ridge`` / 2 times the squared weights,
+    ``penalty`` times the squared change of the logit from ``own`` to ``swapped`` texts."""
+    def gradient(w: np.ndarray) -> np.ndarray:
+        p = 1 / (1 + np.exp(-np.clip(x.dot(w[:-1]) + w[-1], -30, 30)))
+        g = x.back(p - y, size) + ridge * w[:-1]
+        if own:
+            change = own.dot(w[:-1]) - swapped.dot(w[:-1])
+            g = g + 2 * penalty * (own.back(change, size) - swapped.back(change, size))
+        return np.append(g, (p - y).sum()) / len(y)
+    return gradient
 
 
 def fit(examples: tuple, penalty: float = 10.0, ridge: float = 1.0, least: float = 20.0, steps: int = 200) -> dict:
@@ -60,16 +75,7 @@ def fit(examples: tuple, penalty: float = 10.0, ridge: float = 1.0, least: float
     x = chosen(f)
     pairs = [i for i, o in enumerate(other) if o is not None]
     own, swapped = chosen([f[i] for i in pairs]), chosen([other[i] for i in pairs])
-    n = len(y)
-
-    def gradient(w: np.ndarray) -> np.ndarray:
-        p = 1 / (1 + np.exp(-np.clip(x.dot(w[:-1]) + w[-1], -30, 30)))
-        g = x.back(p - y, size) + ridge * w[:-1]
-        if pairs:
-            change = own.dot(w[:-1]) - swapped.dot(w[:-1])
-            g = g + 2 * penalty * (own.back(change, size) - swapped.back(change, size))
-        return np.append(g, (p - y).sum()) / n
-    w = linear.descend(gradient, np.append(np.zeros(size), np.log(y.mean() / (1 - y.mean()))), steps, 0.2)
+    w = linear.descend(gradient_of(x, y, pairs and own, pairs and swapped, size, penalty, ridge), np.append(np.zeros(size), np.log(y.mean() / (1 - y.mean()))), steps, 0.2)
     return {"features": keep, "weights": w[:-1], "bias": w[-1]}
 
 
@@ -89,7 +95,9 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN, terms: Seq
     with_workers(docs.sparkSession)
     known = labels.where(F.col("y").isNotNull() & ~is_held_out(F.col("doc_id")))
     sample = linear.labelled_sample(docs, known, bound, doc_id, text)
-    return fit(linear.collect_examples(sample, linear.word_presence, swaps(terms)), penalty)
+    model = fit(linear.collect_examples(sample, linear.word_presence, swaps(terms)), penalty)
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: dict, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -108,7 +116,12 @@ def toxic_labels(labels: DataFrame) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+    """``doc_id, held_out, score, predicted`` for every row of ``docs``.
+
+    Null and empty texts get the intercept's score; repeated rows are judged
+    alike, no rows give no rows; without labels, or with one label only, the
+    score is the same for all.
+    """
     return (score(docs, train(docs, toxic_labels(labels))).withColumn("held_out", is_held_out(F.col("doc_id")))
             .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
