@@ -97,13 +97,18 @@ def _keys(col: pa.Array, ids: pa.Array) -> np.ndarray:
     return s.keys(ids.to_numpy())
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    """``rows`` (``id``, ``text`` and others) with ``key`` in place of ``id``."""
+def _keyed(rows: DataFrame, sieve: Sieve | None = None, keep: bool = True) -> DataFrame:
+    """``rows`` (``id``, ``text`` and others) with ``key`` in place of ``id``; with ``sieve`` those that may be in it (or not ``keep``: the others).
+
+    One pass through Python does both, so that an executor runs one worker a task.
+    """
     names = ["key", *rows.columns[1:]]
 
     def run(batches: Iterator) -> Iterator:
         for b in slices(batches, 1, SLICE):
-            yield pa.RecordBatch.from_arrays([_i64(_keys(b.column(1), b.column(0))), *b.columns[1:]], names=names)
+            key = _keys(b.column(1), b.column(0))
+            out = pa.RecordBatch.from_arrays([_i64(key), *b.columns[1:]], names=names)
+            yield out.filter(pa.array(sieve.may_hold(key) == keep)) if sieve else out
     return rows.mapInArrow(run, rows.withColumnRenamed("id", "key").schema)
 
 
@@ -183,7 +188,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 200, doc_id:
             yield pa.RecordBatch.from_arrays([_i64(h[take]), b.column(0).take(pa.array(of[which[take]])), _i64(start[take])], names=["string", "key", "start"])
     asked = cut_lineage(asked)
     ddl = "string long, key long, start long"
-    keyed = Sieve(asked, F.col("key")).rows(_keyed(d), "key").dropDuplicates(["key"]).join(asked, "key")
+    keyed = _keyed(d, Sieve(asked, F.col("key"))).dropDuplicates(["key"]).join(asked, "key")
     again = cut_lineage(keyed.mapInArrow(strings, ddl).groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"))
     twice_there = Sieve(again, F.col("string"))
     edges = (keyed.mapInArrow(lambda batches: strings(batches, twice_there), ddl).join(again, "string")
@@ -215,7 +220,7 @@ def _with_spans(docs: DataFrame, length: int, core: int, doc_id: str, text: str,
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("r"))
     some = Sieve(spans, F.col("key"))  # documents without repeats are not shuffled
-    cut, whole = (some.rows(_keyed(rows), "key", keep) for keep in (True, False))
+    cut, whole = (_keyed(rows, some, keep) for keep in (True, False))
     out = cut.join(spans, "key", "left").select("r", "text", *spans.columns[1:])
     return out.union(whole.select("r", "text", *[F.lit(None).cast(spans.schema[c].dataType).alias(c) for c in spans.columns[1:]]))
 
