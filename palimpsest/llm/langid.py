@@ -18,6 +18,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 MAX_TRAIN = 2_000  # documents of each language used for the fit
 SHORT = 24  # bytes of a word whose probability surely fits a double: its sum is made without logarithms
 CELLS = 1 << 20  # numbers of lattices worked on at once, about
+SLICE = 8 << 20  # bytes of text whose distinct words are scored together
 
 
 def read_pieces(path: str = VOCABULARY) -> list[bytes]:
@@ -47,16 +48,17 @@ class Pieces:
         upper = (self.keys >> np.uint64(64 - self.BITS)).astype(np.int64)
         self.start = np.searchsorted(upper, np.arange((1 << self.BITS) + 1)).astype(np.int32)
         self.most = int(np.diff(self.start).max())
+        self.keys = np.append(self.keys, np.repeat(self.keys[-1:], self.most))  # a look beyond the last finds nothing new
+        self.order = np.append(self.order, np.repeat(self.order[-1:], self.most))
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
         """The piece of each hash, -1 where there is none."""
         at = self.start[(h >> np.uint64(64 - self.BITS)).astype(np.int64)]
         out = np.full(h.shape, -1, np.int32)
-        for _ in range(self.most):
-            place = np.minimum(at, len(self.keys) - 1)
+        for step in range(self.most):
+            place = at + step if step else at
             hit = self.keys[place] == h
             out[hit] = self.order[place[hit]]
-            at = at + 1
         return out
 
 
@@ -119,7 +121,7 @@ def short_forward(lat: Lattice, prob: np.ndarray) -> np.ndarray:
     out = np.ones((lat.n + 1, lat.size, prob.shape[1]))
     for j in range(1, lat.n + 1):
         i, piece = lat.ending(j)
-        out[j] = (out[i].transpose(1, 0, 2) * prob[piece]).sum(axis=1)
+        out[j] = np.einsum("kwl,wkl->wl", out[i], prob[piece])
     return np.log(out[-1])
 
 
@@ -174,7 +176,7 @@ def sample_words(docs: DataFrame, lang: str, bound: int) -> tuple:
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < chance[F.col(lang)])
 
     def run(batches: Iterator) -> Iterator:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             w = hashed.Words(b.column(1), lower=False)
             langs = b.column(0).dictionary_encode()
             code = langs.indices.to_numpy(zero_copy_only=False)[w.row]
@@ -264,7 +266,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         return [pa.array(np.array(langs, object)[best], pa.string()), share]
     out = score_column(docs.select("doc_id", text, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters")),
-                       ["doc_id", "_letters"], text, "lang_pred string, score double", run)
+                       ["doc_id", "_letters"], text, "lang_pred string, score double", run, max_bytes=SLICE)
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"),
                       F.when(F.col("_letters"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
                       F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"))
