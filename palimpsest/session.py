@@ -36,6 +36,8 @@ RUNTIME_CONF = {
 DEFAULT_CONF = dict(RUNTIME_CONF, **{
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files go when nothing refers to their rows any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 })
 
 
