@@ -40,9 +40,9 @@ def shuffles(plan):
     ("word_redline", 2),
     ("paragraph_log", 0),            # a projection
     ("new_paragraphs", 2), ("deleted_paragraph_keys", 2), ("paragraph_merge", 2),
-    ("chapter_changes", 4),          # two logs, the text index, the first row of a chapter
-    ("changes_from_logs", 4),
-    ("chapter_changes_with_refs", 8),  # and two for the references' own join, one for their lists, one to attach them
+    ("chapter_changes", 3),          # two logs and the text index; the windows per chapter reuse them
+    ("changes_from_logs", 3),
+    ("chapter_changes_with_refs", 7),  # and two for the references' own join, one for their lists, one to attach them
     ("term_hits", 5),                # grams, term grams, candidates, their texts (2)
     ("repaired_redlines", 2),
     ("xml_elements", 0), ("xml_document_fields", 0), ("debracketed_bodies", 0),
