@@ -89,7 +89,9 @@ def term_hits_kgram(docs: DataFrame, terms: DataFrame) -> DataFrame:
     def sampled(i: int):
         _, k, s = _GRAM_CLASSES[i]
         pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{{k}}}.{{0,{s - k}}}"), F.lit(0))
-        return F.array_distinct(F.transform(pieces, lambda p: gram(p, F.lit(1), k, i)))
+        # told apart as plain strings, by hash; arrays of structs would be compared pair by pair
+        distinct = F.array_distinct(F.transform(pieces, lambda p: F.left(p, F.lit(k))))
+        return F.transform(distinct, lambda g: F.struct(F.lit(i).alias("cls"), g.alias("gram")))
     dg = d.select(DOC, F.inline(F.concat(*[sampled(i) for i in present])))
     cand = _salted_join(dg, tg, ["cls", "gram"]).select(DOC, "term_idx", "term").distinct()
     # occurrences counted as the literal replacement finds them: left to right, not overlapping
