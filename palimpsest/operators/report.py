@@ -23,8 +23,11 @@ def change_info(metrics: DataFrame) -> DataFrame:
 
 
 def sorted_changes(metrics: DataFrame) -> DataFrame:
-    """O1: changes by distance, largest first; chapter breaks ties."""
-    return metrics.orderBy(F.desc("lev_distance"), F.asc("chapter_number"))
+    """O1: changes by distance, largest first; chapter breaks ties.
+
+    A range sort samples its input first, so the metrics are checkpointed: the distances run once.
+    """
+    return cut_lineage(metrics).orderBy(F.desc("lev_distance"), F.asc("chapter_number"))
 
 
 def report_sections(changes: DataFrame, additions: DataFrame, deletions: DataFrame) -> DataFrame:
@@ -64,7 +67,7 @@ def ranked(df: DataFrame, *order, within: str | None = None, out: str = "rank")
     subtracted. ``within`` should have few values, such as report sections.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows = cut_lineage(cut_lineage(df).repartitionByRange(n, *order).sortWithinPartitions(*order)
                        .withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))

@@ -10,13 +10,12 @@ from pyspark.sql.window import Window
 
 from palimpsest.constants import SIGNIFICANCE_THRESHOLD
 from palimpsest.functions.text import (
-    edit_distance,
     length_diff,
     levchar_flag,
     significant,
     trim_trailing_blank,
 )
-from palimpsest.functions.distance import long_edit_distance, long_exceeds
+from palimpsest.functions.distance import long_edit_distance, long_exceeds, total_distance
 from palimpsest.operators.snapshot import changed_pairs
 
 DOC = "doc_id"
@@ -33,10 +32,10 @@ def document_metrics(prev: DataFrame, latest: DataFrame, mode: str = "content")
 
     Plan: one join of the two snapshots on ``doc_id`` (one exchange per
     side) and nothing else: the paragraph pairing is ``arrays_zip`` inside the
-    joined row (it pads the shorter side with NULL), and the built-in
-    distances of the pairs that differ are summed over those arrays in the
-    same row. Whole-text distances are exact and computed bit-parallel in
-    Arrow batches (the built-in walks the full matrix at ~25 ns a cell).
+    joined row (it pads the shorter side with NULL), and the distances of the
+    pairs that differ are summed over those arrays in the same row. All
+    distances are exact and computed bit-parallel in Arrow batches (the
+    built-in walks the full matrix at ~25 ns a cell).
     """
     return pair_metrics(changed_pairs(prev, latest, mode=mode))
 
@@ -48,13 +47,15 @@ def pair_metrics(j: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     staged = j.select(DOC, *keep, "manual", "chapter", "prev_title", "prev_text", "curr_text", zipped.alias("_z"))
     side = lambda s, n: F.coalesce(s[n], F.lit(""))
     differing = F.filter("_z", lambda s: side(s, "p") != side(s, "c"))
+    staged = staged.select("*", differing.alias("_d")).select(
+        "*", F.transform("_d", lambda s: side(s, "p")).alias("_dp"), F.transform("_d", lambda s: side(s, "c")).alias("_dc"))
     out = staged.select(
         DOC, *keep, F.col("manual").alias("source"), F.col("chapter").alias("chapter_number"),
         F.col("prev_title").alias("title"),
         long_edit_distance("prev_text", "curr_text").alias("lev_distance"),
         length_diff("prev_text", "curr_text").cast("long").alias("char_count_diff"),
-        F.aggregate(differing, F.lit(0).cast("long"), lambda n, s: n + F.levenshtein(side(s, "p"), side(s, "c"))).alias("_tlt"),
-        F.size(differing).cast("long").alias("_pcc"),
+        total_distance("_dp", "_dc").alias("_tlt"),
+        F.size("_d").cast("long").alias("_pcc"),
         F.size("_z").cast("long").alias("_pc"))
     positive = F.col("lev_distance") > 0
     return out.select(
@@ -108,7 +109,7 @@ def paragraph_noise_cascade(changed: DataFrame) -> DataFrame:
                               F.count(F.lit(1)).over(Window.partitionBy("doc_id", "chapter")).cast("long"))
     scored = (counted
               .withColumn("char_count_diff", length_diff("prev_para", "curr_para").cast("long"))
-              .withColumn("lev_distance", edit_distance("prev_para", "curr_para").cast("long"))
+              .withColumn("lev_distance", long_edit_distance("prev_para", "curr_para"))
               .withColumn("levchar", levchar_flag("lev_distance", "char_count_diff"))
               .where("levchar"))
     first = Window.partitionBy("doc_id", "chapter").orderBy("k")
