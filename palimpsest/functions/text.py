@@ -32,9 +32,9 @@ def length_diff(a, b) -> Column:
 
 # --- D1 edit distance -------------------------------------------------------
 def edit_distance(a, b) -> Column:
-    """Exact Levenshtein distance on code points, JVM side (paragraph-sized text).
+    """Exact Levenshtein distance on code points, JVM side (short text).
 
-    Whole documents go through :func:`palimpsest.functions.distance.long_edit_distance`
+    The jobs go through :func:`palimpsest.functions.distance.long_edit_distance`
     instead: the built-in fills the full matrix cell by cell.
     """
     return F.levenshtein(_col(a), _col(b))
