@@ -15,7 +15,7 @@ from palimpsest.functions.text import (
     significant,
     trim_trailing_blank,
 )
-from palimpsest.functions.distance import long_edit_distance, long_exceeds, total_distance
+from palimpsest.functions.distance import long_edit_distance, long_exceeds, place_distances, total_distance
 from palimpsest.operators.snapshot import changed_pairs
 
 DOC = "doc_id"
@@ -107,11 +107,16 @@ def paragraph_noise_cascade(changed: DataFrame) -> DataFrame:
     kept = changed.where(~F.col("shifted"))
     counted = kept.withColumn("n_paras_with_changes",
                               F.count(F.lit(1)).over(Window.partitionBy("doc_id", "chapter")).cast("long"))
-    scored = (counted
-              .withColumn("char_count_diff", length_diff("prev_para", "curr_para").cast("long"))
-              .withColumn("lev_distance", long_edit_distance("prev_para", "curr_para"))
-              .withColumn("levchar", levchar_flag("lev_distance", "char_count_diff"))
-              .where("levchar"))
-    first = Window.partitionBy("doc_id", "chapter").orderBy("k")
-    return (scored.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
-            .drop("_rn", "levchar"))
+    # A chapter's rows go to the distance as one array, because rows that come
+    # back from Python have lost their partitioning and would be exchanged again.
+    fields = counted.columns
+    chapters = counted.groupBy("doc_id", "chapter").agg(
+        F.sort_array(F.collect_list(F.struct("k", *[c for c in fields if c != "k"]))).alias("_rows"))
+    texts = chapters.select("_rows", F.transform("_rows", lambda s: s["prev_para"]).alias("_p"), F.transform("_rows", lambda s: s["curr_para"]).alias("_c"))
+    measured = texts.select("_rows", place_distances("_p", "_c").alias("_lev"))
+    scored = F.transform(F.arrays_zip("_rows", "_lev"), lambda s: F.struct(
+        s["_rows"].alias("row"), length_diff(s["_rows"]["prev_para"], s["_rows"]["curr_para"]).cast("long").alias("char_count_diff"),
+        s["_lev"].alias("lev_distance")))
+    first = F.try_element_at(F.filter(scored, lambda s: levchar_flag(s["lev_distance"], s["char_count_diff"])), F.lit(1))
+    return (measured.select(first.alias("_first")).where(F.col("_first").isNotNull())
+            .select(*[F.col(f"_first.row.{c}").alias(c) for c in fields], "_first.char_count_diff", "_first.lev_distance"))
