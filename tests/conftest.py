@@ -23,3 +23,12 @@ def spark():
 @pytest.fixture()
 def workdir():
     return tempfile.mkdtemp(prefix="palimpsest-test-")
+
+
+@pytest.fixture(autouse=True, scope="module")
+def no_cached_rows_left():
+    """What a module's tests cached goes with the module: others count what is kept."""
+    from pyspark.sql import SparkSession
+    yield
+    if s := SparkSession.getActiveSession():
+        s.catalog.clearCache()

@@ -48,6 +48,33 @@ def test_distances_equal_the_full_matrix(monkeypatch, full, words, table):
     assert lanes.distances([], []) == []
 
 
+@pytest.mark.parametrize("words,step", [(4096, 0), (4096, 10 ** 9), (8, 0)])
+def test_long_pairs_in_bands_equal_the_full_matrix(monkeypatch, words, step):
+    monkeypatch.setattr(lanes, "BAND", 1)
+    monkeypatch.setattr(lanes, "WORDS", words)
+    monkeypatch.setattr(lanes, "STEP", step)  # together, or one by one
+    pairs = some_pairs(words + step, 400)
+    assert lanes.distances([a for a, _ in pairs], [b for _, b in pairs]) == [dp(a, b) for a, b in pairs]
+
+
+def test_lopsided_band_is_exact_within_its_width():
+    for a, b in some_pairs(11, 300):
+        x, y = lanes.stripped(a, b)
+        if len(x):
+            d = dp(a, b)
+            for p in (0, 1, 9, 50):
+                got, most = lanes._advance([(x, y)], p, len(y) - len(x) + p)[0], len(y) - len(x) + 2 * p
+                assert got == d if d <= most else got > most
+
+
+def test_long_related_pairs_go_together_in_a_narrow_band(monkeypatch):
+    rng, seen, advance = random.Random(5), [], lanes._advance
+    monkeypatch.setattr(lanes, "_advance", lambda pairs, k, right=None: seen.append((len(pairs), k, right)) or advance(pairs, k, right))
+    texts = ["".join(rng.choices("abcdefgh ", k=2000 + i)) for i in range(80)]
+    assert lanes.distances(texts, [f"{t[:9]}zz{t[9:1500]}{t[1520:]}z" for t in texts]) == [fast_levenshtein(t, f"{t[:9]}zz{t[9:1500]}{t[1520:]}z") for t in texts]
+    assert seen and max(size for size, _, _ in seen) > 1 and all(k + right < 400 for _, k, right in seen)
+
+
 def test_sliding_band_is_exact_within_its_width():
     for a, b in some_pairs(7, 200):
         assert fast_levenshtein(a, b) == (d := dp(a, b))
