@@ -61,13 +61,14 @@ def ranked(df: DataFrame, *order, within: str | None = None, out: str = "rank")
     number the high part; ranges are counted, and the counts' running sum (one
     row a range) is joined back, so no task sees more than its range. The
     sorted rows are checkpointed first, because a range exchange samples its
-    input anew each time it runs. ``order`` must tell rows apart as far as
+    input anew each time it runs; rows that cost much to make should come
+    checkpointed too, as that exchange makes them twice. ``order`` must tell rows apart as far as
     their ranks matter, and with ``within`` must begin with that column: its
     groups are then runs of ranks, and their first ranks (one row a group) are
     subtracted. ``within`` should have few values, such as report sections.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = cut_lineage(cut_lineage(df).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                        .withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -85,12 +86,12 @@ def ranked(df: DataFrame, *order, within: str | None = None, out: str = "rank")
 
 def ranked_changes(metrics: DataFrame) -> DataFrame:
     """O1: the change list with its rank by distance, largest first; chapter and key break ties."""
-    return ranked(metrics, F.desc("lev_distance"), F.asc("chapter_number"), F.asc("doc_id"))
+    return ranked(cut_lineage(metrics), F.desc("lev_distance"), F.asc("chapter_number"), F.asc("doc_id"))
 
 
 def ranked_report(rows: DataFrame) -> DataFrame:
     """O1 for the report (K2): rank over all sections, and within each as :func:`ordered_report` sorts it."""
-    return ranked(rows, F.asc("section"), F.desc_nulls_last("sort_key"), F.desc("chapter_number"), F.asc("source"), within="section")
+    return ranked(cut_lineage(rows), F.asc("section"), F.desc_nulls_last("sort_key"), F.desc("chapter_number"), F.asc("source"), within="section")
 
 
 def section_counts(report: DataFrame, by_team: DataFrame | None = None) -> DataFrame:

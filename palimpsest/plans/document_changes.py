@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from palimpsest.constants import DOWNLOAD_LINK, VIEW_LINK
 from palimpsest.functions.text import chapter_link
 from palimpsest.operators import relevance, report, scoring, snapshot
+from palimpsest.session import cut_lineage
 
 
 def document_info(rows: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def listed(additions: DataFrame, deletions: DataFrame) -> DataFrame:
                            F.replace(F.replace(view, F.lit("—"), F.lit(" ")), F.lit("’"), F.lit("'")).alias("html"),
                            chapter_link("chapter", ".docx", DOWNLOAD_LINK).alias("tracked_changes"))
     both = table(additions, "additions").unionByName(table(deletions, "deletions"))
-    return report.ranked(both, F.asc("section"), F.desc("chapter_number"), F.asc("source"), within="section")
+    return report.ranked(cut_lineage(both), F.asc("section"), F.desc("chapter_number"), F.asc("source"), within="section")
 
 
 def change_table(metrics: DataFrame) -> DataFrame:
@@ -95,7 +96,6 @@ def run(prev: DataFrame, latest: DataFrame, out_dir: str, teams: DataFrame | Non
     checkpoint directory, so the distances are not recomputed per output and
     a lost executor does not send the job back to the snapshots.
     """
-    from palimpsest.session import cut_lineage
     from palimpsest.sinks import write_csv
 
     metrics = cut_lineage(scoring.document_metrics(prev, latest))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from palimpsest.constants import CLICK_TO_VIEW
 from palimpsest.functions.text import any_changed
 from palimpsest.operators import paragraphs, relevance, report, scoring
+from palimpsest.session import cut_lineage
 
 
 def trim_space(c):
@@ -90,6 +91,6 @@ def chapter_list(summary: DataFrame) -> DataFrame:
 
     ``summary``: :func:`chapter_summary` with referring documents.
     """
-    ranked = report.ranked(summary, F.desc("n_paras_with_changes"), F.asc("chapter"), F.asc("doc_id"))
+    ranked = report.ranked(cut_lineage(summary), F.desc("n_paras_with_changes"), F.asc("chapter"), F.asc("doc_id"))
     return ranked.select("rank", "chapter", F.replace("title", F.lit("Previous"), F.lit("")).alias("title"), F.col("doc_info").alias("found_in"),
                          "n_paras_with_changes", F.lit(CLICK_TO_VIEW).alias("link_to_changes"))

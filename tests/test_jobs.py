@@ -167,6 +167,23 @@ def test_rank_has_one_range_exchange_and_no_single_task(spark):
     assert out.agg(F.max("rank")).first()[0] == 1000
 
 
+def test_ranked_changes_take_the_distances_once(spark):
+    df = spark.createDataFrame([(i, f"C{i}", i % 7) for i in range(50)], "doc_id long, chapter_number string, lev_distance long")
+    plans, real = [], report.cut_lineage
+
+    def seen(x):
+        plans.append(x._jdf.queryExecution().executedPlan().toString())
+        return real(x)
+    report.cut_lineage = seen
+    try:
+        out = report.ranked_changes(df.withColumn("lev_distance", F.col("lev_distance") + F.floor(F.rand(1))))
+    finally:
+        report.cut_lineage = real
+    assert "rand(" in plans[0] and "rangepartitioning" not in plans[0]  # what the range exchange samples is made before it
+    assert "rand(" not in plans[1] and "rangepartitioning" in plans[1]
+    assert out.count() == 50
+
+
 def test_chapter_list_is_ranked(spark):
     from palimpsest.plans.paragraph_changes import chapter_list
     rows = [(1, "B1", "Previous title", "L1, L2", 3), (2, "A1", "t", "", 3), (3, "C1", "u", "", 9)]
