@@ -205,6 +205,27 @@ def test_repeated_strings(spark, docs, texts, length, core):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(mask), spans, hashlib.sha256(kept).hexdigest()), i
 
 
+def test_planted_passages_go_from_400_bytes(spark):
+    rng = random.Random(12)
+    word = lambda k: "".join(rng.choice("abcdefghijk") for _ in range(k))
+    line = lambda n: " ".join(word(rng.randint(2, 9)) for _ in range(n))
+    rows, want = [], {}
+    for size in (399, 400, 401, 700):
+        passage = " ".join(word(6) for _ in range(56)) + " "
+        passage += word(size - len(passage))
+        assert len(passage) == size and len(WORD.findall(passage)) > 50
+        # no two places have the same neighbours, so nothing longer repeats
+        for before, after in (("", f"A {line(60)}"), (f"{line(60)} B", f"B {line(60)}"), (f"{line(60)} C", "")):
+            rows.append(before + passage + after)
+            want[len(rows)] = (size, 1, before + after) if size >= 400 else (0, 0, rows[-1])
+    for _ in range(12):  # clean ones
+        rows.append(line(150))
+        want[len(rows)] = (0, 0, rows[-1])
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(rows, 1)]).repartition(3)
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_report(docs).collect()}
+    assert got == {i: (n, k, hashlib.sha256(t.encode()).hexdigest()) for i, (n, k, t) in want.items()}
+
+
 def without_runs(texts, n):
     """Texts without the words covered by runs of ``n`` words that start anywhere else too, as lists of words."""
     words = [WORD.findall(t or "") for t in texts]
