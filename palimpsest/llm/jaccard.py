@@ -7,11 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm import hashed
-from palimpsest.llm.common import WORD, Sieve, cut_lineage, free_name, min_labels, slices, with_workers
+from palimpsest.llm.common import WORD, Sieve, cut_lineage, free_name, min_labels, shuffles_go, slices, with_workers
 
 GROUP = 64  # texts in a group of the matrix, about
 BUNDLE = 1 << 21  # bytes of tokens in a bundle of groups, about
@@ -119,8 +119,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
 
     1. Equal sets are one class. Each class names the smallest hashes of its
        set, one and a half times the prefix that a linked pair must share a token of. Tokens
-       of one class only are dropped; of the rest a class keeps the rarest, as
-       many as its prefix has left. Most texts keep none and are done.
+       of one class only are dropped; a class with more of them than a linked
+       one can have is done, and most are. Those left are counted by whole sets: tokens
+       that no other of them holds are dropped, classes with less than a link
+       needs are done, and the rest keep their rarest tokens, as many as
+       their prefix has left.
     2. Those left are partitioned into groups of likely similar texts: those
        with the same smallest hash, dealt into groups of about ``GROUP``.
        Each group is linked inside; where one hash value fills several groups,
@@ -141,7 +144,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
 
 def _labelled(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """``id, n, c, t, label`` for each row: its set's size and digest, its text's digest and its component (null for an empty set)."""
-    spark = with_workers(docs.sparkSession)
+    with shuffles_go(with_workers(docs.sparkSession)) as spark:
+        return _linked_rows(spark, docs, k, percent, doc_id, text)
+
+
+def _linked_rows(spark: SparkSession, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     d = d.withColumn("t", F.xxhash64("text"))
 
@@ -179,27 +186,41 @@ def _labelled(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) ->
             low = h[np.minimum(cuts[:-1], max(len(h) - 1, 0))].astype(np.int64) if len(h) else np.zeros(b.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(low), pa.array(sets, pa.binary())], names=["c", "low", "tokens"])
 
-    def rare_tokens() -> tuple[DataFrame, DataFrame]:
-        """``(ids, kept)``: each row's set size and class, and the tokens that each class keeps; what is made on the way can go."""
+    def apart(batches: Iterator) -> Iterator:
+        for b in batches:
+            data, offsets = hashed.bytes_of(b.column(1))
+            of = pa.array(np.repeat(np.arange(b.num_rows), np.diff(offsets) // 8))
+            yield pa.RecordBatch.from_arrays([pa.array(data.view(np.int64)), b.column(0).take(of)], names=["token", "c"])
+
+    def candidates() -> tuple[DataFrame, DataFrame]:
+        """``(ids, some)``: each row's set size and class, and the classes that can link by their smallest hashes; what is made on the way can go."""
         named = cut_lineage(d.mapInArrow(digests, "id long, n long, c long, t long, smallest binary"))  # texts are cut into shingles once
         ddl = "token long, c long, n long, id long"
-        shared = cut_lineage(named.mapInArrow(prefixes, ddl).groupBy("token").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-                             .where("lo < hi").select("token", "df"))
-        some = Sieve(shared, F.col("token"))  # most tokens are of one class and need not be shuffled again
-        tokens = named.mapInArrow(lambda batches: prefixes(batches, some), ddl)
+        shared = cut_lineage(named.mapInArrow(prefixes, ddl).groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                             .where("lo < hi").select("token"))
+        sieve = Sieve(shared, F.col("token"))  # most tokens are of one class and need not be shuffled again
+        tokens = named.mapInArrow(lambda batches: prefixes(batches, sieve), ddl)
         prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
-        kept = (tokens.join(shared, "token").groupBy("c", "n")
-                .agg(F.min("id").alias("id"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
-                .withColumn("room", (prefix - (F.least(F.col("n"), F.floor((3 * prefix + 1) / 2)) - F.size("t"))).cast("int"))
-                .where("room > 0").select("c", "id", F.expr("transform(slice(t, 1, room), x -> x.token)").alias("kept")))
-        return cut_lineage(named.drop("smallest")), cut_lineage(kept)
-
-    ids, kept = rare_tokens()
-    ids_left = kept.select("id").distinct()
+        some = (tokens.join(shared, "token").groupBy("c", "n").agg(F.min("id").alias("id"), F.size(F.collect_set("token")).alias("held"))
+                .where(F.col("held") > F.least(F.col("n"), F.floor((3 * prefix + 1) / 2)) - prefix).select("c", "id"))
+        return cut_lineage(named.drop("smallest")), cut_lineage(some)
+
+    def rare_tokens(whole_sets: DataFrame) -> DataFrame:
+        """``c, low, tokens, kept`` for the sets whose tokens that others hold too are enough for a link: of these a linked pair shares one of the rarest, ``kept``."""
+        holders = (whole_sets.select("c", "tokens").mapInArrow(apart, "token long, c long")
+                   .withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1"))
+        least = F.floor((F.lit(percent) * (F.octet_length("tokens") / 8) + 99) / 100)
+        return (holders.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t")).join(whole_sets, "c")
+                .withColumn("room", (F.size("t") - least + 1).cast("int")).where("room > 0")
+                .select("c", "low", "tokens", F.expr("transform(slice(t, 1, room), x -> x.token)").alias("kept")))
+
+    ids, some = candidates()
+    ids_left = some.select("id").distinct()
     of_them = Sieve(ids_left, F.xxhash64("id")).rows(d.withColumn("h", F.xxhash64("id")), "h").drop("h")
     texts = (of_them.join(ids_left, "id").select("id", "text").mapInArrow(whole, "c long, low long, tokens binary")
              .groupBy("c").agg(F.min("low").alias("low"), F.min("tokens").alias("tokens")))
-    sets = cut_lineage(texts.join(kept.select("c", "kept"), "c"))
+    # smallest hashes alone let more and more texts through by chance as the input grows: whole sets decide
+    sets = cut_lineage(rare_tokens(cut_lineage(texts.join(some.select("c"), "c", "left_semi"))))
     lows = sets.groupBy("low").agg(F.count("*").alias("texts"))
     deal = lambda turn: F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("texts") / GROUP))
     placed = cut_lineage(sets.select("c", "low").join(lows, "low").select("c", "low", "texts", F.xxhash64("low", deal(0)).alias("g")))

@@ -284,6 +284,32 @@ def test_jaccard_components(spark, docs, texts, k, percent, monkeypatch):
         assert sorted(r.doc_id for r in jaccard.one_per_component(docs).collect()) == sorted({r * 3 for r in root})
 
 
+def test_texts_that_share_lines_by_chance_are_not_opened(spark, monkeypatch):
+    rng = random.Random(4)
+    line = lambda n=9: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    common = [line() for _ in range(12)]
+    texts = [" ".join((*rng.sample(common, 2), line())) for _ in range(300)]  # half of each is shared, with no other the same half
+    texts += [t + " more" for t in texts[::10]]
+    held, cut = [], jaccard.cut_lineage
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def seen(df):
+        out = cut(df)
+        if out.columns == ["xu", "yu"]:
+            held.append(out.where("xu < yu").count())
+            assert spark.conf.get(key) == "true"  # else shuffle files stay until the driver collects its garbage
+        return out
+    monkeypatch.setattr(jaccard, "cut_lineage", seen)
+    monkeypatch.setattr(jaccard, "BUNDLE", 1 << 12)
+    before = spark.conf.get(key, None)
+    out = jaccard.jaccard_components(frame(spark, [(i, t, None, None) for i, t in enumerate(texts)]).repartition(3)).collect()
+    assert held == [0]
+    assert spark.conf.get(key, None) == before
+    n, root = components(texts, 4, 85)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == list(zip(range(len(texts)), n, root))
+    assert sum(r != i for i, r in enumerate(root)) == 30
+
+
 def test_one_of_each_component_whatever_the_ids(spark):
     rng = random.Random(9)
     line = lambda n=40: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
